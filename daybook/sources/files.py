@@ -11,7 +11,9 @@ from daybook.schemas import Entity
 
 CORRUPT = "_corrupt_record"
 
-_CSV = {"header": True, "escape": '"'}
+# An empty cell is NULL and a quoted empty cell is an empty text, as the writer has
+# them; the reader tells the two apart only when NULL is spelled unlike both.
+_CSV = {"header": True, "escape": '"', "nullValue": "\u0000"}
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:

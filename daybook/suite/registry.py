@@ -13,8 +13,16 @@ from daybook.suite.views import Tables
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
 
-_MODULES = ("reporting","cleaning","quality","relational","storage"); _X = (
-    "reporting", "cleaning", "quality", "relational", "storage", "tables", "documents", "expressions", "borders",
+_MODULES = (
+    "reporting",
+    "cleaning",
+    "quality",
+    "relational",
+    "storage",
+    "tables",
+    "documents",
+    "expressions",
+    "borders",
 )
 
 
