@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from daybook.schemas import MONEY
 
-DATE_FORMAT = "yyyy-MM-dd"
 MONTH_FORMAT = "yyyy-MM"
 
 # The words a bank description ends with and the sign they carry.
@@ -62,15 +61,20 @@ def month_bucket(day: Column) -> Column:
 
 
 def parse_date(value: Column, dtype: T.DataType) -> Column:
-    """ISO text to DATE, NULL when it is not one; typed dates pass through."""
+    """ISO text to DATE, NULL when it is not one; typed dates pass through.
+
+    The shape test lets the plain cast do the parsing: it returns NULL for an
+    impossible day, where a format-driven parser raises and catches an exception
+    for every bad row.
+    """
     if isinstance(dtype, T.StringType):
-        return F.try_to_date(value, DATE_FORMAT)
+        return F.when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), value.try_cast("date"))
     return value.cast("date")
 
 
 def parse_amount(value: Column) -> Column:
     """Currency text such as ``₹1,23,456.50`` to DECIMAL(10,2), NULL when malformed."""
-    return F.regexp_replace(value.cast("string"), "[₹,]", "").try_cast(MONEY)
+    return F.translate(value.cast("string"), "₹,", "").try_cast(MONEY)
 
 
 def standardized(value: Column) -> Column:

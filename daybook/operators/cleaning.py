@@ -57,7 +57,8 @@ def parse_dates(df: DataFrame) -> DataFrame:
 def filter_valid_date(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
     if "date" not in df.columns:
         return df
-    return df.filter(F.col("date").isNotNull() & (F.col("date") <= text.cutoff(as_of)))
+    # a NULL date does not compare, so it goes as well
+    return df.filter(F.col("date") <= text.cutoff(as_of))
 
 
 def parse_amounts(df: DataFrame) -> DataFrame:
@@ -90,33 +91,40 @@ def clean(df: DataFrame, as_of: date | str | None = None, standardize: bool = Fa
 
 
 def _rules(df: DataFrame, as_of: date | str | None) -> dict[str, Column]:
-    """Reason -> condition under which a trimmed row is dropped, in chain order."""
+    """Reason -> condition under which a trimmed and parsed row is dropped, in chain order."""
     rules: dict[str, Column] = {}
     if "date" in df.columns:
-        day = text.parse_date(F.col("date"), df.schema["date"].dataType)
-        rules["bad_date"] = day.isNull()
-        rules["future_date"] = day > text.cutoff(as_of)
+        rules["bad_date"] = F.col("date").isNull()
+        rules["future_date"] = F.col("date") > text.cutoff(as_of)
     if "amount" in df.columns:
-        amount = text.parse_amount(F.col("amount"))
-        rules["bad_amount"] = amount.isNull()
-        rules["negative_amount"] = amount < 0
+        rules["bad_amount"] = F.col("amount").isNull()
+        rules["negative_amount"] = F.col("amount") < 0
     for name in columns_present(df, NEVER_NULL):
         if name != "amount":
             rules[f"null_{name}"] = F.col(name).isNull()
     return rules
 
 
-def with_reasons(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    """Trimmed rows plus an array of the rules each one breaks (empty = clean)."""
-    trimmed = trim_strings(df)
-    broken = [F.when(cond, F.lit(reason)) for reason, cond in _rules(trimmed, as_of).items()]
-    reasons = F.filter(F.array(*broken), lambda r: r.isNotNull()) if broken else F.array().cast("array<string>")
-    return trimmed.withColumn(REASONS, reasons)
+def judge(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
+    """Every row trimmed and parsed, with the row as it came (``raw``) and the rules it breaks.
+
+    ``reasons`` is empty for a row that ``clean`` keeps.
+    """
+    parsed = (
+        df.withColumn("raw", F.struct(*df.columns))
+        .transform(trim_strings)
+        .transform(parse_dates)
+        .transform(parse_amounts)
+    )
+    broken = [F.when(cond, F.lit(reason)) for reason, cond in _rules(parsed, as_of).items()]
+    none = F.array().cast("array<string>")
+    reasons = F.filter(F.array(*broken), lambda r: r.isNotNull()) if broken else none
+    return parsed.withColumn(REASONS, reasons)
 
 
 def rejects(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    """The rows ``clean`` would drop, as they came (trimmed), with the reasons."""
-    return with_reasons(df, as_of).filter(F.size(REASONS) > 0)
+    """The rows ``clean`` would drop, as they came, with the reasons."""
+    return judge(df, as_of).filter(F.size(REASONS) > 0).select("raw.*", REASONS)
 
 
 def split_clean(df: DataFrame, as_of: date | str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -321,9 +321,9 @@ _JSON_TYPES = {
 }
 
 
-def violations(text: Column, types: Mapping[str, str], required: Sequence[str] = ()) -> Column:
-    """Array of what is wrong with a JSON text: malformed, missing or mistyped members."""
-    parsed = F.try_parse_json(text)
+def judge(df: DataFrame, text: str, types: Mapping[str, str], required: Sequence[str] = ()) -> DataFrame:
+    """Add ``violations``: malformed text, missing or mistyped members of each document."""
+    parsed = F.col("_json")
     found = [F.when(parsed.isNull(), F.lit("malformed"))]
     for name in dict.fromkeys([*required, *types]):
         kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
@@ -331,17 +331,18 @@ def violations(text: Column, types: Mapping[str, str], required: Sequence[str] =
             found.append(F.when(parsed.isNotNull() & kind.isNull(), F.lit(f"missing:{name}")))
         if name in types:
             found.append(F.when(~kind.rlike(_JSON_TYPES[types[name]]), F.lit(f"type:{name}")))
-    return F.filter(F.array(*found), lambda v: v.isNotNull())
+    broken = F.filter(F.array(*found), lambda v: v.isNotNull())
+    return df.withColumn("_json", F.try_parse_json(text)).withColumn("violations", broken).drop("_json")
 
 
 def validate(
     df: DataFrame, text: str, types: Mapping[str, str], required: Sequence[str] = (), level: str = "STRICT"
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, refused with ``violations``); level OFF accepts everything."""
-    if level.upper() not in ("STRICT", "OFF"):
-        raise ValueError(f"unknown validation level {level!r}")
-    judged = df.withColumn("violations", violations(F.col(text), types, required))
+    judged = judge(df, text, types, required)
     if level.upper() == "OFF":
         return df, judged.filter(F.lit(False))
+    if level.upper() != "STRICT":
+        raise ValueError(f"unknown validation level {level!r}")
     broken = F.size("violations") > 0
     return judged.filter(~broken).drop("violations"), judged.filter(broken)

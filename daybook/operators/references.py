@@ -56,14 +56,16 @@ def contains_any(texts: DataFrame, text_col: str, names: DataFrame, name_col: st
         )
         .distinct()
     )
-    # at most len(ANCHOR_LENGTHS) values, one aggregate row
-    lengths = names.agg(
-        F.filter(F.collect_set(_anchor_length(name)), lambda n: n > 0).alias("n")
+    # one aggregate row with at most len(ANCHOR_LENGTHS) numbers
+    known = names.agg(
+        F.struct(
+            F.filter(F.collect_set(_anchor_length(name)), lambda n: n > 0).alias("lengths"),
+            F.coalesce(F.bool_or(name == ""), F.lit(False)).alias("has_empty"),
+        ).alias("known")
     ).scalar()
-    has_empty = names.agg(F.coalesce(F.bool_or(name == ""), F.lit(False)).alias("e")).scalar()
 
     windows = (
-        texts.withColumn("_n", F.explode(lengths))
+        texts.withColumn("_n", F.explode(known.getField("lengths")))
         .filter(F.length("_text") >= F.col("_n"))
         .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)))
         .withColumn("_anchor", F.substring(F.col("_text"), F.col("_at"), F.col("_n")))
@@ -72,7 +74,7 @@ def contains_any(texts: DataFrame, text_col: str, names: DataFrame, name_col: st
         F.col("_at") + F.col("_len") - 1 <= F.length("_text")
     ).select("_text", F.substring(F.col("_text"), F.col("_at"), F.col("_len")).alias("_name"))
     hits = candidates.join(names, "_name", "left_semi").select("_text")
-    return hits.unionByName(texts.filter(has_empty)).distinct().withColumnRenamed("_text", text_col)
+    return hits.unionByName(texts.filter(known.getField("has_empty"))).distinct().withColumnRenamed("_text", text_col)
 
 
 def semi_contains(df: DataFrame, text_col: str, names: DataFrame, name_col: str) -> DataFrame:
@@ -85,22 +87,35 @@ def anti_contains(df: DataFrame, text_col: str, names: DataFrame, name_col: str)
     return df.join(contains_any(df, text_col, names, name_col), text_col, "left_anti").select(df.columns)
 
 
-def match_bank(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) bank rows; together they are the input, NULLs invalid.
+def _split_by_party(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows whose parsed party is a ledger name, the rest, texts of the rest with a name in them).
 
     A parsed party that equals a ledger name is contained in its description, so
-    these rows are settled by one equi join; the rest goes by distinct text.
+    one equi join settles these rows; only the rest goes by distinct text.
     """
     party = text.description_party(F.col("description"))
     names = ledgers.select(F.col("name").alias("_ledger_name"))
     by_party = party == F.col("_ledger_name")
-
-    direct = bank.join(names, by_party, "left_semi")
     rest = bank.join(names, by_party, "left_anti")
     hits = contains_any(rest, "description", ledgers, "name")
+    return bank.join(names, by_party, "left_semi"), rest, hits
+
+
+def match_bank(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) bank rows; together they are the input, NULLs invalid."""
+    direct, rest, hits = _split_by_party(bank, ledgers)
     valid = direct.unionByName(rest.join(hits, "description", "left_semi").select(bank.columns))
-    invalid = rest.join(hits, "description", "left_anti").select(bank.columns)
-    return valid, invalid
+    return valid, rest.join(hits, "description", "left_anti").select(bank.columns)
+
+
+def flag_bank(bank: DataFrame, ledgers: DataFrame) -> DataFrame:
+    """Every bank row with ``valid``."""
+    direct, rest, hits = _split_by_party(bank, ledgers)
+    known = hits.withColumn("_hit", F.lit(True))
+    judged = rest.join(known, "description", "left").select(
+        *bank.columns, F.col("_hit").isNotNull().alias("valid")
+    )
+    return direct.withColumn("valid", F.lit(True)).unionByName(judged)
 
 
 def match_party(df: DataFrame, ledgers: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
@@ -109,6 +124,21 @@ def match_party(df: DataFrame, ledgers: DataFrame, column: str) -> tuple[DataFra
     return df.join(ledgers, on, "inner"), df.join(ledgers, on, "left_anti")
 
 
+def flag_party(df: DataFrame, ledgers: DataFrame, column: str) -> DataFrame:
+    """Every row with its ledger columns, NULL where there is no ledger, and ``valid``."""
+    joined = df.join(ledgers, F.col(column) == F.col("name"), "left")
+    return joined.withColumn("valid", F.col("name").isNotNull())
+
+
+def flag_references(df: DataFrame, ledgers: DataFrame, column: str, table_type: str) -> DataFrame:
+    """Both sides of ``validate_references`` in one frame, told apart by ``valid``."""
+    if table_type in ("sales", "purchases"):
+        return flag_party(df, ledgers, column)
+    if table_type == "bank":
+        return flag_bank(df, ledgers)
+    raise ValueError(f"unknown table_type {table_type!r}; expected sales, purchases or bank")
+
+
 def validate_references(
     df: DataFrame, ledgers: DataFrame, column: str, table_type: str, null_policy: str = "keep"
 ) -> tuple[DataFrame, DataFrame]:

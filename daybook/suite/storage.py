@@ -85,10 +85,10 @@ def _raw_files(t) -> dict[str, str]:
     return {name: _csv(t, df, name) for name, df in raw.items()}
 
 
-def _counts(t, locations: dict[str, str]) -> DataFrame:
+def _counts(tables: dict[str, DataFrame]) -> DataFrame:
     rows = [
-        t.spark.read.parquet(path).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        for name, path in sorted(locations.items())
+        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, df in sorted(tables.items())
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -102,7 +102,8 @@ union all select 'purchases', count(*) from purchases
 union all select 'bank', count(*) from raw_bank""",
 )
 def load_raw(t):
-    return _counts(t, run_load(t.spark, _raw_files(t), scratch_dir(t.spark, "store")))
+    stored = run_load(t.spark, _raw_files(t), scratch_dir(t.spark, "store"))
+    return _counts({name: files.scan_parquet(t.spark, path) for name, path in stored.items()})
 
 
 _GOOD_BANK = f"(select * from raw_bank where date <= date '{AS_OF}' and amount >= 0 and type is not null)"
@@ -115,6 +116,13 @@ _CONTAINED = "coalesce(exists (select 1 from ledgers where contains(trim(descrip
     "etl_job",
     f"""
 select 'valid_ledgers' as table_name, count(*) as n_rows from ledgers
+union all select 'ledgers_cleaned', count(*) from ledgers union all select 'ledgers_rejected', 0
+union all select 'sales_cleaned', count(*) from ({_CLEAN})
+union all select 'sales_rejected', (select count(*) from raw_sales) - count(*) from ({_CLEAN})
+union all select 'purchases_cleaned', count(*) from {_GOOD_BILLS}
+union all select 'purchases_rejected', (select count(*) from purchases) - count(*) from {_GOOD_BILLS}
+union all select 'bank_cleaned', count(*) from {_GOOD_BANK}
+union all select 'bank_rejected', (select count(*) from raw_bank) - count(*) from {_GOOD_BANK}
 union all select 'valid_sales', count(*) from ({_CLEAN}) where party in {_NAMES}
 union all select 'invalid_sales', count(*) from ({_CLEAN}) where party not in {_NAMES}
 union all select 'valid_purchases', count(*) from {_GOOD_BILLS} where supplier in {_NAMES}
@@ -123,4 +131,5 @@ union all select 'valid_bank', count(*) from {_GOOD_BANK} where {_CONTAINED}
 union all select 'invalid_bank', count(*) from {_GOOD_BANK} where not {_CONTAINED}""",
 )
 def etl_job(t):
-    return _counts(t, run_etl(t.spark, _raw_files(t), scratch_dir(t.spark, "store"), AS_OF))
+    stored = run_etl(t.spark, _raw_files(t), scratch_dir(t.spark, "store"), AS_OF)
+    return _counts({name: side.read(t.spark) for name, side in stored.items()})
