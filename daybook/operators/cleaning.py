@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import text
+from daybook.functions.labels import failed
 
 # Which columns the text and null rules look at.
 STANDARD_COLUMNS = ("type", "mode", "category", "source", "party", "name", "supplier")
@@ -116,10 +117,7 @@ def judge(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
         .transform(parse_dates)
         .transform(parse_amounts)
     )
-    broken = [F.when(cond, F.lit(reason)) for reason, cond in _rules(parsed, as_of).items()]
-    none = F.array().cast("array<string>")
-    reasons = F.filter(F.array(*broken), lambda r: r.isNotNull()) if broken else none
-    return parsed.withColumn(REASONS, reasons)
+    return parsed.withColumn(REASONS, failed(_rules(parsed, as_of)))
 
 
 def rejects(df: DataFrame, as_of: date | str | None = None) -> DataFrame:

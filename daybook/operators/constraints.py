@@ -6,12 +6,10 @@ repeated key costs one row per map task however often it occurs.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.labels import any_failed, failed
 from daybook.schemas import MONEY, Entity
 
 
@@ -36,10 +34,7 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
 
 def _failing(df: DataFrame, tests: dict, out: str) -> DataFrame:
     """Rows failing any test, with the names of the failed columns; one pass."""
-    if not tests:
-        return df.withColumn(out, F.array().cast("array<string>")).filter(F.lit(False))
-    failed = F.filter(F.array(*[F.when(t, F.lit(c)) for c, t in tests.items()]), lambda c: c.isNotNull())
-    return df.filter(reduce(or_, tests.values())).withColumn(out, failed)
+    return df.filter(any_failed(tests)).withColumn(out, failed(tests))
 
 
 def check_not_null(df: DataFrame, entity: Entity) -> DataFrame:
@@ -48,17 +43,11 @@ def check_not_null(df: DataFrame, entity: Entity) -> DataFrame:
 
 
 def check_enum(df: DataFrame, entity: Entity) -> DataFrame:
-    tests = {
-        c: F.col(c).isNotNull() & ~F.col(c).isin(*domain) for c, domain in entity.domains.items()
-    }
-    return _failing(df, tests, "bad_columns")
+    return _failing(df, {c: ~F.col(c).isin(*domain) for c, domain in entity.domains.items()}, "bad_columns")
 
 
 def check_varchar_len(df: DataFrame, entity: Entity) -> DataFrame:
-    tests = {
-        c: F.coalesce(F.length(c) > n, F.lit(False)) for c, n in entity.max_length.items()
-    }
-    return _failing(df, tests, "long_columns")
+    return _failing(df, {c: F.length(c) > n for c, n in entity.max_length.items()}, "long_columns")
 
 
 def check_decimal_range(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions.labels import failed
 from daybook.operators import tables
 from daybook.operators.tables import Expr
 
@@ -324,15 +325,14 @@ _JSON_TYPES = {
 def judge(df: DataFrame, text: str, types: Mapping[str, str], required: Sequence[str] = ()) -> DataFrame:
     """Add ``violations``: malformed text, missing or mistyped members of each document."""
     parsed = F.col("_json")
-    found = [F.when(parsed.isNull(), F.lit("malformed"))]
+    tests = {"malformed": parsed.isNull()}
     for name in dict.fromkeys([*required, *types]):
         kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
         if name in required:
-            found.append(F.when(parsed.isNotNull() & kind.isNull(), F.lit(f"missing:{name}")))
+            tests[f"missing:{name}"] = parsed.isNotNull() & kind.isNull()
         if name in types:
-            found.append(F.when(~kind.rlike(_JSON_TYPES[types[name]]), F.lit(f"type:{name}")))
-    broken = F.filter(F.array(*found), lambda v: v.isNotNull())
-    return df.withColumn("_json", F.try_parse_json(text)).withColumn("violations", broken).drop("_json")
+            tests[f"type:{name}"] = ~kind.rlike(_JSON_TYPES[types[name]])
+    return df.withColumn("_json", F.try_parse_json(text)).withColumn("violations", failed(tests)).drop("_json")
 
 
 def validate(

@@ -6,9 +6,9 @@ is a nested loop over bank x ledger.  ``contains_any`` turns it into equi joins
 only; ``match_bank`` sends just the rows an ordinary party match leaves over
 through it.
 
-No join carries a broadcast hint: the ledger is broadcast when Spark finds it
+Ledger joins carry no broadcast hint: Spark broadcasts the ledger when it finds it
 under ``spark.sql.autoBroadcastJoinThreshold`` (from statistics, or measured at
-run time by AQE) and is shuffled otherwise, with AQE splitting hot parties on the
+run time by AQE) and shuffles it otherwise, with AQE splitting hot parties on the
 posting side.
 """
 
@@ -16,18 +16,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import text
 
-# Names are looked up by their first 1, 2, 4, 8 or 16 characters: the longest of
-# these that fits.  Longer anchors leave fewer positions to test; the set is
-# fixed, so a text emits a bounded number of anchors per character.
-ANCHOR_LENGTHS = (1, 2, 4, 8, 16)
+# Names are looked up by their first 1, 2, 4 or 8 characters: the longest of these
+# that fits.  A text emits one window per position for each length in use.
+ANCHOR_LENGTHS = (1, 2, 4, 8)
 
+# Shapes (below) are a few characters and a number each.  Up to this many are
+# broadcast; the bound is counted, not estimated.  More than that are shuffled.
+MAX_BROADCAST_SHAPES = 500_000
 
-def _anchor_length(name):
+
+def _anchor_length(name: Column) -> Column:
     return F.greatest(*[F.when(F.length(name) >= n, F.lit(n)) for n in ANCHOR_LENGTHS], F.lit(0))
 
 
@@ -42,39 +45,38 @@ def contains_any(texts: DataFrame, text_col: str, names: DataFrame, name_col: st
        equality, which settles the match exactly.
 
     No pair of a text with a non-matching name is ever formed.  An empty name is
-    contained in every text.
+    contained in every text.  Looking at the names (how many shapes, which anchor
+    lengths) takes one aggregate over them when this is called; the texts are not
+    touched until the result is.
     """
     texts = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text")).distinct()
-    names = names.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("_name")).distinct()
-
     name = F.col("_name")
-    shapes = (
-        names.filter(name != "")
-        .select(
-            F.substring(name, F.lit(1), _anchor_length(name)).alias("_anchor"),
-            F.length(name).alias("_len"),
-        )
-        .distinct()
+    names = names.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("_name"))
+    shaped = names.select(
+        F.substring(name, F.lit(1), _anchor_length(name)).alias("_anchor"), F.length(name).alias("_len")
     )
-    # one aggregate row with at most len(ANCHOR_LENGTHS) numbers
-    known = names.agg(
-        F.struct(
-            F.filter(F.collect_set(_anchor_length(name)), lambda n: n > 0).alias("lengths"),
-            F.coalesce(F.bool_or(name == ""), F.lit(False)).alias("has_empty"),
-        ).alias("known")
-    ).scalar()
-
+    facts = shaped.agg(
+        F.collect_set(F.length("_anchor")).alias("lengths"), F.count_distinct("_anchor", "_len").alias("n")
+    ).first()
+    if 0 in facts.lengths:
+        return texts.withColumnRenamed("_text", text_col)
+
+    shapes = shaped.distinct()
+    if facts.n <= MAX_BROADCAST_SHAPES:
+        shapes = F.broadcast(shapes)
     windows = (
-        texts.withColumn("_n", F.explode(known.getField("lengths")))
+        texts.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sorted(facts.lengths)]).cast("array<int>")))
         .filter(F.length("_text") >= F.col("_n"))
         .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)))
         .withColumn("_anchor", F.substring(F.col("_text"), F.col("_at"), F.col("_n")))
     )
-    candidates = windows.join(shapes, "_anchor").filter(
-        F.col("_at") + F.col("_len") - 1 <= F.length("_text")
-    ).select("_text", F.substring(F.col("_text"), F.col("_at"), F.col("_len")).alias("_name"))
-    hits = candidates.join(names, "_name", "left_semi").select("_text")
-    return hits.unionByName(texts.filter(known.getField("has_empty"))).distinct().withColumnRenamed("_text", text_col)
+    candidates = (
+        windows.join(shapes, "_anchor")
+        .filter(F.col("_at") + F.col("_len") - 1 <= F.length("_text"))
+        .select("_text", F.substring(F.col("_text"), F.col("_at"), F.col("_len")).alias("_name"))
+    )
+    hits = candidates.join(names, "_name", "left_semi")
+    return hits.select(F.col("_text").alias(text_col)).distinct()
 
 
 def semi_contains(df: DataFrame, text_col: str, names: DataFrame, name_col: str) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import fnmatch
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -67,14 +66,13 @@ def scan_part_dir(spark: SparkSession, folder: str, schema: T.StructType | None
 
 
 def part_files(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the CSV parts in a folder of any file system Spark can reach."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return sorted(n for n in names if fnmatch.fnmatch(n, "part-*.csv*"))
+    """The CSV parts in a folder of any file system Spark can reach."""
+    try:
+        return sorted(spark.read.text(f"{folder}/part-*.csv*").inputFiles())
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def empty_relation(df: DataFrame) -> DataFrame:
