@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import text
-from daybook.functions.labels import failed
+from daybook.functions.labels import any_failed, failed
 
 # Which columns the text and null rules look at.
 STANDARD_COLUMNS = ("type", "mode", "category", "source", "party", "name", "supplier")
@@ -122,7 +122,8 @@ def judge(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
 
 def rejects(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
     """The rows ``clean`` would drop, as they came, with the reasons."""
-    return judge(df, as_of).filter(F.size(REASONS) > 0).select("raw.*", REASONS)
+    judged = judge(df, as_of)
+    return judged.filter(any_failed(_rules(judged, as_of))).select("raw.*", REASONS)
 
 
 def split_clean(df: DataFrame, as_of: date | str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -95,12 +95,13 @@ def _split_by_party(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, Dat
     A parsed party that equals a ledger name is contained in its description, so
     one equi join settles these rows; only the rest goes by distinct text.
     """
-    party = text.description_party(F.col("description"))
-    names = ledgers.select(F.col("name").alias("_ledger_name"))
-    by_party = party == F.col("_ledger_name")
-    rest = bank.join(names, by_party, "left_anti")
-    hits = contains_any(rest, "description", ledgers, "name")
-    return bank.join(names, by_party, "left_semi"), rest, hits
+    # the key is a column: a sort-merge join on the expression would work it out
+    # again for every comparison of the sort
+    keyed = bank.withColumn("_party", text.description_party(F.col("description")))
+    names = ledgers.select(F.col("name").alias("_party"))
+    direct = keyed.join(names, "_party", "left_semi").select(bank.columns)
+    rest = keyed.join(names, "_party", "left_anti").select(bank.columns)
+    return direct, rest, contains_any(rest, "description", ledgers, "name")
 
 
 def match_bank(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -60,6 +60,15 @@ class Tables:
 
     @cached_property
     def sales(self) -> DataFrame:
+        return self.sales_priced.drop("price")
+
+    @cached_property
+    def bank(self) -> DataFrame:
+        return self.bank_priced.drop("price")
+
+    @cached_property
+    def sales_priced(self) -> DataFrame:
+        """Sales with the price as given, a plain column to spread defects by."""
         amount = money(F.col("o_totalprice"))
         return self._invoiced.select(
             F.col("o_orderdate").cast("date").alias("date"),
@@ -69,6 +78,7 @@ class Tables:
             money(amount * F.expr("0.18")).alias("gst"),
             F.col("o_orderpriority").alias("mode"),
             F.lit("ERP").alias("source"),
+            F.col("o_totalprice").alias("price"),
         )
 
     @cached_property
@@ -85,7 +95,7 @@ class Tables:
         )
 
     @cached_property
-    def bank(self) -> DataFrame:
+    def bank_priced(self) -> DataFrame:
         price, bill = money(F.col("o_totalprice")), money(F.col("l_extendedprice"))
         received = self._invoiced.filter(F.col("o_orderstatus") == "F").select(
             F.col("o_orderdate").cast("date").alias("date"),
@@ -94,6 +104,7 @@ class Tables:
             money(price + money(price * F.expr("0.18"))).alias("amount"),
             F.lit("credit").alias("type"),
             F.col("o_orderpriority").alias("mode"),
+            F.col("o_totalprice").alias("price"),
         )
         paid = self._billed.filter((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")).select(
             F.col("l_shipdate").cast("date").alias("date"),
@@ -102,16 +113,17 @@ class Tables:
             money(bill * F.expr("1.18")).alias("amount"),
             F.lit("debit").alias("type"),
             F.col("l_returnflag").alias("mode"),
+            F.col("l_extendedprice").alias("price"),
         )
         return received.unionByName(paid)
 
     @cached_property
     def raw_sales(self) -> DataFrame:
-        return self.spark.sql(RAW_SALES_SELECT.format(source="{sales}"), sales=self.sales)
+        return self.spark.sql(RAW_SALES_SELECT.format(source="{sales}"), sales=self.sales_priced)
 
     @cached_property
     def raw_bank(self) -> DataFrame:
-        return self.spark.sql(RAW_BANK_SELECT.format(source="{bank}"), bank=self.bank)
+        return self.spark.sql(RAW_BANK_SELECT.format(source="{bank}"), bank=self.bank_priced)
 
     @cached_property
     def raw_ledgers(self) -> DataFrame:
@@ -140,17 +152,17 @@ class Tables:
 
 # Text with defects.  The expressions below mean the same in Spark and DuckDB.
 RAW_SALES_SELECT = """
-select case when gst > 80000 then concat(' ', cast(date as string), ' ')
-            when gst > 70000 then concat(substring(cast(date as string), 1, 4), '-13-45')
-            when gst > 60000 then '' when gst > 50000 then '2999-01-01'
+select case when price > 440000 then concat(' ', cast(date as string), ' ')
+            when price > 390000 then concat(substring(cast(date as string), 1, 4), '-13-45')
+            when price > 330000 then '' when price > 280000 then '2999-01-01'
             else cast(date as string) end as date,
        concat(invoice_no, '  ') as invoice_no,
-       case when gst between 20000 and 25000 then concat('  ', party) else party end as party,
-       case when gst between 1000 and 5000 then concat('₹', cast(amount as string))
-            when gst between 5000 and 6000 then concat('-', cast(amount as string))
-            when gst between 6000 and 7000 then 'abc' when gst between 7000 and 8000 then null
-            when gst between 8000 and 9000 then '123456789012.5'
-            when gst between 30000 and 40000
+       case when price between 110000 and 140000 then concat('  ', party) else party end as party,
+       case when price between 5000 and 28000 then concat('₹', cast(amount as string))
+            when price between 28000 and 33000 then concat('-', cast(amount as string))
+            when price between 33000 and 39000 then 'abc' when price between 39000 and 44000 then null
+            when price between 44000 and 50000 then '123456789012.5'
+            when price between 165000 and 220000
             then concat(' ₹', substring(cast(amount as string), 1, 1), ',', substring(cast(amount as string), 2, 20))
             else cast(amount as string) end as amount,
        gst, lower(mode) as mode, source
@@ -158,14 +170,14 @@ from {source}"""
 
 RAW_BANK_SELECT = """
 select date, txn_id,
-       case when amount > 500000 then null
-            when amount > 450000 then concat('  ', description, '  ')
-            when amount > 400000 then replace(description, ' ', '')
-            when amount < 20000 then concat('transfer to ', description)
+       case when price > 430000 then null
+            when price > 380000 then concat('  ', description, '  ')
+            when price > 340000 then replace(description, ' ', '')
+            when price < 17000 then concat('transfer to ', description)
             else description end as description,
        amount,
-       case when amount between 100000 and 150000 then 'CREDIT'
-            when amount between 150000 and 200000 then null else type end as type, mode
+       case when price between 85000 and 127000 then 'CREDIT'
+            when price between 127000 and 170000 then null else type end as type, mode
 from {source}"""
 
 RAW_LEDGERS_SELECT = """
@@ -187,28 +199,30 @@ select concat('C',c_custkey) as ledger_id,
 union all
 select concat('S',s_suppkey), case when s_acctbal < {OVERDRAWN} then upper(s_name) else s_name end, 'Supplier'
 from supplier""",
-    "sales": f"""
-select cast(o_orderdate as date) as date, concat('INV',o_orderkey) as invoice_no, c_name as party,
+    "sales_priced": f"""
+select o_totalprice as price, cast(o_orderdate as date) as date, concat('INV',o_orderkey) as invoice_no, c_name as party,
        cast(o_totalprice as decimal(10,2)) as amount, {_GST.format('o_totalprice')} as gst,
        o_orderpriority as mode, 'ERP' as source
 from orders join customer on o_custkey = c_custkey""",
+    "sales": "select date, invoice_no, party, amount, gst, mode, source from sales_priced",
     "purchases": f"""
 select cast(l_shipdate as date) as date, concat('PUR',l_orderkey,'-',l_linenumber) as bill_no, s_name as supplier,
        cast(l_extendedprice as decimal(10,2)) as amount, {_GST.format('l_extendedprice')} as gst,
        l_returnflag as mode, 'ERP' as source
 from lineitem join supplier on l_suppkey = s_suppkey""",
-    "bank": f"""
-select cast(o_orderdate as date) as date, concat('TXCINV',o_orderkey) as txn_id,
+    "bank_priced": f"""
+select o_totalprice as price, cast(o_orderdate as date) as date, concat('TXCINV',o_orderkey) as txn_id,
        concat(c_name,' payment') as description,
        cast(cast(o_totalprice as decimal(10,2)) + {_GST.format('o_totalprice')} as decimal(10,2)) as amount,
        'credit' as type, o_orderpriority as mode
 from orders join customer on o_custkey = c_custkey where o_orderstatus = 'F'
 union all
-select cast(l_shipdate as date), concat('TXD',l_orderkey,'-',l_linenumber,'-',l_partkey), concat(s_name,' purchase'),
+select l_extendedprice, cast(l_shipdate as date), concat('TXD',l_orderkey,'-',l_linenumber,'-',l_partkey), concat(s_name,' purchase'),
        cast(cast(l_extendedprice as decimal(10,2))*1.18 as decimal(10,2)), 'debit', l_returnflag
 from lineitem join supplier on l_suppkey = s_suppkey where l_linestatus = 'F' and l_returnflag = 'A'""",
-    "raw_sales": _duck(RAW_SALES_SELECT.format(source="sales")),
-    "raw_bank": _duck(RAW_BANK_SELECT.format(source="bank")),
+    "bank": "select date, txn_id, description, amount, type, mode from bank_priced",
+    "raw_sales": _duck(RAW_SALES_SELECT.format(source="sales_priced")),
+    "raw_bank": _duck(RAW_BANK_SELECT.format(source="bank_priced")),
     "raw_ledgers": _duck(RAW_LEDGERS_SELECT.format(source="ledgers")),
     "orders_docs": """
 select cast(o_orderkey as varchar) as _id, concat('Party ',o_custkey) as name, o_orderstatus as status,
