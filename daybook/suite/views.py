@@ -18,6 +18,24 @@ from pyspark.sql import functions as F
 
 OVERDRAWN = -450
 
+# Columns of the given tables.  Declared, so that opening a table
+# does not start a job to read a footer.
+GIVEN_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
 
 def money(expr):
     return expr.cast("decimal(10,2)")
@@ -29,9 +47,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._given: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._given:
+            path = f"{self.sf_dir}/{name}.parquet"
+            self._given[name] = self.spark.read.schema(GIVEN_SCHEMAS[name]).parquet(path)
+        return self._given[name]
 
     @cached_property
     def ledgers(self) -> DataFrame:
