@@ -177,7 +177,8 @@ def cast_as(value: Column, target: str) -> Column:
     if kind == "DATETIME":
         return value.try_cast("timestamp_ntz")
     if kind == "TIME":
-        return F.date_format(value.try_cast("timestamp_ntz"), "HH:mm:ss")
+        # by text: formatting would move wall clock times the session's zone skips
+        return F.substring(value.try_cast("timestamp_ntz").cast("string"), 12, 8)
     if kind == "JSON":
         return F.try_parse_json(value)
     raise ValueError(f"unknown cast target {target!r}")

@@ -189,7 +189,9 @@ def expr_bits(t):
 
 
 def _stamp(column):
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    """Wall clock time with six decimals, whatever the session's zone."""
+    text = column.cast("string")
+    return F.rpad(F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
 
 
 _DUCK_STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
