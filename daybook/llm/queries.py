@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import rendezvous, warc
+from daybook.llm import rendezvous, simhash, warc
 from daybook.llm.common import table
 
 
@@ -16,9 +16,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.shards(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op7_sharding": op7_sharding,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLE_SQL = {
