@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import rendezvous, simhash, warc
+from daybook.llm import merkle, rendezvous, simhash, warc
 from daybook.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(*warc.archive(table(spark, sf_dir, "pages")))
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.shards(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc": op2_warc,
+    "op3_merkle": op3_merkle,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
 }
