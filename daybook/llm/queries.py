@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import merkle, rendezvous, simhash, warc
+from daybook.llm import merkle, raking, rendezvous, simhash, warc
 from daybook.llm.common import table
 
 
@@ -24,13 +24,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.decisions(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_merkle": op3_merkle,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLE_SQL = {
+    "op9_mixing": raking.ORACLE_SQL,
     "op2_warc": warc.PAGES_SQL,
 }
