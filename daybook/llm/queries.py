@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import merkle, raking, rendezvous, simhash, warc
+from daybook.llm import langid, merkle, raking, rendezvous, simhash, warc
 from daybook.llm.common import table
 
 
@@ -28,12 +28,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raking.decisions(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents")).drop("mark")
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_merkle": op3_merkle,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL = {
