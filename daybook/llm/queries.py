@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import decontam, langid, merkle, raking, rendezvous, simhash, warc
+from daybook.llm import decontam, langid, merkle, raking, rendezvous, secretscan, simhash, warc
 from daybook.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.shards(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_merkle": op3_merkle,
     "op5_decontamination": op5_decontamination,
+    "op6_secrets": op6_secrets,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
