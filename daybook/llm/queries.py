@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import decontam, langid, merkle, raking, rendezvous, secretscan, simhash, warc
+from daybook.llm import decontam, langid, merkle, ordinal, raking, rendezvous, secretscan, simhash, warc
 from daybook.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.graded(table(spark, sf_dir, "documents"), ordinal.ratings_of(table(spark, sf_dir, "labels")))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(*warc.archive(table(spark, sf_dir, "pages")))
 
@@ -41,6 +45,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_merkle": op3_merkle,
     "op5_decontamination": op5_decontamination,
