@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import stored
+from daybook.llm.common import fresh, stored
 from daybook.llm.graph import components
 
 BITS = 64
@@ -62,14 +62,15 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "fp"])
+        prints = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(2)], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints)], ["doc_id", "mark", "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with fp as a signed 64-bit number; a null text has no words."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id bigint, fp bigint")
+    """(doc_id, mark, fp): mark is the text's hash, fp a signed 64-bit number; a null text has no words."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.cast("binary").alias("text"))
+    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id bigint, mark bigint, fp bigint")
 
 
 def segments(max_bits: int) -> list[list[int]]:
@@ -196,6 +197,22 @@ def links(fps: DataFrame, max_bits: int = 3, bucket_rows: int = BUCKET_ROWS) ->
     return out
 
 
+def grouped(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(doc_id, mark, fp, keeper) per row of ``docs``: keeper is the component's row with the smallest
+    doc_id, a struct (nameless, doc_id, mark)."""
+    prints = stored(fingerprints(docs, shingle), "simhash")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    nodes = prints.groupBy("fp").agg(F.min(row).alias("least"))
+    reached = components(links(nodes.select("fp"), max_bits, bucket_rows))
+    named = nodes.join(reached, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    named = stored(named, "simhash-nodes")
+    of = named.groupBy("root").agg(F.min("least").alias("keeper"))
+    of = named.join(of, "root").select(F.col("fp").alias("node"), "keeper")
+    return prints.join(of, F.col("fp") == F.col("node")).drop("node")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs`` (doc_id, text).
 
@@ -205,15 +222,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket
     the component has no other (then it is null); repeated rows come out as often as they came
     in; an empty table gives no rows; other columns are not looked at.
     """
-    prints = stored(fingerprints(docs, shingle), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    reached = components(links(nodes.select("fp"), max_bits, bucket_rows))
-    named = nodes.join(reached, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = stored(named, "simhash-nodes")
-    of = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(of, "root").select(F.col("fp").alias("node"), "component_id")
-    return prints.join(of, F.col("fp") == F.col("node")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    return grouped(docs, shingle, max_bits, bucket_rows).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("keeper")["doc_id"].alias("component_id"),
     )
+
+
+def unique(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``docs`` with one document of each component: the one that names it.  All columns kept.
+
+    Rows that repeat a doc_id and a text are one document; among rows that share
+    a doc_id (or have none) the one with the smallest text hash counts.
+    """
+    own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    a, b = fresh("id__", docs), fresh("mark__", docs)
+    key = lambda column: F.coalesce(column.cast("bigint"), F.lit(-(1 << 63)))
+    gone = grouped(docs, shingle, max_bits, bucket_rows).where(~own.eqNullSafe(F.col("keeper")))
+    gone = stored(gone.select(key(F.col("doc_id")).alias(a), F.col("mark").alias(b)).distinct(), "simhash-gone")
+    keyed = docs.withColumns({a: key(F.col("doc_id")), b: F.xxhash64(F.col("text").cast("string"))})
+    return keyed.join(gone, [a, b], "left_anti").dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in docs.columns])
