@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import decontam, langid, merkle, ordinal, raking, rendezvous, secretscan, simhash, warc
+from daybook.llm import bwt, decontam, langid, merkle, ordinal, raking, rendezvous, secretscan, simhash, warc
 from daybook.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_merkle": op3_merkle,
+    "op4_suffixes": op4_suffixes,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
     "op7_sharding": op7_sharding,
