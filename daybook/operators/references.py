@@ -14,8 +14,6 @@ posting side.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +23,6 @@ from daybook.functions import text
 # that fits.  A text emits one window per position for each length in use.
 ANCHOR_LENGTHS = (1, 2, 4, 8)
 
-# Shapes (below) are a few characters and a number each.  Up to this many are
-# broadcast; the bound is counted, not estimated.  More than that are shuffled.
-MAX_BROADCAST_SHAPES = 500_000
-
 
 def _anchor_length(name: Column) -> Column:
     return F.greatest(*[F.when(F.length(name) >= n, F.lit(n)) for n in ANCHOR_LENGTHS], F.lit(0))
@@ -38,40 +32,36 @@ def contains_any(texts: DataFrame, text_col: str, names: DataFrame, name_col: st
     """Distinct texts that contain at least one of the names (case-sensitive).
 
     1. every name is reduced to its *shape*: leading anchor and full length;
-    2. every text emits the anchor-sized windows at each of its positions and an
-       equi join keeps those that start some name - one row per shape, however
-       many names share it;
-    3. the full-length substring at that position is joined to the names by
-       equality, which settles the match exactly.
+    2. every text emits (key, position, anchor) for the anchor lengths in use, without
+       the text itself, and an equi join keeps those that start some name - one row per
+       shape, however many names share it;
+    3. the text is joined back by its key, and the full-length substring at that position
+       is joined to the names by equality, which settles the match exactly.
 
     No pair of a text with a non-matching name is ever formed.  An empty name is
-    contained in every text.  Looking at the names (how many shapes, which anchor
-    lengths) takes one aggregate over them when this is called; the texts are not
-    touched until the result is.
+    contained in every text.  Nothing runs when this is called.
     """
-    texts = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text")).distinct()
+    text_of = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text")).distinct()
+    # texts that share a key share candidates, and each candidate is checked against its text
+    text_of = text_of.withColumn("_key", F.xxhash64("_text"))
     name = F.col("_name")
     names = names.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("_name"))
-    shaped = names.select(
+    shapes = names.select(
         F.substring(name, F.lit(1), _anchor_length(name)).alias("_anchor"), F.length(name).alias("_len")
-    )
-    facts = shaped.agg(
-        F.collect_set(F.length("_anchor")).alias("lengths"), F.count_distinct("_anchor", "_len").alias("n")
-    ).first()
-    if 0 in facts.lengths:
-        return texts.withColumnRenamed("_text", text_col)
-
-    shapes = shaped.distinct()
-    if facts.n <= MAX_BROADCAST_SHAPES:
-        shapes = F.broadcast(shapes)
+    ).distinct()
+    in_use = shapes.select(F.length("_anchor").alias("_n")).distinct()
     windows = (
-        texts.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sorted(facts.lengths)]).cast("array<int>")))
+        text_of.withColumn("_n", F.explode(F.lit([0, *ANCHOR_LENGTHS])))
         .filter(F.length("_text") >= F.col("_n"))
-        .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)))
-        .withColumn("_anchor", F.substring(F.col("_text"), F.col("_at"), F.col("_n")))
+        .join(in_use, "_n", "left_semi")
+        # an empty name needs one position only
+        .withColumn("_last", F.when(F.col("_n") == 0, 1).otherwise(F.length("_text") - F.col("_n") + 1))
+        .withColumn("_at", F.explode(F.sequence(F.lit(1), F.col("_last"))))
+        .select("_key", "_at", F.substring(F.col("_text"), F.col("_at"), F.col("_n")).alias("_anchor"))
     )
+    starts = windows.join(shapes, "_anchor").select("_key", "_at", "_len")
     candidates = (
-        windows.join(shapes, "_anchor")
+        starts.join(text_of, "_key")
         .filter(F.col("_at") + F.col("_len") - 1 <= F.length("_text"))
         .select("_text", F.substring(F.col("_text"), F.col("_at"), F.col("_len")).alias("_name"))
     )
@@ -89,47 +79,49 @@ def anti_contains(df: DataFrame, text_col: str, names: DataFrame, name_col: str)
     return df.join(contains_any(df, text_col, names, name_col), text_col, "left_anti").select(df.columns)
 
 
-def _split_by_party(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows whose parsed party is a ledger name, the rest, texts of the rest with a name in them).
+def one_per_name(ledgers: DataFrame) -> DataFrame:
+    """One ledger row per name: the one with the smallest id, then the smallest other columns.
+
+    Ledger names are declared unique; where they are not (``check_unique`` lists them), a posting
+    must still count once.  Rows without a name reference nothing and stay out.
+    """
+    rest = [c for c in ledgers.columns if c not in ("ledger_id", "name")]
+    order = F.struct(*[c for c in ("ledger_id", "name", *rest) if c in ledgers.columns])
+    kept = ledgers.filter(F.col("name").isNotNull()).groupBy(F.col("name").alias("_by")).agg(F.min(order).alias("_row"))
+    return kept.select(*[F.col("_row")[c].alias(c) for c in ledgers.columns])
+
+
+def flag_bank(bank: DataFrame, ledgers: DataFrame) -> DataFrame:
+    """Every bank row with ``valid``.
 
-    A parsed party that equals a ledger name is contained in its description, so
-    one equi join settles these rows; only the rest goes by distinct text.
+    A parsed party that equals a ledger name is contained in its description, so one equi
+    join settles these rows; only the distinct texts of the rest are searched.
     """
     # the key is a column: a sort-merge join on the expression would work it out
     # again for every comparison of the sort
+    names = ledgers.filter(F.col("name").isNotNull()).select(F.col("name").alias("_party")).distinct()
     keyed = bank.withColumn("_party", text.description_party(F.col("description")))
-    names = ledgers.select(F.col("name").alias("_party"))
-    direct = keyed.join(names, "_party", "left_semi").select(bank.columns)
-    rest = keyed.join(names, "_party", "left_anti").select(bank.columns)
-    return direct, rest, contains_any(rest, "description", ledgers, "name")
+    keyed = keyed.join(names.withColumn("_direct", F.lit(True)), "_party", "left")
+    hits = contains_any(keyed.filter(F.col("_direct").isNull()), "description", ledgers, "name")
+    judged = keyed.join(hits.withColumn("_hit", F.lit(True)), "description", "left")
+    return judged.select(*bank.columns, (F.col("_direct").isNotNull() | F.col("_hit").isNotNull()).alias("valid"))
 
 
 def match_bank(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) bank rows; together they are the input, NULLs invalid."""
-    direct, rest, hits = _split_by_party(bank, ledgers)
-    valid = direct.unionByName(rest.join(hits, "description", "left_semi").select(bank.columns))
-    return valid, rest.join(hits, "description", "left_anti").select(bank.columns)
-
-
-def flag_bank(bank: DataFrame, ledgers: DataFrame) -> DataFrame:
-    """Every bank row with ``valid``."""
-    direct, rest, hits = _split_by_party(bank, ledgers)
-    known = hits.withColumn("_hit", F.lit(True))
-    judged = rest.join(known, "description", "left").select(
-        *bank.columns, F.col("_hit").isNotNull().alias("valid")
-    )
-    return direct.withColumn("valid", F.lit(True)).unionByName(judged)
+    flagged = flag_bank(bank, ledgers)
+    return flagged.filter("valid").drop("valid"), flagged.filter("NOT valid").drop("valid")
 
 
 def match_party(df: DataFrame, ledgers: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """(valid with the ledger columns appended, invalid as they came)."""
+    """(valid with the ledger columns appended, invalid as they came); a name held twice counts once."""
     on = F.col(column) == F.col("name")
-    return df.join(ledgers, on, "inner"), df.join(ledgers, on, "left_anti")
+    return df.join(one_per_name(ledgers), on, "inner"), df.join(ledgers, on, "left_anti")
 
 
 def flag_party(df: DataFrame, ledgers: DataFrame, column: str) -> DataFrame:
     """Every row with its ledger columns, NULL where there is no ledger, and ``valid``."""
-    joined = df.join(ledgers, F.col(column) == F.col("name"), "left")
+    joined = df.join(one_per_name(ledgers), F.col(column) == F.col("name"), "left")
     return joined.withColumn("valid", F.col("name").isNotNull())
 
 
@@ -158,8 +150,3 @@ def validate_references(
             invalid = invalid.filter(F.col("description").isNotNull())
         return valid, invalid
     raise ValueError(f"unknown table_type {table_type!r}; expected sales, purchases or bank")
-
-
-def any_of(predicates: list) -> object:
-    """OR of a list of predicates; false for an empty list."""
-    return reduce(lambda a, b: a | b, predicates, F.lit(False))

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from daybook.functions import text
 from daybook.functions.text import CREDIT, DEBIT
+from daybook.operators.references import one_per_name
+
+#: Totals of many postings; wide enough for 10^13 postings of the largest amount.
+TOTAL = "decimal(38,2)"
 
 
 def _sum_where(condition: Column, amount: str = "amount") -> Column:
@@ -33,17 +37,26 @@ def monthly_total(df: DataFrame, out: str) -> DataFrame:
     return _by_month(df, F.sum("amount").alias(out))
 
 
-def monthly_trend(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """month, total_sales, total_purchases; a side without postings counts 0."""
+def monthly_sums(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """``monthly_trend`` with DECIMAL totals."""
     joined = monthly_total(sales, "total_sales").join(
         monthly_total(purchases, "total_purchases"), "month", "full_outer"
     )
     return joined.select(
         "month",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in ("total_sales", "total_purchases")],
+        *[F.coalesce(F.col(c), F.lit(0)).cast(TOTAL).alias(c) for c in ("total_sales", "total_purchases")],
     )
 
 
+def _as_double(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+def monthly_trend(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """month, total_sales, total_purchases; a side without postings counts 0."""
+    return _as_double(monthly_sums(sales, purchases), "total_sales", "total_purchases")
+
+
 def entries(sales: DataFrame, purchases: DataFrame, bank: DataFrame) -> DataFrame:
     """All postings as party_name, date, amount, nature (a bag)."""
     description = F.col("description")
@@ -70,28 +83,31 @@ def _party_totals(postings: DataFrame) -> DataFrame:
     )
 
 
-def _outstanding(totals: DataFrame, type_column: str) -> DataFrame:
-    # a ledger name held twice counts its party once per ledger row, as a join
-    # before the aggregation would
-    summed = totals.groupBy("party_name", type_column).agg(
-        F.sum("_debit").alias("_debit"), F.sum("_credit").alias("_credit")
-    )
-    return summed.select(
+def _balances(totals: DataFrame, type_column: str) -> DataFrame:
+    return totals.select(
         "party_name",
         type_column,
-        F.col("_debit").cast("double").alias("total_debit"),
-        F.col("_credit").cast("double").alias("total_credit"),
-        (F.col("_debit") - F.col("_credit")).cast("double").alias("outstanding"),
+        F.col("_debit").cast(TOTAL).alias("total_debit"),
+        F.col("_credit").cast(TOTAL).alias("total_credit"),
+        (F.col("_debit") - F.col("_credit")).cast(TOTAL).alias("outstanding"),
     )
 
 
+_BALANCE = ("total_debit", "total_credit", "outstanding")
+
+
+def party_balances(sales: DataFrame, purchases: DataFrame, bank: DataFrame, ledgers: DataFrame) -> DataFrame:
+    """``party_outstanding`` with DECIMAL totals."""
+    types = one_per_name(ledgers).select(F.col("name").alias("party_name"), F.col("type").alias("party_type"))
+    totals = _party_totals(entries(sales, purchases, bank)).join(types, "party_name", "left")
+    return _balances(totals, "party_type")
+
+
 def party_outstanding(
     sales: DataFrame, purchases: DataFrame, bank: DataFrame, ledgers: DataFrame
 ) -> DataFrame:
-    """Balance per party over all postings; unregistered parties keep a NULL type."""
-    types = ledgers.select(F.col("name").alias("party_name"), F.col("type").alias("party_type"))
-    totals = _party_totals(entries(sales, purchases, bank)).join(types, "party_name", "left")
-    return _outstanding(totals, "party_type")
+    """Balance per party over all postings; unregistered parties keep a NULL type, a name held twice counts once."""
+    return _as_double(party_balances(sales, purchases, bank, ledgers), *_BALANCE)
 
 
 def party_billed(sales: DataFrame, purchases: DataFrame, ledgers: DataFrame) -> DataFrame:
@@ -99,8 +115,8 @@ def party_billed(sales: DataFrame, purchases: DataFrame, ledgers: DataFrame) ->
     billed = sales.select(F.col("party").alias("party_name"), "amount", F.lit(DEBIT).alias("nature")).unionByName(
         purchases.select(F.col("supplier").alias("party_name"), "amount", F.lit(CREDIT).alias("nature"))
     )
-    types = ledgers.select(F.col("name").alias("party_name"), "type")
-    return _outstanding(_party_totals(billed).join(types, "party_name"), "type")
+    types = one_per_name(ledgers).select(F.col("name").alias("party_name"), "type")
+    return _as_double(_balances(_party_totals(billed).join(types, "party_name"), "type"), *_BALANCE)
 
 
 def cash_flow(bank: DataFrame) -> DataFrame:
@@ -118,17 +134,23 @@ def cash_flow(bank: DataFrame) -> DataFrame:
 
 
 def top_customers(outstanding: DataFrame, k: int = 5) -> DataFrame:
-    """The k customers with the most negative balance, shown positive."""
+    """The k customers with the most negative balance, shown positive.
+
+    ``outstanding`` may be ``party_outstanding`` or the exact ``party_balances``.
+    """
     return (
         outstanding.filter((F.col("party_type") == "Customer") & (F.col("outstanding") < 0))
         .orderBy("outstanding", "party_name")
         .limit(k)
-        .select("party_name", (-F.col("outstanding")).alias("dues"))
+        .select("party_name", (-F.col("outstanding")).cast("double").alias("dues"))
     )
 
 
 def net_position(outstanding: DataFrame) -> DataFrame:
-    """Absolute totals of both party types and their share; two rows."""
+    """Absolute totals of both party types and their share; two rows.
+
+    ``outstanding`` may be ``party_outstanding``, or ``party_balances`` for totals that keep every paisa.
+    """
     money = F.col("outstanding").cast("decimal(28,2)")
 
     def side(kind: str) -> Column:
@@ -138,20 +160,21 @@ def net_position(outstanding: DataFrame) -> DataFrame:
     both = F.col("c") + F.col("s")
 
     def row(label: str, value: str) -> Column:
-        share = F.try_divide(F.col(value).cast("double") * 100, both.cast("double"))
+        share = F.try_divide(F.col(value).cast("double") * 100, both.cast("double"))  # of exact totals
         return F.struct(
             F.lit(label).alias("side"),
             F.col(value).cast("double").alias("total"),
             F.round(share, 1).alias("share_pct"),
         )
 
+    # The labels of the chart.
     return totals.select(
         F.inline(F.array(row("Receivables (Customers)", "c"), row("Payables (Suppliers)", "s")))
     )
 
 
 def trend_gap(trend: DataFrame) -> DataFrame:
-    """Sales minus purchases by month."""
+    """Sales minus purchases by month, of ``monthly_trend`` or the exact ``monthly_sums``."""
     gap = F.col("total_sales").cast("decimal(28,2)") - F.col("total_purchases").cast("decimal(28,2)")
     return trend.select("month", gap.cast("double").alias("gap"))
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from datetime import date
 from decimal import Decimal
 
@@ -21,6 +22,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daybook-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -28,60 +30,41 @@ def spark():
     session.stop()
 
 
-# A month and a few days of a small trading firm, and what its books must say.
+# Two months of a small wholesaler, made up for these tests.
 LEDGER_ROWS = """
-L001|ABC Corp|Customer
-L002|XYZ Ltd|Customer
-L003|SmartTech|Customer
-L004|Fine Interiors|Customer
-L005|Quick Retail|Customer
-L006|StationeryMart|Supplier
-L007|LogiTech Supply|Supplier
-L008|IT Solutions|Supplier
-L009|Furniture Co.|Supplier
-L010|PowerTech|Supplier
+C-1|Harbour Bakery|Customer
+C-2|Nordlicht Cafe|Customer
+C-3|Olive & Vine|Customer
+C-4|Paper Lantern|Customer
+S-1|Millstone Flour|Supplier
+S-2|Ridge Dairy|Supplier
+S-3|Tin & Twine|Supplier
 """
 
 SALES_ROWS = """
-2024-01-05|INV001|ABC Corp|10000|1800|UPI
-2024-01-07|INV002|XYZ Ltd|25000|4500|Cash
-2024-01-10|INV003|SmartTech|18000|3240|Card
-2024-01-15|INV004|ABC Corp|15000|2700|UPI
-2024-01-18|INV005|Fine Interiors|30000|5400|NEFT
-2024-01-21|INV006|XYZ Ltd|10000|1800|Cash
-2024-01-25|INV007|Quick Retail|22000|3960|UPI
-2024-01-28|INV008|SmartTech|13000|2340|Card
-2024-02-01|INV009|Fine Interiors|17000|3060|Cash
-2024-02-03|INV010|ABC Corp|14000|2520|NEFT
+2023-05-02|A-1|Harbour Bakery|1200|60|Wire
+2023-05-09|A-2|Nordlicht Cafe|800|40|Cash
+2023-05-20|A-3|Harbour Bakery|300|15|Wire
+2023-06-04|A-4|Olive & Vine|2500|125|Card
+2023-06-11|A-5|Paper Lantern|450|22.50|Cash
+2023-06-30|A-6|Nordlicht Cafe|1000|50|Wire
 """
 
 PURCHASE_ROWS = """
-2024-01-03|PUR001|StationeryMart|5000|900|UPI
-2024-01-08|PUR002|LogiTech Supply|12000|2160|Cash
-2024-01-12|PUR003|IT Solutions|9000|1620|Card
-2024-01-17|PUR004|StationeryMart|7000|1260|UPI
-2024-01-20|PUR005|Furniture Co.|15000|2700|NEFT
-2024-01-23|PUR006|PowerTech|8000|1440|UPI
-2024-01-27|PUR007|IT Solutions|9500|1710|Cash
-2024-02-01|PUR008|LogiTech Supply|11000|1980|Card
+2023-05-05|B-1|Millstone Flour|700|35|Wire
+2023-05-25|B-2|Ridge Dairy|400|20|Cash
+2023-06-08|B-3|Millstone Flour|650|32.50|Wire
+2023-06-19|B-4|Tin & Twine|90|4.50|Cash
 """
 
 BANK_ROWS = """
-2024-01-05|TX001|ABC Corp payment|11800|credit|UPI
-2024-01-07|TX002|XYZ Ltd payment|29500|credit|Cash
-2024-01-08|TX003|StationeryMart purchase|5900|debit|UPI
-2024-01-10|TX004|SmartTech payment|21240|credit|Card
-2024-01-12|TX005|IT Solutions purchase|10620|debit|Card
-2024-01-15|TX006|ABC Corp payment|17700|credit|UPI
-2024-01-17|TX007|StationeryMart purchase|8260|debit|UPI
-2024-01-18|TX008|Fine Interiors payment|35400|credit|NEFT
-2024-01-20|TX009|Furniture Co. purchase|17700|debit|NEFT
-2024-01-21|TX010|XYZ Ltd payment|11800|credit|Cash
-2024-01-22|TX011|PowerTech purchase|9440|debit|UPI
-2024-01-25|TX012|Quick Retail payment|25960|credit|UPI
-2024-01-27|TX013|IT Solutions purchase|11210|debit|Cash
-2024-01-28|TX014|SmartTech payment|15340|credit|Card
-2024-02-01|TX015|   Fine Interiors payment   |20060|credit|Cash
+2023-05-10|K-1|Harbour Bakery payment|1500|credit|Wire
+2023-05-12|K-2|Millstone Flour purchase|500|debit|Wire
+2023-05-28|K-3|Nordlicht Cafe payment|900|credit|Cash
+2023-06-06|K-4|Olive & Vine payment|3000|credit|Card
+2023-06-15|K-5|Ridge Dairy purchase|400|debit|Cash
+2023-06-21|K-6|Tin & Twine purchase|200|debit|Wire
+2023-06-28|K-7|   Nordlicht Cafe payment   |1100|credit|Cash
 """
 
 
