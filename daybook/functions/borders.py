@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 
 ZERO_DATE = "0000-00-00"
 FIRST_DATE = "0001-01-01"
+#: A day, with a time of day or without.
+DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?\z"
 
 
 def zero_date(text: Column, policy: str = "null") -> Column:
-    """Date text to DATE; the zero date becomes NULL, an error or the first day."""
-    zero = text.startswith(ZERO_DATE)
+    """Date text (a time may follow) to DATE; the zero date becomes NULL, an error or the first day.
+
+    Any other text is NULL.
+    """
+    well_formed = text.rlike(DAY)
+    zero = well_formed & text.startswith(ZERO_DATE)
     if policy == "null":
         replacement = F.lit(None).cast("string")
     elif policy == "round":
@@ -20,7 +26,7 @@ def zero_date(text: Column, policy: str = "null") -> Column:
         replacement = F.raise_error(F.lit("zero date")).cast("string")
     else:
         raise ValueError(f"unknown zero date policy {policy!r}")
-    return F.try_to_date(F.when(zero, replacement).otherwise(F.left(text, F.lit(10))), "yyyy-MM-dd")
+    return F.try_to_date(F.when(zero, replacement).when(well_formed, F.substring_index(F.substring_index(text, " ", 1), "T", 1)), "yyyy-MM-dd")
 
 
 def tinyint_bool(value: Column) -> Column:

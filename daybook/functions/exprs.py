@@ -24,13 +24,15 @@ def all_of(*conditions: Column) -> Column:
 
 
 def any_of(*conditions: Column) -> Column:
-    return reduce(operator.or_, conditions)
+    """OR of the conditions; false where there is none."""
+    return reduce(operator.or_, conditions, F.lit(False))
 
 
 def negate(condition: Column) -> Column:
     return ~condition
 
 
+# Operator spellings.
 COMPARISONS: dict[str, Callable] = {
     ">=": operator.ge,
     ">": operator.gt,
@@ -69,6 +71,11 @@ def arith(op: str, left: object, right: object) -> Column:
     return ARITHMETIC[op](_column(left), _column(right))
 
 
+def sign(op: str, value: object) -> Column:
+    """Unary ``+`` and ``-``."""
+    return {"+": _column(value), "-": -_column(value)}[op]
+
+
 def bits(op: str, left: object, right: object) -> Column:
     return BITS[op](_column(left), _column(right))
 
@@ -90,9 +97,28 @@ def in_list(value: Column, *options: object) -> Column:
     return value.isin(*options)
 
 
-def contained_in(value: Column, array: Column) -> Column:
-    """A value in an array."""
-    return F.array_contains(array, value)
+def contained_in(value: object, container: Column, dtype: T.DataType | None = None) -> Column:
+    """``value in container``: an element of an array, or equal to a scalar.
+
+    ``dtype`` is the container's type where it is not an array.  A NULL container or value makes
+    the result NULL, except that a NULL element of an array contains a NULL value.
+    """
+    wanted = _column(value)
+    if dtype is not None and not isinstance(dtype, T.ArrayType):
+        return container == wanted
+    held = F.when(wanted.isNull(), F.exists(container, lambda x: x.isNull()))
+    return F.when(container.isNotNull(), held.otherwise(F.coalesce(F.array_contains(container, wanted), F.lit(False))))
+
+
+def json_contained_in(value: object, json_text: Column, path: str, dtype: str = "string") -> Column:
+    """``value in $.path`` of a JSON text whose member may be an array or a scalar; NULL where it is missing."""
+    member = F.try_variant_get(F.try_parse_json(json_text), path, "variant")
+    items = F.try_variant_get(F.try_parse_json(json_text), path, "array<variant>")
+    wanted = _column(value)
+    is_null = F.schema_of_variant(member) == "VOID"
+    inside = F.exists(items, lambda x: F.when(wanted.isNull(), F.schema_of_variant(x) == "VOID").otherwise(F.coalesce(F.try_variant_get(x, "$", dtype) == wanted, F.lit(False))))
+    equal = F.when(wanted.isNull(), is_null).otherwise(F.coalesce(F.try_variant_get(member, "$", dtype) == wanted, F.lit(False)))
+    return F.when(member.isNotNull(), F.when(items.isNotNull(), inside).otherwise(equal))
 
 
 def array_contained_in(inner: Column, outer: Column) -> Column:
@@ -119,6 +145,7 @@ def overlaps(left: Column, right: Column) -> Column:
 
 # -- dates -------------------------------------------------------------------
 
+# Interval units.
 SIMPLE_UNITS = ("MICROSECOND", "SECOND", "MINUTE", "HOUR", "DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
 _CLOCK = ("DAY", "HOUR", "MINUTE", "SECOND", "MICROSECOND")
 
@@ -156,7 +183,11 @@ def interval_composite(when: Column, text: str, unit: str, sign: int = 1) -> Col
 
 
 def cast_as(value: Column, target: str) -> Column:
-    """CAST by the relational type names; a value that does not fit is NULL."""
+    """CAST by the relational type names; a value that does not fit is NULL.
+
+    SIGNED and UNSIGNED round numbers and numeric text half away from zero; UNSIGNED is 0 to 2^64 - 1.
+    """
+    # The names of the cast targets.
     kind, *size = re.findall(r"[A-Za-z]+|\d+", target.upper())
     numbers = [int(n) for n in size if n.isdigit()]
     if kind == "DECIMAL":
@@ -169,9 +200,10 @@ def cast_as(value: Column, target: str) -> Column:
         raw = value.cast("string").cast("binary")
         return F.substring(raw, 1, numbers[0]) if numbers else raw
     if kind == "SIGNED":
-        return value.try_cast("bigint")
+        return F.round(value.try_cast(T.DecimalType(38, 10))).try_cast("bigint")
     if kind == "UNSIGNED":
-        return value.try_cast(T.DecimalType(20, 0))
+        whole = F.round(value.try_cast(T.DecimalType(38, 10))).try_cast(T.DecimalType(20, 0))
+        return F.when(whole.between(F.lit(0), F.lit(str(2**64 - 1)).cast(T.DecimalType(20, 0))), whole)
     if kind == "DATE":
         return value.try_cast("date")
     if kind == "DATETIME":
@@ -201,8 +233,27 @@ def doc_path(json_text: Column, path: str, dtype: str = "string") -> Column:
 
 
 def doc_path_elements(json_text: Column, path: str) -> Column:
-    """``path[*]``: all elements of the array at the path, as text."""
-    return F.from_json(F.get_json_object(json_text, path), T.ArrayType(T.StringType()))
+    """``path[*]`` or ``path[*].member``: all matches, as text; NULL where the first array is missing.
+
+    Each ``[*]`` opens one array; elements without what follows it are left out.
+    """
+    first, *rest = path.split("[*]")
+    items = T.ArrayType(T.StringType())
+
+    def member(step: str, opened: bool) -> Callable[[Column], Column]:
+        def of(x: Column) -> Column:
+            found = F.get_json_object(x, "$" + step) if step else x
+            return F.from_json(found, items) if opened else found
+
+        return of
+
+    found = F.from_json(F.get_json_object(json_text, first), items)
+    for i, step in enumerate(rest):
+        opened = i < len(rest) - 1
+        if step or opened:
+            found = F.array_compact(F.transform(found, member(step, opened)))
+            found = F.flatten(found) if opened else found
+    return found
 
 
 def doc_path_members(json_text: Column) -> Column:
@@ -211,20 +262,29 @@ def doc_path_members(json_text: Column) -> Column:
 
 
 def doc_path_anywhere(root: Column, schema: T.StructType, member: str) -> Column:
-    """``**.member``: the values of a member at any depth of a typed document, as text."""
-
-    def walk(value: Column, dtype: T.DataType) -> list[Column]:
+    """``**.member``: the values of a member at any depth of a typed document, arrays included, as text."""
+    none = F.array().cast("array<string>")
+
+    def walk(value: Column, dtype: T.DataType) -> Column | None:
+        """Array of the values found below; None where the type has no such member."""
+        if isinstance(dtype, T.ArrayType):
+            if walk(F.lit(None).cast(dtype.elementType), dtype.elementType) is None:
+                return None
+            return F.coalesce(F.flatten(F.transform(value, lambda x: walk(x, dtype.elementType))), none)
+        if not isinstance(dtype, T.StructType):
+            return None
         found = []
-        if isinstance(dtype, T.StructType):
-            for f in dtype:
-                child = value.getField(f.name)
-                if f.name == member:
-                    found.append(child.cast("string"))
-                found.extend(walk(child, f.dataType))
-        return found
+        for f in dtype:
+            child = value.getField(f.name)
+            if f.name == member:
+                found.append(F.array(child.cast("string")))
+            below = walk(child, f.dataType)
+            if below is not None:
+                found.append(below)
+        return F.concat(*found) if found else None
 
     hits = walk(root, schema)
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    return none if hits is None else F.array_compact(hits)
 
 
 def func(name: str, *args: object) -> Column:

@@ -22,6 +22,7 @@ from daybook.operators.tables import Expr
 
 ID, DOC = "_id", "doc"
 
+#: One member step with array positions behind it.
 _STEP = re.compile(r"^([^\[\]]+)((?:\[\d+\])*)$")
 
 
@@ -38,13 +39,29 @@ def at(path: str, root: Column | None = None) -> Column:
     return value
 
 
-def type_at(schema: T.StructType, path: str) -> T.DataType | None:
-    """Type of a member path in the document schema, None where there is no member."""
-    dtype: T.DataType = schema
+def steps(path: str) -> list[str | int]:
+    """``lines[0].n`` as ``["lines", 0, "n"]``; anything that is no member or position is an error."""
+    out: list[str | int] = []
     for step in path.split("."):
-        if not isinstance(dtype, T.StructType) or step not in dtype.fieldNames():
-            return None
-        dtype = dtype[step].dataType
+        found = _STEP.match(step)
+        if not found or "*" in step:
+            raise ValueError(f"invalid document path {path!r}")
+        out.append(found.group(1))
+        out += [int(i) for i in re.findall(r"\d+", found.group(2))]
+    return out
+
+
+def type_at(schema: T.StructType, path: str) -> T.DataType | None:
+    """Type at a path of the document schema, None where there is no such member or array."""
+    return _type_below(schema, steps(path))
+
+
+def _type_below(dtype: T.DataType | None, path: Sequence[str | int]) -> T.DataType | None:
+    for step in path:
+        if isinstance(step, int):
+            dtype = dtype.elementType if isinstance(dtype, T.ArrayType) else None
+        else:
+            dtype = dtype[step].dataType if isinstance(dtype, T.StructType) and step in dtype.fieldNames() else None
     return dtype
 
 
@@ -115,21 +132,37 @@ def duplicate_ids(coll: DataFrame, new: DataFrame) -> DataFrame:
     return twice.union(new.join(coll.select(ID), ID, "left_semi").select(ID)).distinct()
 
 
+def _refused(rows: DataFrame, clash: Column, message: str) -> DataFrame:
+    """``rows`` where no clash is found; the first clash fails the query when it runs."""
+    stop = F.raise_error(F.concat(F.lit(f"{message}: "), F.col(ID))).cast("boolean")
+    return rows.filter(F.when(clash, stop).otherwise(F.lit(True)))
+
+
+def once(changes: DataFrame, message: str = "changes hold a document twice") -> DataFrame:
+    """``changes``, refused when the query runs if an id comes more than once (NULL ids do not collide)."""
+    counted = changes.groupBy(ID).agg(F.count("*").alias("_n"), F.first(DOC).alias(DOC))
+    whole = counted.filter(F.col(ID).isNotNull()).unionByName(
+        changes.filter(F.col(ID).isNull()).select(ID, F.lit(1).cast("bigint").alias("_n"), DOC)
+    )
+    return _refused(whole, F.col("_n") > 1, message).select(ID, DOC)
+
+
 def add(coll: DataFrame, new: DataFrame) -> DataFrame:
-    """Append documents; an id that is there already, or comes twice, is an error."""
-    clash = duplicate_ids(coll, new).take(1)
-    if clash:
-        raise ValueError(f"document contains a duplicate {ID}: {clash[0][0]}")
-    return coll.unionByName(new)
+    """Append documents; an id that is there already, or comes twice, fails the query when it runs."""
+    there = coll.select(ID).distinct().withColumn("_there", F.lit(True))
+    message = f"document contains a duplicate {ID}"
+    checked = once(new.select(ID, DOC), message).join(there, ID, "left")
+    return coll.unionByName(_refused(checked, F.col("_there").isNotNull(), message).select(coll.columns))
 
 
 def latest(changes: DataFrame, sequence: str) -> DataFrame:
-    """One document per id: the last by ``sequence``."""
-    return changes.groupBy(ID).agg(F.max_by(DOC, sequence).alias(DOC))
+    """One document per id: the last by ``sequence``, of several the one whose text sorts last."""
+    return changes.groupBy(ID).agg(F.max_by(DOC, F.struct(F.col(sequence), F.to_json(DOC))).alias(DOC))
 
 
 def add_or_replace(coll: DataFrame, changes: DataFrame) -> DataFrame:
-    """Upsert; ``changes`` holds one document per id (see ``latest``)."""
+    """Upsert; ``changes`` holds one document per id (see ``latest``), or the query fails."""
+    changes = once(changes.select(ID, DOC))
     kept = coll.join(changes.select(ID), ID, "left_anti")
     return kept.unionByName(changes.select(coll.columns)).select(coll.columns)
 
@@ -144,8 +177,8 @@ def add_or_replace_one(coll: DataFrame, doc_id: str, one: DataFrame) -> DataFram
 
 
 def replace(coll: DataFrame, changes: DataFrame) -> DataFrame:
-    """Replace documents that are there; ids that are not are left alone."""
-    new = changes.select(ID, F.col(DOC).alias("_new"))
+    """Replace documents that are there; ids that are not are left alone, repeated ones fail the query."""
+    new = once(changes.select(ID, DOC)).select(ID, F.col(DOC).alias("_new"))
     joined = coll.join(new, ID, "left")
     return joined.select(ID, F.coalesce("_new", DOC).alias(DOC))
 
@@ -164,39 +197,78 @@ def remove_first(coll: DataFrame, by: Sequence[Expr], n: int, condition: Expr |
 
 
 def remove_one(coll: DataFrame, doc_id: str) -> DataFrame:
-    return coll.filter(F.col(ID) != doc_id)
+    return coll.filter(~F.equal_null(F.col(ID), F.lit(doc_id)))
 
 
 # -- modifying ---------------------------------------------------------------
 
 
-def _write(coll: DataFrame, path: str, value: Column, condition: Expr | None) -> DataFrame:
-    """Put a value at a member path; rows not chosen keep theirs."""
-    if path == ID or path.startswith(ID + "."):
+def _put(value: Column, dtype: T.DataType, path: Sequence[str | int], new, append: bool) -> Column:
+    """``value`` with ``new(old)`` at the path below it; arrays are rebuilt around the position.
+
+    A missing parent stays missing.  ``append``: the position just behind an array's end, or any
+    further one, adds an element.
+    """
+    step, rest = path[0], path[1:]
+    if isinstance(step, str):
+        old = value.getField(step) if step in dtype.fieldNames() else None
+        inner = new(old) if not rest else _put(old, dtype[step].dataType, rest, new, append)
+        # a missing object does not come into being because a member below it is set
+        return F.when(value.isNotNull(), value.withField(step, inner))
+    element = dtype.elementType
+    change = (lambda x: new(x).cast(element)) if not rest else (lambda x: _put(x, element, rest, new, append))
+    changed = F.transform(value, lambda x, i: F.when(i == step, change(x)).otherwise(x))
+    if append and not rest:
+        added = F.array_append(value, new(F.lit(None).cast(element)).cast(element))
+        return F.when(F.size(value) > step, changed).when(value.isNotNull(), added)
+    return changed
+
+
+def _write(coll: DataFrame, path: str, value: Column, condition: Expr | None, append: bool = False) -> DataFrame:
+    """Put a value at a path; rows not chosen keep theirs."""
+    if path == ID or path.startswith((ID + ".", ID + "[")):
         raise ValueError(f"{ID} cannot be changed")
-    old = type_at(_doc_type(coll), path)
-    if condition is not None:
-        hit = F.coalesce(tables.expression(condition), F.lit(False))
-        value = F.when(hit, value if old is None else value.cast(old))
-        if old is not None:
-            value = value.when(~hit, at(path))
-    return coll.withColumn(DOC, F.col(DOC).withField(path, value))
+    old_type = type_at(_doc_type(coll), path)
+    hit = None if condition is None else F.coalesce(tables.expression(condition), F.lit(False))
+    # the value and the condition see the document as it was, outside of any array's lambda
+    held = coll.withColumn("_value", value if old_type is None or hit is None else value.cast(old_type))
+    if hit is not None:
+        held = held.withColumn("_chosen", hit)
+
+    def new(old: Column | None) -> Column:
+        if hit is None:
+            return F.col("_value")
+        kept = F.lit(None).cast(held.schema["_value"].dataType) if old is None else old
+        return F.when(F.col("_chosen"), F.col("_value")).otherwise(kept)
+
+    where = steps(path)
+    if not any(isinstance(step, int) for step in where):
+        out = F.col(DOC).withField(path, new(None if old_type is None else at(path)))
+    else:
+        out = _put(F.col(DOC), _doc_type(coll), where, new, append)
+        if hit is not None:  # an element must not be appended to a row left alone
+            out = F.when(F.col("_chosen"), out).otherwise(F.col(DOC))
+    return held.withColumn(DOC, out).select(coll.columns)
 
 
 def _has_parent(coll: DataFrame, path: str) -> bool:
-    parent, _, _ = path.rpartition(".")
-    return not parent or isinstance(type_at(_doc_type(coll), parent), T.StructType)
+    *parent, last = steps(path)
+    dtype = _type_below(_doc_type(coll), parent)
+    return isinstance(dtype, T.ArrayType if isinstance(last, int) else T.StructType)
 
 
 def set_path(coll: DataFrame, path: str, value: object, condition: Expr | None = None) -> DataFrame:
-    """Set a member, creating it if missing; nothing happens below a missing parent."""
+    """Set a member or array element, creating it if missing; nothing happens below a missing parent.
+
+    An element behind the array's end is appended.
+    """
     if not _has_parent(coll, path):
         return coll
-    return _write(coll, path, _value(value), condition)
+    return _write(coll, path, _value(value), condition, append=True)
 
 
 def change_path(coll: DataFrame, path: str, value: object, condition: Expr | None = None) -> DataFrame:
-    """Set a member only in the documents that have it."""
+    """Set a member or array element only in the documents that have it."""
     if type_at(_doc_type(coll), path) is None:
         return coll
     present = at(path).isNotNull()
@@ -204,18 +276,36 @@ def change_path(coll: DataFrame, path: str, value: object, condition: Expr | Non
     return _write(coll, path, _value(value), hit)
 
 
+def _without_element(coll: DataFrame, path: str, hit: Column | None) -> DataFrame:
+    """The array at the path before its last position, without that element; later ones move up."""
+    array, _, index = path.rpartition("[")
+    position = int(index[:-1])
+    left = F.filter(at(array), lambda _, i: i != position)
+    return _write(coll, array, left, hit)
+
+
 def unset(coll: DataFrame, *paths: str, condition: Expr | None = None) -> DataFrame:
-    """Remove members.  With a condition they become missing in the rows it chooses."""
-    present = [p for p in paths if type_at(_doc_type(coll), p) is not None]
+    """Remove members and array elements; elements behind a removed one move up.
+
+    Members go from all documents; with a condition, or inside an array, they become missing where it
+    holds.  Paths that lead nowhere are left alone.
+    """
     if ID in paths:
         raise ValueError(f"{ID} cannot be changed")
-    if condition is None:
-        return coll.withColumn(DOC, F.col(DOC).dropFields(*present)) if present else coll
-    chosen = tables.expression(condition)
+    present = [p for p in paths if type_at(_doc_type(coll), p) is not None]
+    plain = [p for p in present if not any(isinstance(step, int) for step in steps(p))]
+    if condition is None and len(plain) == len(present):
+        return coll.withColumn(DOC, F.col(DOC).dropFields(*plain)) if plain else coll
     # the condition is judged on the document as it was
+    chosen = F.lit(True) if condition is None else tables.expression(condition)
     flagged = coll.withColumn("_hit", F.coalesce(chosen, F.lit(False)))
     for path in present:
-        flagged = _write(flagged, path, F.lit(None), F.col("_hit"))
+        if isinstance(steps(path)[-1], int):
+            flagged = _without_element(flagged, path, F.col("_hit"))
+        elif condition is not None or path not in plain:
+            flagged = _write(flagged, path, F.lit(None), F.col("_hit"))
+        else:
+            flagged = flagged.withColumn(DOC, F.col(DOC).dropFields(path))
     return flagged.drop("_hit")
 
 
@@ -323,15 +413,23 @@ _JSON_TYPES = {
 
 
 def judge(df: DataFrame, text: str, types: Mapping[str, str], required: Sequence[str] = ()) -> DataFrame:
-    """Add ``violations``: malformed text, missing or mistyped members of each document."""
+    """Add ``violations``: malformed text, missing or mistyped members of each document.
+
+    Members may be paths (``user.id``).  An integer is any number without a fraction, of any size.
+    """
     parsed = F.col("_json")
     tests = {"malformed": parsed.isNull()}
     for name in dict.fromkeys([*required, *types]):
-        kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
+        member = F.try_variant_get(parsed, f"$.{name}", "variant")
+        kind = F.schema_of_variant(member)
         if name in required:
             tests[f"missing:{name}"] = parsed.isNotNull() & kind.isNull()
         if name in types:
-            tests[f"type:{name}"] = ~kind.rlike(_JSON_TYPES[types[name]])
+            fits = kind.rlike(_JSON_TYPES[types[name]])
+            if types[name] == "integer":
+                spelled = F.get_json_object(F.col(text), f"$.{name}")
+                fits = fits | (kind.rlike(_JSON_TYPES["number"]) & spelled.rlike(r"^-?[0-9]+([.]0*)?([eE][+]?[0-9]+)?\z"))
+            tests[f"type:{name}"] = ~fits
     return df.withColumn("_json", F.try_parse_json(text)).withColumn("violations", failed(tests)).drop("_json")
 
 

@@ -8,6 +8,7 @@ caller's and should be small, as its keys are sorted and joined back.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,11 +55,38 @@ def order(df: DataFrame, *items: Expr) -> DataFrame:
 
 
 def page(df: DataFrame, by: Sequence[Expr], limit: int, offset: int = 0) -> DataFrame:
-    """Rows offset .. offset + limit of the given order; make the order total."""
+    """Rows offset .. offset + limit of the given order; make the order total.
+
+    Sorts offset + limit rows into one place; for deep pages use ``page_after``.
+    """
     ordered = order(df, *by)
     return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 
+def page_after(df: DataFrame, by: Sequence[str], limit: int, after: Sequence[object] | None = None) -> DataFrame:
+    """The next ``limit`` rows behind the keys of the last row seen; None starts at the front.
+
+    ``by`` are columns or ``"column DESC"``, together unique.  Whatever the page, only ``limit`` rows
+    are ever sorted into one place.  NULLs are the smallest values, as in ``order``.
+    """
+    if after is None:
+        return order(df, *by).limit(limit)
+    if len(after) != len(by):
+        raise ValueError("one value per sort key")
+    behind, same = F.lit(False), F.lit(True)
+    for item, value in zip(by, after):
+        name, _, way = item.rpartition(" ")
+        down = bool(name) and way.upper() == "DESC"
+        key = F.expr(name if name and way.upper() in ("ASC", "DESC") else item)
+        if value is None:
+            past = F.lit(False) if down else key.isNotNull()
+        else:
+            past = (key < F.lit(value)) | key.isNull() if down else key > F.lit(value)
+        behind = behind | (same & F.coalesce(past, F.lit(False)))
+        same = same & key.eqNullSafe(F.lit(value))
+    return order(df.filter(behind), *by).limit(limit)
+
+
 def count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n"))
 
@@ -142,5 +170,7 @@ def free_sql(
 
 
 def list_tables(spark: SparkSession, pattern: str = "%") -> list[str]:
-    """Names of tables and views matching a LIKE pattern of ``%``."""
-    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern.replace("%", "*")))
+    """Names of tables and views matching a LIKE pattern: ``%`` any text, ``_`` one character, backslash escapes."""
+    parts = re.findall(r"\\.|.", pattern, re.DOTALL)
+    like = "".join(".*" if c == "%" else "." if c == "_" else re.escape(c[-1]) for c in parts)
+    return sorted(t.name for t in spark.catalog.listTables() if re.fullmatch(like, t.name, re.DOTALL | re.IGNORECASE))
