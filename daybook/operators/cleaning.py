@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from daybook.functions import text
 from daybook.functions.labels import any_failed, failed
+from daybook.operators.constraints import row_rules
+from daybook.schemas import Entity
 
 # Which columns the text and null rules look at.
 STANDARD_COLUMNS = ("type", "mode", "category", "source", "party", "name", "supplier")
@@ -62,8 +64,8 @@ def filter_valid_date(df: DataFrame, as_of: date | str | None = None) -> DataFra
     return df.filter(F.col("date") <= text.cutoff(as_of))
 
 
-def parse_amounts(df: DataFrame) -> DataFrame:
-    return _replace(df, {c: text.parse_amount(F.col(c)) for c in columns_present(df, ["amount"])})
+def parse_amounts(df: DataFrame, columns: tuple[str, ...] | list[str] = ("amount",)) -> DataFrame:
+    return _replace(df, {c: text.parse_amount(F.col(c)) for c in columns_present(df, columns)})
 
 
 def filter_amount_nonneg(df: DataFrame) -> DataFrame:
@@ -106,18 +108,46 @@ def _rules(df: DataFrame, as_of: date | str | None) -> dict[str, Column]:
     return rules
 
 
-def judge(df: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def _entity_rules(df: DataFrame, entity: Entity, malformed: str | None) -> dict[str, Column]:
+    """What a declared table refuses beyond the cleaning rules: values that did not survive parsing, broken row
+    constraints, lines with missing or surplus cells."""
+    rules: dict[str, Column] = {}
+    if malformed:
+        rules["malformed_line"] = F.col(malformed).isNotNull()
+    for c in columns_present(df, entity.money):
+        if c != "amount":
+            given = F.trim(F.col("raw")[c].cast("string"))
+            rules[f"bad_{c}"] = F.col(c).isNull() & given.isNotNull() & (given != "")
+    for name, broken in row_rules(df, entity).items():
+        kind, _, column = name.partition(":")
+        if kind != "not_null":
+            rules[f"{kind}_{column}"] = broken
+        elif column == entity.key:
+            rules["null_key"] = broken
+        elif column != "date" and column not in NEVER_NULL:  # these have reasons of their own
+            rules[f"null_{column}"] = broken
+    return rules
+
+
+def judge(
+    df: DataFrame, as_of: date | str | None = None, entity: Entity | None = None, malformed: str | None = None
+) -> DataFrame:
     """Every row trimmed and parsed, with the row as it came (``raw``) and the rules it breaks.
 
-    ``reasons`` is empty for a row that ``clean`` keeps.
+    ``reasons`` is empty for a row that ``clean`` keeps.  With ``entity``, all its money columns are
+    parsed and its row constraints count too, so that a row without reasons lost no value;
+    ``malformed`` names the column with lines that did not have the header's cells.
     """
     parsed = (
         df.withColumn("raw", F.struct(*df.columns))
         .transform(trim_strings)
         .transform(parse_dates)
-        .transform(parse_amounts)
+        .transform(parse_amounts, ("amount", *(entity.money if entity else ())))
     )
-    return parsed.withColumn(REASONS, failed(_rules(parsed, as_of)))
+    rules = _rules(parsed, as_of)
+    if entity:
+        rules |= _entity_rules(parsed, entity, malformed)
+    return parsed.withColumn(REASONS, failed(rules))
 
 
 def rejects(df: DataFrame, as_of: date | str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ repeated key costs one row per map task however often it occurs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.labels import any_failed, failed
@@ -62,3 +62,39 @@ def check_foreign_key(df: DataFrame, column: str, ledgers: DataFrame) -> DataFra
     return df.filter(F.col(column).isNotNull()).join(
         names, F.col(column) == F.col("_ledger_name"), "left_anti"
     )
+
+
+def row_rules(df: DataFrame, entity: Entity) -> dict[str, Column]:
+    """Constraint -> condition under which a row breaks it, for the columns that ``df`` has.
+
+    Domains are compared without regard to case, as the declaring database does.
+    """
+    have = set(df.columns)
+    rules = {f"not_null:{c}": F.col(c).isNull() for c in dict.fromkeys((entity.key, *entity.required)) if c in have}
+    for c, domain in entity.domains.items():
+        if c in have:
+            rules[f"domain:{c}"] = ~F.lower(F.col(c)).isin(*[d.lower() for d in domain])
+    rules |= {f"length:{c}": F.length(c) > n for c, n in entity.max_length.items() if c in have}
+    return rules
+
+
+def violations(df: DataFrame, entity: Entity, ledgers: DataFrame | None = None) -> DataFrame:
+    """(table_name, constraint, key, n_rows): every broken constraint of a table, by name.
+
+    Row rules give a line per row and rule; ``primary_key`` and ``unique:<column>`` one per repeated value; with
+    ``ledgers``, ``reference:<column>`` one per row whose reference has no ledger.
+    """
+    name, key = F.lit(entity.name).alias("table_name"), F.col(entity.key).cast("string").alias("key")
+    one = F.lit(1).cast("bigint").alias("n_rows")
+    rules = row_rules(df, entity)
+    out = df.filter(any_failed(rules)).select(name, F.explode(failed(rules)).alias("constraint"), key, one)
+    repeated = [("primary_key", check_unique(df, entity.key), entity.key)]
+    repeated += [(f"unique:{c}", check_unique(df, c), c) for c in entity.unique]
+    for constraint, found, column in repeated:
+        out = out.unionByName(
+            found.select(name, F.lit(constraint).alias("constraint"), F.col(column).cast("string").alias("key"), "n_rows")
+        )
+    if ledgers is not None and entity.reference in ("party", "supplier"):
+        broken = check_foreign_key(df, entity.reference, ledgers)
+        out = out.unionByName(broken.select(name, F.lit(f"reference:{entity.reference}").alias("constraint"), key, one))
+    return out

@@ -31,7 +31,8 @@ def scan_csv(
     Columns are bound by header name, whatever their order in the file; every
     part has to carry the same header.  Without a schema all columns are text,
     which is what cleaning wants.  Values that do not parse become NULL; with
-    ``keep_corrupt`` the raw line is kept beside them.
+    ``keep_corrupt`` the raw line is kept beside them, also of lines with missing or surplus
+    cells, whichever columns are used.
     """
     declared = {f.name: f.dataType for f in schema} if schema else {}
     header = _header(spark, path)
@@ -42,7 +43,8 @@ def scan_csv(
     reader = spark.read.options(**_CSV).option("enforceSchema", False).option("mode", "PERMISSIVE")
     if keep_corrupt:
         physical = physical.add(CORRUPT, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        # a pruned parser does not count the cells
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     df = reader.schema(physical).csv(path)
     if schema is None:
         return df

@@ -1,9 +1,10 @@
 """Relational tables over JDBC.
 
 A plain JDBC read is one connection and one task.  ``scan_jdbc`` reads in
-parallel, either over ranges of a numeric or date column or over predicates; hash
-predicates on the primary key stay even when one party or day owns a third of
-the table.
+parallel: over equal ranges of a numeric or date column, or over predicates.  Ranges of
+the primary key between its quantiles use its index and stay even when one party or day
+owns a third of the table; hash predicates need no quantiles, but each of them
+reads the whole table in the database.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.schemas import ENTITIES
+from daybook.schemas import ENTITIES, Entity
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,8 @@ class JdbcTarget:
     properties: dict[str, str] = field(default_factory=dict)
     fetch_size: int = 10_000
     batch_size: int = 10_000
+    #: Connections a sink opens at most.
+    connections: int = 16
 
     def options(self, **extra: object) -> dict[str, str]:
         merged = {
@@ -69,32 +72,74 @@ def hash_predicates(key: str, partitions: int, hash_expr: str = "MOD(CRC32({key}
     ]
 
 
+def _quoted(value: object) -> str:
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def key_ranges(key: str, bounds: list) -> list[str]:
+    """One WHERE clause per range of an indexed key between ascending bounds; NULL keys go with the first."""
+    bounds = list(dict.fromkeys(bounds))
+    if not bounds:
+        return ["1 = 1"]
+    low = [f"{key} >= {_quoted(b)}" for b in bounds]
+    high = [f"{key} < {_quoted(b)}" for b in bounds]
+    middle = [f"{a} AND {b}" for a, b in zip(low, high[1:])]
+    return [f"{high[0]} OR {key} IS NULL", *middle, low[-1]]
+
+
+def quantiles_query(table: str, key: str, partitions: int) -> str:
+    """A statement, run in the database over its index, for the first key of each of n equal parts but the first."""
+    return (
+        f"(SELECT MIN({key}) AS bound FROM (SELECT {key}, NTILE({partitions}) OVER (ORDER BY {key}) AS part "
+        f"FROM {table} WHERE {key} IS NOT NULL) parts WHERE part > 1 GROUP BY part) bounds"
+    )
+
+
+def key_bounds(spark: SparkSession, target: JdbcTarget, table: str, key: str, partitions: int) -> list:
+    """The bounds themselves: at most ``partitions`` values."""
+    found = spark.read.format("jdbc").options(**target.options(dbtable=quantiles_query(table, key, partitions))).load()
+    return sorted(row[0] for row in found.collect())
+
+
 def scan_jdbc(
     spark: SparkSession,
     target: JdbcTarget,
     table: str,
     ranges: Ranges | None = None,
     predicates: list[str] | None = None,
+    entity: Entity | None = None,
 ) -> DataFrame:
+    """A table, with the declared types of ``entity`` if one is given."""
     if ranges and predicates:
         raise ValueError("give ranges or predicates, not both")
+    declared = typed_options(entity) if entity else {}
     if predicates:
-        properties = {k: v for k, v in target.options().items() if k != "url"}
+        properties = {k: v for k, v in target.options(**declared).items() if k != "url"}
         return spark.read.jdbc(target.url, table, predicates=predicates, properties=properties)
     extra = ranges.options() if ranges else {}
-    return spark.read.format("jdbc").options(**target.options(dbtable=table, **extra)).load()
+    return spark.read.format("jdbc").options(**target.options(dbtable=table, **extra, **declared)).load()
+
+
+def typed_options(entity: Entity) -> dict[str, str]:
+    """The reader's own types replaced by the declared ones."""
+    return {"customSchema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in entity.schema)}
 
 
 def read_entities(
-    spark: SparkSession, target: JdbcTarget, partitions: int = 64, suffix: str = "_cleaned", **hash_expr: str
+    spark: SparkSession,
+    target: JdbcTarget,
+    partitions: int = 64,
+    suffix: str = "_cleaned",
+    bounds: dict[str, list] | None = None,
 ) -> dict[str, DataFrame]:
-    """The four accounting tables, each read in parallel by its primary key."""
-    return {
-        name: scan_jdbc(
-            spark,
-            target,
-            f"{name}{suffix}",
-            predicates=hash_predicates(entity.key, partitions, **hash_expr),
-        )
-        for name, entity in ENTITIES.items()
-    }
+    """The four accounting tables with declared types, each read in parallel over ranges of its primary key.
+
+    ``bounds``: table -> ascending keys to cut at; without them the database is asked for quantiles.
+    """
+
+    def read(name: str, entity: Entity) -> DataFrame:
+        table = f"{name}{suffix}"
+        cuts = bounds[name] if bounds else key_bounds(spark, target, table, entity.key, partitions)
+        return scan_jdbc(spark, target, table, predicates=key_ranges(entity.key, cuts), entity=entity)
+
+    return {name: read(name, entity) for name, entity in ENTITIES.items()}

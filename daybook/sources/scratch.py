@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=1)
+def _own_root() -> str:
+    """A temporary folder of this process, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="daybook-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; executors on other machines
+    Only a local session may do without the setting, as tests do; executors on other machines
     would not see a folder of the driver's.
     """
     root = spark.conf.get(SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="daybook-")
+        root = _own_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -87,7 +87,7 @@ def test_append_and_replace(spark, tmp_path, sales):
     path = str(tmp_path / "t")
     sinks.sink_append(sales, path)
     sinks.sink_append(sales, path)
-    assert files.scan_parquet(spark, path, SALES.schema).count() == 20
+    assert files.scan_parquet(spark, path, SALES.schema).count() == 12
     sinks.sink_replace(sales.limit(3), path)
     assert files.scan_parquet(spark, path).count() == 3
 
@@ -101,15 +101,77 @@ def test_unknown_entity():
 def test_load_raw_appends(spark, tmp_path, raw_files):
     for times in (1, 2):
         stored = jobs.load_raw(spark, raw_files, str(tmp_path / "store"))
-        counts = {name: files.scan_parquet(spark, path).count() for name, path in stored.items()}
-        assert counts == {"ledgers": 10 * times, "sales": 10 * times, "purchases": 8 * times, "bank": 15 * times}
+        counts = {name: files.scan_parquet(spark, stored[name]).count() for name in ENTITIES}
+        assert counts == {"ledgers": 7 * times, "sales": 6 * times, "purchases": 4 * times, "bank": 7 * times}
+    broken = files.scan_parquet(spark, stored["sales_violations"]).collect()
+    assert {(r.constraint, r.n_rows) for r in broken} == {("primary_key", 2)} and len(broken) == 6
+    assert files.scan_parquet(spark, stored["bank_malformed"]).count() == 0
+
+
+def test_load_raw_reports_what_breaks_the_declaration(spark, tmp_path, raw_files):
+    with open(raw_files["bank"], "a") as f:
+        f.write("2023-06-30,K-90,x,5,refund,Wire\n2023-06-30,K-91,x,5,credit\n2023-06-30,K-92,x,5,credit,Wire,7\n")
+    with open(raw_files["ledgers"], "a") as f:
+        f.write("C-9,Harbour Bakery,Customer\n")
+    stored = jobs.load_raw(spark, raw_files, str(tmp_path / "store"))
+    found = [tuple(r) for n in ("bank", "ledgers") for r in files.scan_parquet(spark, stored[f"{n}_violations"]).collect()]
+    assert sorted(found) == [("bank", "domain:type", "K-90", 1), ("ledgers", "unique:name", "Harbour Bakery", 2)]
+    lines = {r.line for r in files.scan_parquet(spark, stored["bank_malformed"]).collect()}
+    assert lines == {"2023-06-30,K-91,x,5,credit", "2023-06-30,K-92,x,5,credit,Wire,7"}
+    assert files.scan_parquet(spark, stored["bank"]).count() == 8
+
+
+def test_undeclared_and_missing_columns_are_errors(spark, tmp_path, raw_files):
+    (tmp_path / "more.csv").write_text("ledger_id,name,type,colour\nL1,a,Customer,red\n")
+    (tmp_path / "less.csv").write_text("ledger_id,name\nL1,a\n")
+    for name, message in (("more", "declares no column"), ("less", "header lacks")):
+        with pytest.raises(ValueError, match=message):
+            jobs.clean_all(spark, {"ledgers": str(tmp_path / f"{name}.csv")}, str(tmp_path / "store"))
+
+
+def test_nothing_is_lost_in_an_accepted_row(spark, tmp_path, raw_files):
+    with open(raw_files["sales"], "a") as f:
+        f.write('2023-05-09,A-90,Paper Lantern,1,"₹1,800",Wire,ERP\n2023-05-09,A-91,Paper Lantern,1,abc,Wire,ERP\n')
+        f.write("2023-05-09,,Paper Lantern,1,1,Wire,ERP\n2023-05-09,A-93,Paper Lantern,1,1,Wire,ERP,9\n")
+        f.write("2023-05-09,A-94,Paper Lantern,1\n2023-05-09,A-95,Paper Lantern,1,,Wire,ERP\n2023-05-09,A-96,,1,1,Wire,ERP\n")
+    with open(raw_files["bank"], "a") as f:
+        f.write("2023-06-30,K-90,Paper Lantern refund,5,refund,Wire\n")
+    stored = jobs.etl_job(spark, raw_files, str(tmp_path / "store"), as_of="2023-12-31")
+    refused = stored["sales_rejected"].read(spark).select("raw.*", "reasons").collect()
+    assert {r.invoice_no: r.reasons for r in refused} == {
+        "A-91": ["bad_gst"], None: ["null_key"], "A-93": ["malformed_line"], "A-94": ["malformed_line"], "A-96": ["null_party"],
+    }
+    assert {r.invoice_no: r.gst for r in refused}["A-91"] == "abc"
+    assert {r[files.CORRUPT] for r in refused if r.reasons == ["malformed_line"]} == {
+        "2023-05-09,A-93,Paper Lantern,1,1,Wire,ERP,9", "2023-05-09,A-94,Paper Lantern,1",
+    }
+    kept = {r.invoice_no: r.gst for r in stored["sales_cleaned"].read(spark).collect()}
+    assert kept["A-90"] == 1800 and kept["A-95"] is None and len(kept) == 8
+    assert [r.reasons for r in stored["bank_rejected"].read(spark).collect()] == [["domain_type"]]
+
+
+def test_repeated_ledger_names_are_listed_and_count_once(spark, tmp_path, raw_files):
+    with open(raw_files["ledgers"], "a") as f:
+        f.write("Z-9,Harbour Bakery,Customer\n")
+    stored = jobs.etl_job(spark, raw_files, str(tmp_path / "store"), as_of="2023-12-31")
+    out = {name: side.read(spark) for name, side in stored.items()}
+    assert tuples(out["ledgers_violations"]) == [("ledgers", "unique:name", "Harbour Bakery", 2)]
+    assert out["valid_sales"].count() == 6 and out["sales_violations"].count() == 0
+    balance = jobs.analysis({name: out[f"valid_{name}"] for name in ENTITIES})["party_outstanding"]
+    assert {r.party_name: r.total_debit for r in balance.collect()}["Harbour Bakery"] == 1500.0
+
+
+def test_a_single_file_is_bounded(spark, tmp_path):
+    with pytest.raises(ValueError, match="at most 10 rows"):
+        sinks.sink_single_csv(spark.range(11), str(tmp_path / "x"), max_rows=10)
+    sinks.sink_single_csv(spark.range(10), str(tmp_path / "x"), max_rows=10)
 
 
 def test_etl_job_on_the_small_books(spark, tmp_path, raw_files, sales, purchases):
     stored = jobs.etl_job(spark, raw_files, str(tmp_path / "store"), as_of="2024-12-31")
     out = {name: side.read(spark) for name, side in stored.items()}
     assert {n: df.count() for n, df in out.items() if n.startswith(("invalid", "valid"))} == {
-        "valid_ledgers": 10, "valid_sales": 10, "valid_purchases": 8, "valid_bank": 15,
+        "valid_ledgers": 7, "valid_sales": 6, "valid_purchases": 4, "valid_bank": 7,
         "invalid_sales": 0, "invalid_purchases": 0, "invalid_bank": 0,
     }
     assert all(out[f"{name}_rejected"].count() == 0 for name in ENTITIES)
@@ -118,16 +180,16 @@ def test_etl_job_on_the_small_books(spark, tmp_path, raw_files, sales, purchases
     reports = jobs.analysis(tables)
     assert tuples(reports["monthly_trend"]) == tuples(monthly_trend(sales, purchases))
     balance = {r.party_name: r.outstanding for r in reports["party_outstanding"].collect()}
-    assert balance["Fine Interiors"] == -8460.0 and len(balance) == 10
+    assert balance["Olive & Vine"] == -500.0 and len(balance) == 7
     assert reports["cash_flow"].count() == 2
 
 
 def test_etl_job_keeps_what_it_refuses(spark, tmp_path, raw_files):
     with open(raw_files["sales"], "a") as f:
-        f.write("2024-13-45,INV900,ABC Corp,₹10,1,UPI,ERP\n")
+        f.write("2024-13-45,INV900,Harbour Bakery,₹10,1,UPI,ERP\n")
         f.write('2024-01-09,INV901, Nobody Ltd ,"₹1,000",1,UPI,ERP\n')
     with open(raw_files["bank"], "a") as f:
-        f.write("2024-01-09,TX900,wire from ABC Corporation,5,credit,UPI\n")
+        f.write("2024-01-09,TX900,wire from Harbour Bakery House,5,credit,UPI\n")
         f.write("2024-01-09,TX901,,5,credit,UPI\n")
     stored = jobs.etl_job(spark, raw_files, str(tmp_path / "store"), as_of="2024-12-31")
     refused = stored["sales_rejected"].read(spark).select("raw.*", "reasons").collect()
@@ -137,7 +199,7 @@ def test_etl_job_keeps_what_it_refuses(spark, tmp_path, raw_files):
     assert [r.txn_id for r in stored["invalid_bank"].read(spark).collect()] == ["TX901"]
     assert stored["valid_bank"].read(spark).filter("txn_id = 'TX900'").count() == 1
     cleaned = clean(files.scan_csv(spark, raw_files["sales"]), "2024-12-31")
-    assert stored["sales_cleaned"].read(spark).count() == cleaned.count() == 11
+    assert stored["sales_cleaned"].read(spark).count() == cleaned.count() == 7
 
 
 def test_scratch_folder_comes_from_the_session(spark):
@@ -158,6 +220,17 @@ def test_jdbc_options_and_predicates():
         jdbc.scan_jdbc(None, target, "t", ranges=jdbc.Ranges("a", 0, 1, 2), predicates=["1=1"])
 
 
+def test_jdbc_key_ranges_types_and_connections(spark):
+    target = jdbc.JdbcTarget("jdbc:x:y", "some.Driver", connections=4)
+    assert target.options(numPartitions=target.connections)["numPartitions"] == "4"
+    assert "`amount` decimal(10,2)" in jdbc.typed_options(BANK)["customSchema"]
+    assert "NTILE(8) OVER (ORDER BY txn_id)" in jdbc.quantiles_query("bank", "txn_id", 8)
+    df = spark.createDataFrame([(f"T{i}",) for i in range(50)] + [(None,), ("it's",)], "txn_id string")
+    for bounds in ([], ["T2"], ["T1", "T1", "T35", "it's"]):
+        parts = [df.filter(p.replace("''", "\\'")) for p in jdbc.key_ranges("txn_id", bounds)]
+        assert sum(p.count() for p in parts) == 52 and len(parts) == len(set(bounds)) + 1
+
+
 def test_hash_predicates_cover_every_row_once(spark):
     df = spark.createDataFrame([(f"T{i}",) for i in range(50)] + [(None,)], "txn_id string")
     predicates = jdbc.hash_predicates("txn_id", 4, hash_expr="crc32(encode({key}, 'UTF-8')) % {n}")
