@@ -8,14 +8,18 @@ from daybook.functions import borders as N
 from daybook.suite.registry import query
 
 _TEXT = """case when gst > 60000 then '0000-00-00 00:00:00' when gst > 50000 then 'n/a'
-       else concat(cast(date as {0}), ' 00:00:00') end"""
+       when gst > 45000 then concat(cast(date as {0}), 'garbage') when gst > 40000 then concat(cast(date as {0}), ' 12:30:01.25')
+       when gst > 35000 then concat(cast(date as {0}), ' 1x') when gst > 30000 then cast(date as {0})
+       when gst > 25000 then '0000-00-00x' else concat(cast(date as {0}), ' 00:00:00') end"""
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?"
+_GIVEN = f"case when regexp_full_match(txt, '{_DAY}') then cast(try_cast(left(txt, 10) as date) as varchar) end"
 
 
 @query(
     "norm_zero_date",
     f"""
-select invoice_no, cast(try_cast(left(txt, 10) as date) as varchar) as as_null,
-       case when txt like '0000%' then '0001-01-01' else cast(try_cast(left(txt, 10) as date) as varchar) end as as_first
+select invoice_no, {_GIVEN} as as_null,
+       case when txt like '0000%' and txt not like '%x' then '0001-01-01' else {_GIVEN} end as as_first
 from (select invoice_no, {_TEXT.format('varchar')} as txt from sales)""",
 )
 def norm_zero_date(t):

@@ -221,7 +221,7 @@ def doc_unset(t):
     )
 
 
-_PATCH_SQL = '{"status":"S","address":{"city":null,"street":"32 Main str"},"extra":{"a":1,"b":null}}'
+_PATCH_SQL = '{"status":"S","address":{"city":null,"street":"7 Quay Lane"},"extra":{"a":1,"b":null}}'
 
 
 @query(
@@ -237,7 +237,7 @@ from (select _id, case when rank > 300 then json_merge_patch(base, '{_PATCH_SQL}
 def doc_patch(t):
     change = {
         "status": "S",
-        "address": {"city": None, "street": "32 Main str"},
+        "address": {"city": None, "street": "7 Quay Lane"},
         "extra": {"a": 1, "b": None},
     }
     coll = D.patch(t.orders_docs, change, "doc.rank > 300")
@@ -251,18 +251,18 @@ def doc_patch(t):
 @query(
     "doc_patch_expr",
     f"""
-select _id, concat(name, '''s zip: ', zip) as name, upper(city) as city, rank - 300 as rank,
-       'Spanish,Italian' as translations from orders_docs""",
+select _id, concat(name, ' lives at ', zip) as name, upper(city) as city, rank - 300 as rank,
+       'Finnish,Basque' as translations from orders_docs""",
 )
 def doc_patch_expr(t):
     coll = D.patch(
         t.orders_docs,
         {
-            "name": F.concat(D.at("name"), F.lit("'s zip: "), D.at("address.zip")),
+            "name": F.concat(D.at("name"), F.lit(" lives at "), D.at("address.zip")),
             "address": {"city": F.upper(D.at("address.city"))},
             "rank": D.at("rank") - 300,
             "tags": None,
-            "translations": ["Spanish", "Italian"],
+            "translations": ["Finnish", "Basque"],
         },
     )
     return D.fields(
@@ -344,3 +344,72 @@ from orders_docs""",
 )
 def doc_as_table(t):
     return D.as_table(t.orders_docs)
+
+
+_PARTS = "array_to_string(list_transform(lines, lambda l: l.part), ',') as parts"
+
+
+def _lines(coll):
+    doc = F.col("doc")
+    return coll.select(
+        "_id",
+        F.concat_ws(",", F.transform(doc["lines"]["part"], lambda x: x.cast("string"))).alias("parts"),
+        F.concat_ws(",", doc["lines"]["flag"]).alias("flags"),
+        F.concat_ws(",", doc["tags"]).alias("tags"),
+    )
+
+
+@query(
+    "doc_set_element",
+    f"""
+select _id, {_PARTS},
+       array_to_string(list_transform(lines, lambda l, i: case when i = 1 and status = 'F' then 'X' else l.flag end), ',') as flags,
+       array_to_string(list_append(tags, 'new'), ',') as tags from order_lines""",
+)
+def doc_set_element(t):
+    coll = D.set_path(t.order_lines, "lines[0].flag", "X", "doc.status = 'F'")
+    return _lines(D.set_path(coll, "tags[9]", "new"))
+
+
+@query(
+    "doc_change_element",
+    """
+select _id, array_to_string(list_transform(lines, lambda l, i: case when i = 2 then l.part + 1 else l.part end), ',') as parts,
+       array_to_string(list_transform(lines, lambda l: l.flag), ',') as flags,
+       concat_ws(',', case when status = 'O' then 'open' else status end, tags[2]) as tags from order_lines""",
+)
+def doc_change_element(t):
+    coll = D.change_path(t.order_lines, "lines[1].part", D.at("lines[1].part") + 1)
+    coll = D.change_path(coll, "tags[7]", "nowhere")
+    return _lines(D.change_path(coll, "tags[0]", "open", "doc.status = 'O'"))
+
+
+@query(
+    "doc_unset_element",
+    """
+select _id, array_to_string(list_transform(lines[2:], lambda l: l.part), ',') as parts,
+       array_to_string(list_transform(lines[2:], lambda l: l.flag), ',') as flags,
+       case when status = 'F' then status else array_to_string(tags, ',') end as tags from order_lines""",
+)
+def doc_unset_element(t):
+    coll = D.unset(t.order_lines, "lines[0]")
+    return _lines(D.unset(coll, "tags[1]", condition="doc.status = 'F'"))
+
+
+@query(
+    "doc_validate_nested",
+    f"""
+select event_id, case when k is null then 'missing:user.k' when k > 60 then 'type:user.k' else '' end as violations
+from (select event_id, cast(props->>'$.k' as bigint) as k from events)""",
+)
+def doc_validate_nested(t):
+    k = F.get_json_object("props", "$.k")
+    # integers beyond 64 bits and without a fraction pass, text does not
+    spelled = F.when(k.cast("bigint") > 60, F.concat(F.lit('"'), k, F.lit('"'))).when(k.cast("bigint") > 30, F.concat(k, F.lit(".0"))).otherwise(
+        F.concat(F.lit("9"), k, F.lit("0000000000000000000000"))
+    )
+    texts = t.given("events").select(
+        "event_id", F.concat(F.lit('{"user":{'), F.coalesce(F.concat(F.lit('"k":'), spelled), F.lit("")), F.lit("}}")).alias("txt")
+    )
+    judged = D.judge(texts, "txt", {"user.k": "integer"}, required=["user.k"])
+    return judged.select("event_id", F.concat_ws(",", "violations").alias("violations"))

@@ -89,7 +89,7 @@ def expr_contained_in(t):
     "expr_like",
     """
 select invoice_no, mode like '%-HIGH' as high, mode not like '_-LOW' as not_low,
-       concat(mode, '%') like '1|-URG%|%' escape '|' as escaped from sales""",
+       concat(mode, '%') like '1-URG%|%' escape '|' as escaped from sales""",
 )
 def expr_like(t):
     percent = F.concat(C("mode"), F.lit("%"))
@@ -97,7 +97,7 @@ def expr_like(t):
         "invoice_no",
         X.like(C("mode"), "%-HIGH").alias("high"),
         X.negate(X.like(C("mode"), "_-LOW")).alias("not_low"),
-        F.like(percent, F.lit("1-URG%|%"), F.lit("|")).alias("escaped"),
+        X.like(percent, "1-URG%|%", escape="|").alias("escaped"),
     )
 
 
@@ -164,7 +164,7 @@ def expr_arith(t):
         X.arith("*", part, 3).alias("times"),
         X.arith("div", C("l_quantity"), C("l_discount")).alias("per"),
         X.arith("%", part, 7).alias("rest"),
-        (-C("l_linenumber")).alias("neg"),
+        X.sign("-", C("l_linenumber")).alias("neg"),
     )
 
 
@@ -246,19 +246,20 @@ def expr_interval_composite(t):
     """
 select invoice_no, cast(try_cast(amount as decimal(12,1)) as double) as as_decimal, left(party, 9) as as_char,
        octet_length(encode(left(mode, 4))) as binary_size,
-       try_cast(try_cast(amount as decimal(20,2)) as bigint) as as_signed,
+       try_cast(try_cast(trim(amount) as decimal(38,10)) as bigint) as as_signed,
+       case when try_cast(trim(amount) as decimal(38,10)) >= 0 then try_cast(try_cast(trim(amount) as decimal(38,10)) as bigint) end as as_unsigned,
        cast(case when regexp_full_match(trim(date), '[0-9]{4}-[0-9]{2}-[0-9]{2}') then try_cast(trim(date) as date) end
             as varchar) as as_date
 from raw_sales""",
 )
 def expr_cast(t):
-    exact = X.cast_as(C("amount"), "DECIMAL(20,2)")
     return t.raw_sales.select(
         "invoice_no",
         X.cast_as(C("amount"), "DECIMAL(12,1)").cast("double").alias("as_decimal"),
         X.cast_as(C("party"), "CHAR(9)").alias("as_char"),
         F.octet_length(X.cast_as(C("mode"), "BINARY(4)")).cast("bigint").alias("binary_size"),
-        F.round(exact).cast("bigint").alias("as_signed"),
+        X.cast_as(C("amount"), "SIGNED").alias("as_signed"),
+        X.cast_as(C("amount"), "UNSIGNED").cast("bigint").alias("as_unsigned"),
         X.cast_as(C("date"), "DATE").cast("string").alias("as_date"),
     )
 
@@ -355,6 +356,47 @@ def expr_doc_path_anywhere(t):
     return coll.select("_id", F.concat_ws(",", names).alias("names"))
 
 
+@query(
+    "expr_contained_in_scalar",
+    """
+select event_id, cast(props->>'$.k' as bigint) = 40 as has_k, event_type = 'click' as is_click,
+       list_contains([user_id, event_id, 7], 7) as in_list from events""",
+)
+def expr_contained_in_scalar(t):
+    events = t.given("events").withColumn("doc", F.expr(_DOC))
+    return events.select(
+        "event_id",
+        X.json_contained_in(40, C("props"), "$.k", "bigint").alias("has_k"),
+        X.contained_in("click", C("event_type"), T.StringType()).alias("is_click"),
+        X.json_contained_in(7, C("doc"), "$.list", "bigint").alias("in_list"),
+    )
+
+
+@query(
+    "expr_doc_path_objects",
+    """
+select _id, array_to_string(list_transform(lines, lambda l: l.part), ',') as parts,
+       array_to_string(list_transform(lines, lambda l: l.flag), ',') as flags, lines[1].n as first_n from order_lines""",
+)
+def expr_doc_path_objects(t):
+    doc = F.to_json("doc")
+    return t.order_lines.select(
+        "_id",
+        F.concat_ws(",", X.doc_path_elements(doc, "$.lines[*].part")).alias("parts"),
+        F.concat_ws(",", X.doc_path_elements(doc, "$.lines[*].flag")).alias("flags"),
+        X.doc_path(doc, "$.lines[0].n", "int").alias("first_n"),
+    )
+
+
+@query(
+    "expr_doc_path_anywhere_arrays",
+    "select _id, array_to_string(list_transform(lines, lambda l: l.part), ',') as parts from order_lines",
+)
+def expr_doc_path_anywhere_arrays(t):
+    schema: T.StructType = t.order_lines.schema["doc"].dataType
+    return t.order_lines.select("_id", F.concat_ws(",", X.doc_path_anywhere(C("doc"), schema, "part")).alias("parts"))
+
+
 @query(
     "expr_func",
     "select ledger_id, upper(name) as up, substring(name, 1, 4) as head, length(type) as n from ledgers",

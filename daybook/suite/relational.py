@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import text
+from daybook.functions.exprs import any_of
 from daybook.operators import references as R
 from daybook.operators.cleaning import columns_by_type, columns_present
 from daybook.plans import reports
 from daybook.sources.files import empty_relation
 from daybook.suite.registry import query
-from daybook.suite.reporting import entries, outstanding
+from daybook.suite.reporting import balances, entries, outstanding
 
 _KIND = "split_part(description,' ',-1)"
 
@@ -184,13 +185,13 @@ _ANY = "contains(description, 'purchase') or contains(description, '00012') or c
 @query("filter_any_of", f"select txn_id, description from bank where {_ANY}")
 def filter_any_of(t):
     words = ["purchase", "00012", "777"]
-    return t.bank.filter(R.any_of([F.col("description").contains(w) for w in words])).select("txn_id", "description")
+    return t.bank.filter(any_of(*[F.col("description").contains(w) for w in words])).select("txn_id", "description")
 
 
 @query("filter_not", f"select txn_id, description from raw_bank where not ({_ANY})")
 def filter_not(t):
     words = ["purchase", "00012", "777"]
-    hit = R.any_of([F.col("description").contains(w) for w in words])
+    hit = any_of(*[F.col("description").contains(w) for w in words])
     return t.raw_bank.filter(~hit).select("txn_id", "description")
 
 
@@ -295,7 +296,7 @@ select party_type, cast(sum(cast(outstanding as decimal(28,2))) as double) as to
 from party_outstanding where party_type is not null group by 1""",
 )
 def agg_group_total(t):
-    known = outstanding(t).filter(F.col("party_type").isNotNull())
+    known = balances(t).filter(F.col("party_type").isNotNull())
     total = F.sum(F.col("outstanding").cast("decimal(28,2)")).cast("double").alias("total")
     return known.groupBy("party_type").agg(total)
 
@@ -331,9 +332,17 @@ def union_all(t):
     return entries(t).select("party_name", F.col("date").cast("string").alias("date"), dbl("amount"), "nature")
 
 
-@query("empty_relation", "select party_name, nature from entries where false")
+@query(
+    "empty_relation",
+    """
+select party_name, nature from entries where false
+union all select 'rows', cast(count(*) as varchar) from entries""",
+)
 def empty_relation_(t):
-    return empty_relation(entries(t).select("party_name", "nature"))
+    # beside the empty relation, a row that counts the full one
+    full = entries(t).select("party_name", "nature")
+    counted = full.agg(F.count("*").cast("string").alias("nature")).select(F.lit("rows").alias("party_name"), "nature")
+    return empty_relation(full).unionByName(counted)
 
 
 @query("collect_column", "select distinct name from ledgers")

@@ -16,6 +16,10 @@ def outstanding(t):
     return reports.party_outstanding(t.sales, t.purchases, t.bank, t.ledgers)
 
 
+def balances(t):
+    return reports.party_balances(t.sales, t.purchases, t.bank, t.ledgers)
+
+
 def entries(t):
     return reports.entries(t.sales, t.purchases, t.bank)
 
@@ -63,7 +67,7 @@ select party_name, -outstanding as dues from party_outstanding
 where party_type = 'Customer' and outstanding < 0 order by outstanding, party_name limit 5""",
 )
 def top_customers(t):
-    return reports.top_customers(outstanding(t))
+    return reports.top_customers(balances(t))
 
 
 @query(
@@ -76,7 +80,7 @@ from (select case party_type when 'Customer' then 'Receivables (Customers)' else
       from party_outstanding where party_type is not null group by party_type)""",
 )
 def net_position(t):
-    return reports.net_position(outstanding(t))
+    return reports.net_position(balances(t))
 
 
 @query(
@@ -86,7 +90,7 @@ select month, cast(cast(total_sales as decimal(28,2)) - cast(total_purchases as
 from monthly_trend""",
 )
 def trend_gap(t):
-    return reports.trend_gap(monthly_trend(t))
+    return reports.trend_gap(reports.monthly_sums(t.sales, t.purchases))
 
 
 @query(
@@ -112,19 +116,19 @@ def ledger_statement(t):
     return statement.withColumn("date", F.col("date").cast("string"))
 
 
-_INVOICE = "cast(date as varchar) as date, invoice_no, party, cast(amount as double) as amount, mode"
-_BILL = "cast(date as varchar) as date, bill_no, supplier, cast(amount as double) as amount, mode"
+_INVOICE = "cast(date as varchar) as date, invoice_no, party, cast(amount as double) as amount, cast(gst as double) as gst, mode, source"
+_BILL = "cast(date as varchar) as date, bill_no, supplier, cast(amount as double) as amount, cast(gst as double) as gst, mode, source"
 _TXN = "cast(date as varchar) as date, txn_id, description, cast(amount as double) as amount, type, mode"
 
 
 def _plain(df, *columns):
     """Dates as text and money as double, so that both engines spell values alike."""
-    shown = {"date": F.col("date").cast("string"), "amount": F.col("amount").cast("double")}
+    shown = {"date": F.col("date").cast("string"), **{c: F.col(c).cast("double") for c in ("amount", "gst")}}
     return df.select(*[shown[c].alias(c) if c in shown else c for c in columns])
 
 
-SALES_OUT = ("date", "invoice_no", "party", "amount", "mode")
-PURCHASES_OUT = ("date", "bill_no", "supplier", "amount", "mode")
+SALES_OUT = ("date", "invoice_no", "party", "amount", "gst", "mode", "source")
+PURCHASES_OUT = ("date", "bill_no", "supplier", "amount", "gst", "mode", "source")
 BANK_OUT = ("date", "txn_id", "description", "amount", "type", "mode")
 
 
@@ -188,27 +192,36 @@ def month_bucket(t):
     return t.sales.select("invoice_no", text.month_bucket(F.col("date")).alias("month"))
 
 
+_FLOW = "strftime(date,'%Y-%m') as label, null as kind, '{0}' as measure, cast(sum({1}) as double) as value from bank group by 2"
+
+
 @query(
     "analysis",
-    """
-select 'monthly_trend' as report, month as label, 'total_sales' as measure, total_sales as value from monthly_trend
-union all select 'monthly_trend', month, 'total_purchases', total_purchases from monthly_trend
-union all select 'party_outstanding', party_name, 'outstanding', outstanding from party_outstanding
-union all select 'cash_flow', strftime(date,'%Y-%m'), 'net_cash_flow',
-       cast(sum(case when type='credit' then amount else -amount end) as double) from bank group by 2""",
+    f"""
+select 'monthly_trend' as report, month as label, null as kind, 'total_sales' as measure, total_sales as value from monthly_trend
+union all select 'monthly_trend', month, null, 'total_purchases', total_purchases from monthly_trend
+union all select 'party_outstanding', party_name, party_type, 'total_debit', total_debit from party_outstanding
+union all select 'party_outstanding', party_name, party_type, 'total_credit', total_credit from party_outstanding
+union all select 'party_outstanding', party_name, party_type, 'outstanding', outstanding from party_outstanding
+union all select 'cash_flow', {_FLOW.format("total_inflow", "case when type='credit' then amount else 0 end")}
+union all select 'cash_flow', {_FLOW.format("total_outflow", "case when type='debit' then amount else 0 end")}
+union all select 'cash_flow', {_FLOW.format("net_cash_flow", "case when type='credit' then amount else -amount end")}""",
 )
 def analysis(t):
     from daybook.plans.jobs import analysis as run
 
     done = run({"sales": t.sales, "purchases": t.purchases, "bank": t.bank, "ledgers": t.ledgers})
 
-    def long(name, label, *measures):
+    def long(name, label, *measures, kind=None):
         frame = done[name]
         cells = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in measures]))
-        return frame.select(F.lit(name).alias("report"), F.col(label).alias("label"), cells)
+        kind = F.lit(None).cast("string") if kind is None else F.col(kind)
+        return frame.select(F.lit(name).alias("report"), F.col(label).alias("label"), kind.alias("kind"), cells)
 
     return (
         long("monthly_trend", "month", "total_sales", "total_purchases")
-        .unionByName(long("party_outstanding", "party_name", "outstanding"))
-        .unionByName(long("cash_flow", "month", "net_cash_flow"))
+        .unionByName(
+            long("party_outstanding", "party_name", "total_debit", "total_credit", "outstanding", kind="party_type")
+        )
+        .unionByName(long("cash_flow", "month", "total_inflow", "total_outflow", "net_cash_flow"))
     )

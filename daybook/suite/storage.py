@@ -7,12 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators import cleaning as C
+from daybook.plans.jobs import clean_all as run_clean
 from daybook.plans.jobs import etl_job as run_etl
 from daybook.plans.jobs import load_raw as run_load
 from daybook.schemas import BANK, LEDGERS, PURCHASES, SALES
 from daybook.sources import files, sinks
 from daybook.sources.scratch import scratch_dir
-from daybook.suite.cleaning import _CLEAN, AS_OF
+from daybook.suite.cleaning import _AMOUNT, _CLEAN, _DAY, AS_OF
 from daybook.suite.registry import query
 from daybook.suite.reporting import _BILL, _INVOICE, _TXN, BANK_OUT, PURCHASES_OUT, SALES_OUT, _plain
 
@@ -40,7 +42,10 @@ def scan_part_dir(t):
     return _plain(files.scan_part_dir(t.spark, path, PURCHASES.schema), *PURCHASES_OUT)
 
 
-@query("sink_csv_overwrite", "select date, invoice_no, party, amount, mode from raw_sales")
+@query(
+    "sink_csv_overwrite",
+    "select date, invoice_no, party, amount, cast(gst as varchar) as gst, mode, source from raw_sales",
+)
 def sink_csv_overwrite(t):
     path = scratch_dir(t.spark, "raw-sales")
     sinks.sink_csv_overwrite(t.sales, path)
@@ -85,25 +90,75 @@ def _raw_files(t) -> dict[str, str]:
     return {name: _csv(t, df, name) for name, df in raw.items()}
 
 
+def _dirty_files(t) -> dict[str, str]:
+    raw = {
+        LEDGERS.name: t.dirty_ledgers,
+        SALES.name: t.dirty_sales,
+        PURCHASES.name: t.dirty_purchases,
+        BANK.name: t.raw_bank,
+    }
+    return {name: _csv(t, df, name) for name, df in raw.items()}
+
+
+def _union(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _counts(tables: dict[str, DataFrame]) -> DataFrame:
-    rows = [
+    return _union(
         df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in sorted(tables.items())
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    )
+
+
+def _whole(tables: dict[str, DataFrame]) -> DataFrame:
+    """Whole rows of several tables as text: one line per row, its columns between bars."""
+    return _union(
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns]).alias("line"),
+        )
+        for name, df in sorted(tables.items())
+    )
+
+
+def _line(*columns: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in columns) + ") as line"
+
+
+def _repeated_keys(**tables: str) -> str:
+    """Violations of the primary keys: entity=table."""
+    keys = {e.name: e.key for e in (LEDGERS, SALES, PURCHASES, BANK)}
+    return "".join(
+        f"""
+union all select '{name}_violations', concat('{name}|primary_key|', {keys[name]}, '|', count(*)) from {table}
+          where {keys[name]} is not null group by {keys[name]} having count(*) > 1"""
+        for name, table in tables.items()
+    )
+
+
+_LEDGER, _SALE, _BOUGHT, _BOOKED = (e.columns for e in (LEDGERS, SALES, PURCHASES, BANK))
 
 
 @query(
     "load_raw",
-    """
-select 'ledgers' as table_name, count(*) as n_rows from ledgers
-union all select 'sales', count(*) from raw_sales
-union all select 'purchases', count(*) from purchases
-union all select 'bank', count(*) from raw_bank""",
+    f"""
+select 'ledgers' as table_name, {_line(*_LEDGER)} from dirty_ledgers
+union all select 'sales', {_line(*_SALE)} from dirty_sales
+union all select 'purchases', {_line(*_BOUGHT)} from dirty_purchases
+union all select 'bank', {_line(*_BOOKED)} from raw_bank
+union all select 'ledgers_violations', concat('ledgers|not_null:name|', ledger_id, '|1') from dirty_ledgers where name is null
+union all select 'ledgers_violations', concat('ledgers|domain:type|', ledger_id, '|1') from dirty_ledgers where type = 'Other'
+union all select 'ledgers_violations', concat('ledgers|unique:name|', name, '|', count(*)) from dirty_ledgers
+          where name is not null group by name having count(*) > 1
+union all select 'sales_violations', concat('sales|not_null:date|', invoice_no, '|1') from dirty_sales where date is null
+union all select 'purchases_violations', concat('purchases|not_null:supplier|', bill_no, '|1') from dirty_purchases where supplier is null
+union all select 'bank_violations', concat('bank|not_null:type|', txn_id, '|1') from raw_bank where type is null
+{_repeated_keys(ledgers="dirty_ledgers", sales="dirty_sales", purchases="dirty_purchases", bank="raw_bank")}""",
 )
 def load_raw(t):
-    stored = run_load(t.spark, _raw_files(t), scratch_dir(t.spark, "store"))
-    return _counts({name: files.scan_parquet(t.spark, path) for name, path in stored.items()})
+    stored = run_load(t.spark, _dirty_files(t), scratch_dir(t.spark, "store"))
+    return _whole({name: files.scan_parquet(t.spark, path) for name, path in stored.items()})
 
 
 _GOOD_BANK = f"(select * from raw_bank where date <= date '{AS_OF}' and amount >= 0 and type is not null)"
@@ -132,4 +187,96 @@ union all select 'invalid_bank', count(*) from {_GOOD_BANK} where not {_CONTAINE
 )
 def etl_job(t):
     stored = run_etl(t.spark, _raw_files(t), scratch_dir(t.spark, "store"), AS_OF)
-    return _counts({name: side.read(t.spark) for name, side in stored.items()})
+    return _counts({name: side.read(t.spark) for name, side in stored.items() if not name.endswith("_violations")})
+
+
+# the dirty tables trimmed, parsed and judged, as the checking engine spells it
+_GST = _AMOUNT.format("trim(gst)")
+_BAD_GST = f"({_GST} is null and trim(gst) <> '')"
+_JUDGED = {
+    "jl": """
+select *, trim(name) as t_name, concat_ws(',', case when name is null then 'null_name' end,
+       case when type = 'Other' then 'domain_type' end) as reasons from dirty_ledgers""",
+    "js": f"""
+select *, concat_ws(',', case when day is null then 'bad_date' end, case when day > date '{AS_OF}' then 'future_date' end,
+       case when amt is null then 'bad_amount' end, case when amt < 0 then 'negative_amount' end,
+       case when {_BAD_GST} then 'bad_gst' end) as reasons
+from (select *, {_DAY} as day, {_AMOUNT.format('trim(amount)')} as amt from dirty_sales)""",
+    "jp": f"""
+select *, concat_ws(',', case when cast(date as date) > date '{AS_OF}' then 'future_date' end,
+       case when cast(amount as decimal(10,2)) < 0 then 'negative_amount' end, case when {_BAD_GST} then 'bad_gst' end,
+       case when supplier is null then 'null_supplier' end) as reasons from dirty_purchases""",
+    "jb": f"""
+select *, concat_ws(',', case when date > date '{AS_OF}' then 'future_date' end,
+       case when type is null then 'null_type' end) as reasons from raw_bank""",
+    "cl": "select ledger_id, t_name as name, trim(type) as type from jl where reasons = ''",
+    "cs": f"""
+select day as date, trim(invoice_no) as invoice_no, trim(party) as party, amt as amount, {_GST} as gst, trim(mode) as mode,
+       trim(source) as source from js where reasons = ''""",
+    "cp": f"""
+select cast(date as date) as date, bill_no, supplier, cast(amount as decimal(10,2)) as amount, {_GST} as gst, mode, source
+from jp where reasons = ''""",
+    "cb": """
+select date, txn_id, trim(description) as description, amount, type, mode from jb where reasons = ''""",
+    "ul": "select min(ledger_id) as ledger_id, name, arg_min(type, ledger_id) as type from cl group by name",
+}
+
+
+def _with_judged(body: str) -> str:
+    """The statement after the judged tables; derived tables are put before by the registry."""
+    return f"select * from (with {', '.join(f'{n} as materialized ({sql})' for n, sql in _JUDGED.items())} {body})"
+
+
+_CLEANED = f"""
+select 'ledgers_cleaned' as table_name, {_line(*_LEDGER)} from cl
+union all select 'sales_cleaned', {_line(*_SALE)} from cs
+union all select 'purchases_cleaned', {_line(*_BOUGHT)} from cp
+union all select 'bank_cleaned', {_line(*_BOOKED)} from cb
+union all select 'ledgers_rejected', {_line(*_LEDGER, "reasons")} from jl where reasons <> ''
+union all select 'sales_rejected', {_line(*_SALE, "reasons")} from js where reasons <> ''
+union all select 'purchases_rejected', {_line(*_BOUGHT, "reasons")} from jp where reasons <> ''
+union all select 'bank_rejected', {_line(*_BOOKED, "reasons")} from jb where reasons <> ''"""
+
+
+def _opened(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rejected rows as the columns they came with and their reasons."""
+    out = {}
+    for name, df in tables.items():
+        if name.endswith("_rejected"):
+            df = df.select("raw.*", F.concat_ws(",", C.REASONS).alias(C.REASONS)).drop(files.CORRUPT)
+        out[name] = df
+    return out
+
+
+@query("clean_all", _with_judged(_CLEANED))
+def clean_all(t):
+    stored = run_clean(t.spark, _dirty_files(t), scratch_dir(t.spark, "store"), AS_OF)
+    return _whole(_opened({name: side.read(t.spark) for name, side in stored.items()}))
+
+
+@query(
+    "etl_rows",
+    _with_judged(
+        f"""
+select 'valid_ledgers' as table_name, {_line(*_LEDGER)} from cl
+union all select 'valid_sales', {_line(*_SALE, "ledger_id", "name", "type")} from cs join ul on party = name
+union all select 'invalid_sales', {_line(*_SALE)} from cs where party not in (select name from cl)
+union all select 'valid_purchases', {_line(*_BOUGHT, "ledger_id", "name", "type")} from cp join ul on supplier = name
+union all select 'invalid_purchases', {_line(*_BOUGHT)} from cp where supplier not in (select name from cl)
+union all select 'valid_bank', {_line(*_BOOKED)} from cb
+          where coalesce(exists (select 1 from ul where contains(description, ul.name)), false)
+union all select 'invalid_bank', {_line(*_BOOKED)} from cb
+          where not coalesce(exists (select 1 from ul where contains(description, ul.name)), false)
+union all select 'ledgers_violations', concat('ledgers|unique:name|', name, '|', count(*)) from cl group by name having count(*) > 1
+union all select 'sales_violations', concat('sales|reference:party|', invoice_no, '|1') from cs
+          where party not in (select name from cl)
+union all select 'purchases_violations', concat('purchases|reference:supplier|', bill_no, '|1') from cp
+          where supplier not in (select name from cl)
+{_repeated_keys(ledgers="cl", sales="cs", purchases="cp", bank="cb")}"""
+    ),
+)
+def etl_rows(t):
+    stored = run_etl(t.spark, _dirty_files(t), scratch_dir(t.spark, "store"), AS_OF)
+    return _whole(
+        {n: side.read(t.spark) for n, side in stored.items() if not n.endswith(("_cleaned", "_rejected"))}
+    )

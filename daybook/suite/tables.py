@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -140,10 +142,29 @@ select 'daybook_bank' as name, count(*) as n from bank union all select 'daybook
 union all select 'daybook_purchases', count(*) from purchases union all select 'daybook_sales', count(*) from sales""",
 )
 def list_tables(t):
-    for name in ("ledgers", "sales", "purchases", "bank"):
-        getattr(t, name).createOrReplaceTempView(f"daybook_{name}")
-    counts = [
-        B.count(t.spark.table(name)).select(F.lit(name).alias("name"), "n")
-        for name in B.list_tables(t.spark, "daybook_%")
-    ]
+    # names of its own: views of the caller's are neither listed nor replaced
+    own = uuid.uuid4().hex
+    names = [f"daybook_{name}" for name in ("ledgers", "sales", "purchases", "bank")]
+    for name in names:
+        getattr(t, name.removeprefix("daybook_")).createOrReplaceTempView(f"{own}_{name}")
+    try:
+        counts = [
+            B.count(t.spark.table(f"`{name}`")).select(F.lit(name.removeprefix(f"{own}_")).alias("name"), "n")
+            for name in B.list_tables(t.spark, f"{own}_daybook_%")
+        ]
+    finally:
+        for name in names:
+            t.spark.catalog.dropTempView(f"{own}_{name}")
     return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "table_page_after",
+    """
+select invoice_no, cast(amount as double) as amount from sales
+where sales.amount < 100000.00 or (sales.amount = 100000.00 and invoice_no > 'INV9')
+order by sales.amount desc, invoice_no limit 25""",
+)
+def table_page_after(t):
+    page = B.page_after(t.sales, ["amount DESC", "invoice_no"], 25, after=[Decimal("100000.00"), "INV9"])
+    return page.select("invoice_no", dbl("amount"))

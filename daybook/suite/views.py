@@ -119,22 +119,23 @@ class Tables:
     @cached_property
     def bank_priced(self) -> DataFrame:
         price, bill = money(F.col("o_totalprice")), money(F.col("l_extendedprice"))
-        received = self._invoiced.filter(F.col("o_orderstatus") == "F").select(
+        # all orders are received and all line items paid; the mode tells their status
+        received = self._invoiced.select(
             F.col("o_orderdate").cast("date").alias("date"),
             F.concat(F.lit("TXCINV"), "o_orderkey").alias("txn_id"),
             F.concat("c_name", F.lit(" payment")).alias("description"),
             money(price + money(price * F.expr("0.18"))).alias("amount"),
             F.lit("credit").alias("type"),
-            F.col("o_orderpriority").alias("mode"),
+            F.concat("o_orderstatus", F.lit(" "), "o_orderpriority").alias("mode"),
             F.col("o_totalprice").alias("price"),
         )
-        paid = self._billed.filter((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")).select(
+        paid = self._billed.select(
             F.col("l_shipdate").cast("date").alias("date"),
             F.concat(F.lit("TXD"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "l_partkey").alias("txn_id"),
             F.concat("s_name", F.lit(" purchase")).alias("description"),
             money(bill * F.expr("1.18")).alias("amount"),
             F.lit("debit").alias("type"),
-            F.col("l_returnflag").alias("mode"),
+            F.concat("l_linestatus", F.lit(" "), "l_returnflag").alias("mode"),
             F.col("l_extendedprice").alias("price"),
         )
         return received.unionByName(paid)
@@ -171,6 +172,34 @@ class Tables:
             ).alias("doc"),
         )
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """One document per order with its line items as an array of objects."""
+        line = F.struct(
+            F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag")
+        )
+        lines = self.given("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        return self.given("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+            F.col("o_orderkey").cast("string").alias("_id"),
+            F.struct(
+                F.col("o_orderstatus").alias("status"),
+                F.array("o_orderstatus", F.col("o_custkey").cast("string")).alias("tags"),
+                "lines",
+            ).alias("doc"),
+        )
+
+    @cached_property
+    def dirty_ledgers(self) -> DataFrame:
+        return self.spark.sql(DIRTY_LEDGERS_SELECT.format(source="{ledgers}"), ledgers=self.ledgers)
+
+    @cached_property
+    def dirty_sales(self) -> DataFrame:
+        return self.spark.sql(DIRTY_SALES_SELECT.format(source="{raw_sales}"), raw_sales=self.raw_sales)
+
+    @cached_property
+    def dirty_purchases(self) -> DataFrame:
+        return self.spark.sql(DIRTY_PURCHASES_SELECT.format(source="{purchases}"), purchases=self.purchases)
+
 
 # Text with defects.  The expressions below mean the same in Spark and DuckDB.
 RAW_SALES_SELECT = """
@@ -207,6 +236,25 @@ select ledger_id, case when ledger_id like '%7' then null else concat(' ', name,
        case when ledger_id like '%3' then lower(type) else type end as type
 from {source}"""
 
+# names held twice, without a name, of an unknown type
+DIRTY_LEDGERS_SELECT = """
+select ledger_id, case when ledger_id like '%7' then null else concat(' ', name, '  ') end as name,
+       case when ledger_id like '%31' then 'Other' when ledger_id like '%3' then lower(type) else type end as type
+from {source}
+union all select concat('X', ledger_id), name, type from {source} where ledger_id like '%9'"""
+
+DIRTY_SALES_SELECT = """
+select date, invoice_no, party, amount,
+       case when gst > 40000 then concat('₹', cast(gst as string)) when gst > 35000 then 'abc' when gst > 30000 then ''
+            when gst > 25000 then null else concat(' ', cast(gst as string)) end as gst, mode, source
+from {source}"""
+
+DIRTY_PURCHASES_SELECT = """
+select cast(date as string) as date, bill_no, case when amount < 2000 then null else supplier end as supplier,
+       case when amount between 2000 and 4000 then concat('-', cast(amount as string)) else cast(amount as string) end as amount,
+       case when amount between 30000 and 40000 then '₹1x' else concat('₹', cast(gst as string)) end as gst, mode, source
+from {source}"""
+
 
 def _duck(sql: str) -> str:
     return sql.replace(" as string)", " as varchar)")
@@ -236,16 +284,24 @@ from lineitem join supplier on l_suppkey = s_suppkey""",
 select o_totalprice as price, cast(o_orderdate as date) as date, concat('TXCINV',o_orderkey) as txn_id,
        concat(c_name,' payment') as description,
        cast(cast(o_totalprice as decimal(10,2)) + {_GST.format('o_totalprice')} as decimal(10,2)) as amount,
-       'credit' as type, o_orderpriority as mode
-from orders join customer on o_custkey = c_custkey where o_orderstatus = 'F'
+       'credit' as type, concat(o_orderstatus,' ',o_orderpriority) as mode
+from orders join customer on o_custkey = c_custkey
 union all
 select l_extendedprice, cast(l_shipdate as date), concat('TXD',l_orderkey,'-',l_linenumber,'-',l_partkey), concat(s_name,' purchase'),
-       cast(cast(l_extendedprice as decimal(10,2))*1.18 as decimal(10,2)), 'debit', l_returnflag
-from lineitem join supplier on l_suppkey = s_suppkey where l_linestatus = 'F' and l_returnflag = 'A'""",
+       cast(cast(l_extendedprice as decimal(10,2))*1.18 as decimal(10,2)), 'debit', concat(l_linestatus,' ',l_returnflag)
+from lineitem join supplier on l_suppkey = s_suppkey""",
     "bank": "select date, txn_id, description, amount, type, mode from bank_priced",
     "raw_sales": _duck(RAW_SALES_SELECT.format(source="sales_priced")),
     "raw_bank": _duck(RAW_BANK_SELECT.format(source="bank_priced")),
     "raw_ledgers": _duck(RAW_LEDGERS_SELECT.format(source="ledgers")),
+    "dirty_ledgers": _duck(DIRTY_LEDGERS_SELECT.format(source="ledgers")),
+    "dirty_sales": _duck(DIRTY_SALES_SELECT.format(source="raw_sales")),
+    "dirty_purchases": _duck(DIRTY_PURCHASES_SELECT.format(source="purchases")),
+    "order_lines": """
+select cast(o_orderkey as varchar) as _id, o_orderstatus as status, [o_orderstatus, cast(o_custkey as varchar)] as tags, lines
+from orders join (select l_orderkey, list({'n': l_linenumber, 'part': l_partkey, 'flag': l_returnflag}
+                                          order by l_linenumber, l_partkey, l_returnflag) as lines
+                  from lineitem group by 1) on o_orderkey = l_orderkey""",
     "orders_docs": """
 select cast(o_orderkey as varchar) as _id, concat('Party ',o_custkey) as name, o_orderstatus as status,
        o_custkey as rank, concat('Z',o_custkey) as zip,
