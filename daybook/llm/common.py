@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.sources.scratch import scratch_dir
@@ -19,7 +19,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -31,5 +31,10 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose doc_id and text hash are in ``gone`` (doc_id, mark); null ids count as equal."""
+    i, m = fresh("gone_id", docs), fresh("gone_mark", docs)
+    listed = gone.select(F.col("doc_id").alias(i), F.col("mark").alias(m)).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(i)) & (F.xxhash64(F.col("text").cast("string")) == F.col(m))
+    return docs.join(stored(listed, "gone"), same, "left_anti")
+

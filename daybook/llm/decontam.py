@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import stored
+from daybook.llm.common import stored, without
 
 #: Template tokens per window; items of fewer tokens are one window of their own length.
 WINDOW = 8
@@ -304,6 +304,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without those that leak an item, all columns kept."""
-    found = leaks(docs, benchmark, window).select(F.col("doc_id").alias("i__"), F.col("mark").alias("m__")).distinct()
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("i__")) & (F.xxhash64(F.col("text").cast("string")) == F.col("m__"))
-    return docs.join(stored(found, "decontam-leaks"), same, "left_anti")
+    return without(docs, leaks(docs, benchmark, window))

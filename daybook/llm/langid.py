@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import stored
+from daybook.llm.common import stored, without
 
 ORDER = 4
 #: Characters handled at once inside a task; longer texts are taken in pieces.
@@ -152,7 +152,8 @@ def _bounded(counts: DataFrame, max_grams: int) -> DataFrame:
     down = Window.partitionBy("lang").orderBy(F.desc("n"))
     least = levels.withColumn("sum", F.sum("grams").over(down)).where(F.col("sum") <= max_grams)
     least = least.groupBy(F.col("lang").alias("l")).agg(F.min("n").alias("least"))
-    return counts.join(least, (F.col("lang") == F.col("l")) & (F.col("n") >= F.col("least"))).select("lang", "gram", "n")
+    # one row per language
+    return counts.join(F.broadcast(least), (F.col("lang") == F.col("l")) & (F.col("n") >= F.col("least"))).select("lang", "gram", "n")
 
 
 class CharModel:
@@ -318,6 +319,4 @@ def identified(docs: DataFrame, max_grams: int = MAX_GRAMS, max_deviations: floa
 
 def accepted(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the rejected ones, all columns kept."""
-    rejects = stored(identified(docs, **options).where("rejected").select(F.col("doc_id").alias("i__"), F.col("mark").alias("m__")).distinct(), "langid-rejects")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("i__")) & (F.xxhash64(F.col("text").cast("string")) == F.col("m__"))
-    return docs.join(rejects, same, "left_anti")
+    return without(docs, identified(docs, **options).where("rejected"))

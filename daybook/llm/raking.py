@@ -109,7 +109,8 @@ def mixed(
     """
     dims = ["source", "lang", "topic"]
     power = {**POWER, **(power or {})}
-    names = {n: fresh(f"mix_{n}", docs) for n in ("topic", "tokens", "probability", "kept", *(f"c{i}" for i in range(3)))}
+    inner = [f"{k}{i}" for k in "ck" for i in range(3)]
+    names = {n: fresh(f"mix_{n}", docs) for n in ("topic", "tokens", "probability", "kept", *inner)}
     text = F.col("text").cast("string")
     topic = F.col("topic").cast("string") if "topic" in docs.columns else topic_of(text)
     targets = {d: {k: v / sum(t.values()) for k, v in t.items()} for d, t in (targets or {}).items()}
@@ -130,16 +131,16 @@ def mixed(
     ratio = F.when(F.col("tokens") > 0, F.col("share") / F.col("tokens")).otherwise(0.0)
     most = F.max("ratio").over(Window.partitionBy())
     chances = fit.withColumn("ratio", ratio).select(
-        *[F.col(d).alias(f"k{i}__") for i, d in enumerate(dims)],
+        *[F.col(d).alias(names[f"k{i}"]) for i, d in enumerate(dims)],
         # documents without tokens change no marginal: a cell of nothing else is kept
         F.when(F.col("tokens") == 0, 1.0).otherwise(F.round(F.col("ratio") / most, 9)).alias(names["probability"]),
     )
-    same = [F.col(names[f"c{i}"]) == F.col(f"k{i}__") for i in range(3)]
+    same = [F.col(names[f"c{i}"]) == F.col(names[f"k{i}"]) for i in range(3)]
     # one row per cell: bounded by the number of categories aimed at
     return (
         keyed.join(F.broadcast(chances), same)
         .withColumn(names["kept"], draw_of(F.col("doc_id")) < F.col(names["probability"]))
-        .drop(*[f"k{i}__" for i in range(3)], *[names[f"c{i}"] for i in range(3)])
+        .drop(*[names[n] for n in inner])
     )
 
 
