@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -28,6 +29,7 @@ HEADLINE = [
     "top_customers",
     "net_position",
     "ledger_statement",
+    "analysis",
     "nature_mismatch",
     "validate_sales",
     "invalid_sales",
@@ -36,6 +38,7 @@ HEADLINE = [
     "validate_bank",
     "invalid_bank",
     "semi_contains",
+    "match_bank_raw",
     "clean",
     "rejects",
     "check_primary_key",
@@ -46,6 +49,7 @@ HEADLINE = [
     "table_update_topn",
     "doc_upsert",
     "doc_patch",
+    "doc_modify_topn",
     "doc_validate",
     "expr_arith",
     "expr_interval",
@@ -62,6 +66,7 @@ def main() -> None:
         .appName("daybook-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="daybook-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
