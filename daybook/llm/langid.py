@@ -14,7 +14,7 @@ what the language's documents of that length have is rejected.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +39,14 @@ BLANK, ASTRAL, CUT = 0x20, 0xFFFE, 0xFFFF
 TEMPERATURES = [2.0**-i for i in range(13)]
 
 
-@lru_cache(maxsize=1)
+_FOLD: list[np.ndarray] = []
+
+
 def _fold() -> np.ndarray:
-    """Character -> itself if a letter, else blank."""
-    return np.array([c if chr(c).isalpha() else BLANK for c in range(0x10000)], np.uint16)
+    """Character -> itself if a letter, else blank; made once per process."""
+    if not _FOLD:
+        _FOLD.append(np.array([c if chr(c).isalpha() else BLANK for c in range(0x10000)], np.uint16))
+    return _FOLD[0]
 
 
 def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,6 +181,16 @@ class CharModel:
         whole = self.levels[ORDER][0]
         self.known, self.bits = whole, self.unknown_bits(whole)
 
+    def parts(self) -> tuple:
+        """The arrays alone, to be broadcast."""
+        return self.levels, self.known, self.bits
+
+    @classmethod
+    def of(cls, parts: tuple) -> CharModel:
+        model = cls.__new__(cls)
+        model.levels, model.known, model.bits = parts
+        return model
+
     def unknown_bits(self, grams: np.ndarray) -> np.ndarray:
         """-log2 probability of the last character of each n-gram, by interpolation from the unigram up."""
         p = np.full(len(grams), 1.0 / (1 << 16))
@@ -227,7 +241,7 @@ def _entropies(texts: list[str | None], models: list[CharModel]) -> tuple[np.nda
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    models = list(shared.value.values())
+    models = [CharModel.of(parts) for parts in shared.value]
     for batch in batches:
         size, letters, bits = _entropies(batch.column(batch.num_columns - 1).to_pylist(), models)
         per = bits / np.maximum(size, 1)[:, None]
@@ -269,7 +283,7 @@ def identified(docs: DataFrame, max_grams: int = MAX_GRAMS, max_deviations: floa
             F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("bigint").alias("n"), "mark",
         )
     schema = "doc_id bigint, held_out boolean, lang string, mark bigint, n bigint, letters boolean, entropies array<double>"
-    shared = spark.sparkContext.broadcast(models)
+    shared = spark.sparkContext.broadcast([model.parts() for model in models.values()])
     scored = stored(rows.mapInArrow(partial(_score, shared=shared), schema), "langid-scores")
     best = F.array_min("entropies")
     scored = scored.withColumns(
