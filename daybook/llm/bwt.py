@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +34,11 @@ from daybook.llm.common import stored
 
 LENGTH, GRAM = 200, 50
 #: Bytes handled at once inside a task; longer texts are taken in overlapping pieces.
-PIECE = 1 << 21
+PIECE = 1 << 18
 #: Windows per text of a transform at most (longer runs are cut).
 RUN = 512
 #: Bytes of texts merged at once, and the number of texts around one anchor that go into one task.
-MERGED_BYTES, ANCHOR_TEXTS = 1 << 22, 1 << 14
+MERGED_BYTES, ANCHOR_TEXTS = 1 << 20, 1 << 12
 #: Bits of repeated anchors' hashes in the bitmap that prunes windows (16 MB); what it lets through is decided exactly.
 BITMAP_BITS = 27
 #: Texts of transforms remembered by a task, so that a copy's bytes are not handed on twice.
@@ -46,11 +46,16 @@ SEEN = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 
 
-@lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    size = PIECE + 4 * RUN + LENGTH
-    wrap = lambda base: np.cumprod(np.concatenate(([1], np.full(size - 1, base))).astype(np.uint64))
-    return wrap(BASE), wrap(pow(BASE, -1, 1 << 64))
+_POWERS: list[np.ndarray] = []
+
+
+def _powers() -> list[np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2^64; made once per process."""
+    for base in (BASE, pow(BASE, -1, 1 << 64)) if not _POWERS else ():
+        out = np.full(PIECE + 4 * RUN + LENGTH, base, np.uint64)
+        out[0] = 1
+        _POWERS.append(np.cumprod(out))
+    return _POWERS
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -65,12 +70,13 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def sliding(data: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """The best of each ``width`` neighbours, by prefixes and suffixes of blocks."""
-    n = len(data)
-    padded = np.concatenate((data, np.full(-n % width, data[-1], data.dtype))).reshape(-1, width)
-    ahead = best.accumulate(padded, axis=1).ravel()
-    behind = best.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[: n - width + 1], ahead[width - 1 : n])
+    """The best of each ``width`` neighbours, by doubling."""
+    reach = 1
+    while 2 * reach <= width:
+        data = best(data[:-reach], data[reach:])
+        reach *= 2
+    left = width - reach
+    return best(data[: len(data) - left], data[left:])
 
 
 class Windows:
@@ -100,8 +106,7 @@ class Windows:
         """First window and number of windows of each run with one anchor that is in the bitmap."""
         if not self.valid.any():
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        bit = self.anchor >> np.uint64(64 - BITMAP_BITS)
-        held = self.valid & ((bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1)
+        held = self.valid & _held(bitmap, self.anchor)
         at = np.flatnonzero(held)
         if not len(at):
             return at, at
@@ -136,39 +141,67 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Itera
             yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], ["anchor", "n"])
 
 
-TEXTS = "id bigint, mark bigint, anchor bigint, text_hash bigint, first int, windows int, bytes binary"
+def _held(bitmap: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    bit = anchors >> np.uint64(64 - BITMAP_BITS)
+    return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _found(batch: pa.RecordBatch, bitmap: np.ndarray, length: int, gram: int) -> Iterator[tuple]:
+    """(windows, pieces, rows, offsets, first windows, numbers of windows) of each group of texts with any run."""
+    for rows, offsets, parts in pieces(batch.column(batch.num_columns - 1).to_pylist(), length):
+        made = Windows(parts, length, gram)
+        first, n = made.runs(bitmap)
+        if len(first):
+            yield made, parts, np.array(rows), np.array(offsets), first, n
+
+
+def _text_hashes(whole: bytes, first: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(first.tolist(), ends.tolist())], np.uint64).view(np.int64)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], shared, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    bitmap, seen = np.frombuffer(shared.value, np.uint64), set()
+RUNS = "id bigint, mark bigint, anchor bigint, text_hash bigint, first int, windows int"
+
+
+def _runs(batches: Iterator[pa.RecordBatch], shared, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Where each run is and the hash of the text it covers."""
+    bitmap = np.frombuffer(shared.value, np.uint64)
     for batch in batches:
         ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for rows, offsets, parts in pieces(batch.column(2).to_pylist(), length):
-            made = Windows(parts, length, gram)
-            first, n = made.runs(bitmap)
-            if not len(first):
-                continue
-            whole, hashes, held = b"".join(parts), [], []
-            for a, b in zip(first.tolist(), (first + n + length - 1).tolist()):
-                text = whole[a:b]
-                key = xxhash.xxh3_64_intdigest(text)
-                hashes.append(key - (1 << 64) if key >> 63 else key)
-                if key in seen:
-                    held.append(None)
-                    continue
-                if len(seen) > SEEN:
-                    seen.clear()
-                seen.add(key)
-                held.append(text)
+        for made, parts, rows, offsets, first, n in _found(batch, bitmap, length, gram):
             which = made.row[first]
-            row, offset = np.array(rows)[which], np.array(offsets)[which] - made.begin[which]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[row]), pa.array(marks[row]), pa.array(made.anchor[first].view(np.int64)), pa.array(hashes, pa.int64()),
-                    pa.array((first + offset).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(held, pa.binary()),
-                ],
-                ["id", "mark", "anchor", "text_hash", "first", "windows", "bytes"],
-            )
+            place = first + offsets[which] - made.begin[which]
+            hashes = _text_hashes(b"".join(parts), first, first + n + length - 1)
+            columns = [ids[rows[which]], marks[rows[which]], made.anchor[first].view(np.int64), hashes, place.astype(np.int32), n.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "mark", "anchor", "text_hash", "first", "windows"])
+
+
+TEXTS = "anchor bigint, text_hash bigint, n bigint, windows int, bytes binary"
+
+
+def _texts(batches: Iterator[pa.RecordBatch], shared, wanted, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The texts of runs with a wanted anchor, each once per task."""
+    bitmap, second, seen = np.frombuffer(shared.value, np.uint64), np.frombuffer(wanted.value, np.uint64), set()
+    for batch in batches:
+        for made, parts, _, _, first, n in _found(batch, bitmap, length, gram):
+            chosen = _held(second, made.anchor[first])
+            first, n, whole, texts, keep = first[chosen], n[chosen], b"".join(parts), [], []
+            ends = first + n + length - 1
+            hashes = _text_hashes(whole, first, ends)
+            for i, key in enumerate(hashes.tolist()):
+                if key not in seen:
+                    if len(seen) > SEEN:
+                        seen.clear()
+                    seen.add(key)
+                    keep.append(i)
+                    texts.append(whole[first[i] : ends[i]])
+            if keep:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(made.anchor[first[keep]].view(np.int64)), pa.array(hashes[keep]), pa.array(np.zeros(len(keep), np.int64)),
+                        pa.array(n[keep].astype(np.int32)), pa.array(texts, pa.binary()),
+                    ],
+                    ["anchor", "text_hash", "n", "windows", "bytes"],
+                )
 
 
 def _refined(block: np.ndarray, alive: np.ndarray, depth: int, step: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,25 +270,37 @@ REPEATED = "anchor bigint, text_hash bigint, starts array<int>, lengths array<in
 
 
 def _merged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows (anchor, text_hash, n, windows, bytes) sorted by anchor; an anchor's texts may span batches."""
-    held: list[tuple] = []
+    """Rows (anchor, text_hash, n, windows, bytes) sorted by both; an anchor's texts may span batches.
 
-    def out(rows: list[tuple]) -> pa.RecordBatch:
+    A text has several rows, of which one at least has its bytes, and occurs as often as their sum says.
+    """
+    held: list[list] = []
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    names = ["anchor", "text_hash", "starts", "lengths"]
+
+    def out(rows: list[list]) -> pa.RecordBatch:
+        rows = [r for r in rows if r[2]]  # the bitmap lets through texts that nobody asked for
+        if not rows:
+            return pa.RecordBatch.from_arrays([pa.array([], t) for t in types], names)
         flags = repeated_windows([r[4] for r in rows], np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), length)
-        found = [(r[0], r[1], *_stretches(f)) for r, f in zip(rows, flags) if f.any()]
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([f[i] for f in found], t) for i, t in enumerate(types)], ["anchor", "text_hash", "starts", "lengths"]
-        )
+        # texts that occur more than once repeat as a whole, which their number tells without a merge
+        found = [(r[0], r[1], *_stretches(f)) for r, f in zip(rows, flags) if r[2] == 1 and f.any()]
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], names)
 
     size = 0
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if held and row[:2] == (held[-1][0], held[-1][1]):
+                held[-1][2] += row[2]
+                if held[-1][4] is None and row[4] is not None:
+                    held[-1][4] = row[4]
+                    size += len(row[4])
+                continue
             if size > MERGED_BYTES and row[0] != held[-1][0]:
                 yield out(held)
                 held, size = [], 0
-            held.append(row)
-            size += len(row[4])
+            held.append(list(row))
+            size += len(row[4] or b"")
     if held:
         yield out(held)
 
@@ -291,34 +336,52 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _bitmap(anchors: DataFrame) -> bytes:
+    """The top BITMAP_BITS of the anchors as a bitmap; the driver sees at most one row per word of it."""
+    bit = F.shiftrightunsigned("anchor", 64 - BITMAP_BITS)
+    one = f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - BITMAP_BITS}) & 63 AS int))"
+    words = anchors.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(one)).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bitmap.tobytes()
+
+
 def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, anchor_texts: int = ANCHOR_TEXTS) -> DataFrame:
     """(id, mark, spans): for each document, stretches (start, n) of windows that occur elsewhere too."""
     spark = docs.sparkSession
     anchors = docs.select("text").mapInArrow(partial(_anchors, length=length, gram=gram), "anchor bigint, n bigint")
     twice = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    bit = F.shiftrightunsigned("anchor", 64 - BITMAP_BITS)
-    words = twice.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - BITMAP_BITS}) & 63 AS int))")).alias("bits")
+    shared = spark.sparkContext.broadcast(_bitmap(twice))
+    of = {"shared": shared, "length": length, "gram": gram}
+    found = stored(docs.mapInArrow(partial(_runs, **of), RUNS), "bwt-runs")
+    counts = found.groupBy("anchor", "text_hash").agg(F.count("*").alias("n"), F.max("windows").alias("windows"))
+    counts = stored(counts, "bwt-counts")
+    whole = counts.where("n > 1").select(
+        "anchor", "text_hash", F.array(F.lit(0)).alias("starts"), F.array("windows").alias("lengths")
     )
-    filled = words.toArrow()  # at most one row per word of the bitmap
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bitmap[filled["word"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(bitmap.tobytes())
-    found = stored(docs.mapInArrow(partial(_texts, shared=shared, length=length, gram=gram), TEXTS), "bwt-texts")
-    texts = found.groupBy("anchor", "text_hash").agg(
-        F.count("*").alias("n"), F.max("windows").alias("windows"), F.first("bytes", ignorenulls=True).alias("bytes")
+    # only around anchors with a text that occurs once is anything left to find out
+    groups = counts.groupBy("anchor").agg(F.count("*").alias("texts"), F.min("n").alias("least")).where("least = 1")
+    groups = stored(groups, "bwt-groups")
+    wanted = spark.sparkContext.broadcast(_bitmap(groups))
+    # counts and bytes meet in one shuffle; a text's bytes come once per task that saw it
+    texts = counts.join(groups.select("anchor"), "anchor", "left_semi").select(
+        "anchor", "text_hash", "n", "windows", F.lit(None).cast("binary").alias("bytes")
     )
-    texts = stored(texts, "bwt-distinct").select("anchor", "text_hash", "n", "windows", "bytes")
-    # an anchor seen around one text that occurs once is no repeat
-    around = stored(texts.groupBy("anchor").agg(F.count("*").alias("texts"), F.sum("n").alias("n")).where(f"texts > {anchor_texts}").select("anchor"), "bwt-frequent")
+    texts = texts.unionByName(docs.mapInArrow(partial(_texts, wanted=wanted, **of), TEXTS))
+    around = stored(groups.where(f"texts > {anchor_texts}").select("anchor"), "bwt-frequent")
     frequent = not around.isEmpty()
     usual = texts.join(around, "anchor", "left_anti") if frequent else texts
-    merged = usual.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(partial(_merged, length=length), REPEATED)
+    merged = usual.repartition("anchor").sortWithinPartitions("anchor", "text_hash")
+    merged = merged.select("anchor", "text_hash", "n", "windows", "bytes").mapInArrow(partial(_merged, length=length), REPEATED)
+    merged = whole.unionByName(merged)
     if frequent:
         keys = "anchor bigint, text_hash bigint, n bigint, place int, key binary"
-        keyed = stored(texts.join(around, "anchor", "left_semi").select("anchor", "text_hash", "n", "windows", "bytes").mapInArrow(partial(_keys, length=length), keys), "bwt-keys")
+        held = texts.join(around, "anchor", "left_semi").groupBy("anchor", "text_hash")
+        held = held.agg(F.sum("n").alias("n"), F.max("windows").alias("windows"), F.first("bytes", ignorenulls=True).alias("bytes"))
+        keyed = stored(held.where("n > 0").mapInArrow(partial(_keys, length=length), keys), "bwt-keys")
         again = keyed.groupBy("anchor", "key").agg(F.sum("n").alias("times")).where("times > 1")
-        more = keyed.join(again, ["anchor", "key"]).groupBy("anchor", "text_hash").agg(F.collect_set("place").alias("starts"))
+        more = keyed.where("n = 1").join(again, ["anchor", "key"]).groupBy("anchor", "text_hash")
+        more = more.agg(F.collect_set("place").alias("starts"))
         merged = merged.unionByName(more.withColumn("lengths", F.transform("starts", lambda _: F.lit(1))))
     merged = stored(merged, "bwt-intervals")
     stretches = F.zip_with("starts", "lengths", lambda s, n: F.struct((s + F.col("first")).alias("start"), n.alias("n")))

@@ -43,7 +43,7 @@ def texts_with_copies():
     return docs + docs[20:30]
 
 
-@pytest.mark.parametrize("length, gram, anchor_texts", [(200, 50, 1 << 14), (200, 50, 2), (24, 10, 2), (40, 9, 1 << 14)])
+@pytest.mark.parametrize("length, gram, anchor_texts", [(200, 50, 1 << 12), (200, 50, 2), (24, 10, 2), (40, 9, 1 << 12)])
 def test_repeated_strings_go(frame, length, gram, anchor_texts):
     docs = texts_with_copies()
     df = frame([(d, t, None, None, None) for d, t in docs])
