@@ -20,6 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.common import stored
+
 #: Words in the dictionary, most frequent last, and the bytes they may take together: bounds the broadcast.
 DICTIONARY_WORDS, DICTIONARY_BYTES = 8192, 1 << 17
 #: Distinct words a task counts before it hands the counts on.
@@ -119,8 +121,11 @@ def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
     Ties go by the word, so the content is the same in every run.
     """
     counts = docs.where("text IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(_words, "word string, n bigint")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(words).collect()
-    return "\n".join(r["word"] for r in reversed(top)).encode()[-DICTIONARY_BYTES:]
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    # written first: the best of each partition meet in a task, and the driver sees the chosen ones only
+    top = stored(counts.orderBy(F.desc("n"), "word").limit(words), "dictionary").collect()
+    top.sort(key=lambda r: (r["n"], [-ord(c) for c in r["word"]]))
+    return "\n".join(r["word"] for r in top).encode()[-DICTIONARY_BYTES:]
 
 
 SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, n_novel bigint, base_sha256 string, spans string"
