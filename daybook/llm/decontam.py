@@ -4,7 +4,8 @@ Texts and benchmark items become sequences of template tokens: words in lower ca
 placeholders for numbers, names and units, whose values are kept as slots.  Windows of
 template tokens are hash-joined.  What matches along one diagonal (the same shift between
 item and document) must fill the item's slots consistently: equal values in the item have equal values
-in the document.  So a question whose numbers or persons were exchanged is still found.
+in the document.  So a question whose numbers or persons were exchanged is still found.  A
+capitalised word that begins a sentence or line may be a name or not, and is read both ways.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ BITMAP_BITS = 24
 #: Copies of the benchmark's windows in the join, so that one passage's rows go to several tasks.
 SALTS = 8
 PIECE, TOKENS, VOCABULARY = 1 << 21, 1 << 19, 1 << 20
+#: Windows, in all their readings, that are hashed at once.
+READINGS = 1 << 21
 
 #: Marks stripped from words, and units (after a number only).
 MARKS = string.punctuation + "“”„‘’«»…–—·•¿¡"
@@ -102,63 +105,94 @@ class Vocabulary(dict):
 
 
 class Template:
-    """The template tokens of several texts in a row."""
+    """The template tokens of several texts in a row.
 
-    def __init__(self, words: Vocabulary, texts: list[np.ndarray]):
+    A capitalised word that begins a sentence is a token of its own that is ``either`` literal or a
+    name; ``joined``: where a name follows it, both are one name ("Tom Smith has", but "So Tom has").
+    """
+
+    def __init__(self, words: Vocabulary, texts: list[np.ndarray], joined: bool = False):
         words.arrays()
         raw = np.concatenate(texts)
         row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         kind, initial = words.kind[raw], np.concatenate(([True], words.ends[raw[:-1]].astype(bool)))
-        kind = np.where((kind == NAME) & initial, LITERAL, kind)
+        either = (kind == NAME) & initial
+        followed = either & np.append((kind == NAME)[1:] & ~initial[1:], False)
+        self.joined, self.followed = joined, np.bincount(row[followed], minlength=len(texts)) > 0
+        if joined:
+            either &= ~followed
+        kind = np.where(either, LITERAL, kind)
         kept = np.flatnonzero(kind != DROPPED)
         self.kind, self.word, self.row = kind[kept], raw[kept], row[kept]
         together = np.concatenate(([False], (np.diff(kept) == 1))) & np.concatenate(([False], self.row[1:] == self.row[:-1]))
         after = np.concatenate(([LITERAL], self.kind[:-1]))
         self.kind = np.where(together & (after == NUM) & (words.unit[self.word] == 1) & (self.kind == LITERAL), UNIT, self.kind)
-        more = together & (self.kind == NAME) & (after == NAME)  # a name of several words is one slot
+        more = together & (self.kind == NAME) & (after == NAME) & ~initial[kept]  # a name of several words is one slot
         first = np.flatnonzero(~more)
         self.last = np.append(first[1:], len(more))
         self.first, self.all_words = first, self.word
         self.kind, self.row = self.kind[first], self.row[first]
+        self.either = either[kept][first] & (self.kind == LITERAL)
         exact = words.code[self.word[first]]
         self.exact, self.code = exact, np.where(self.kind == LITERAL, exact, PLACEHOLDERS[self.kind])
         self.words = words
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first token, hash) of each window of ``size`` tokens within one text.
+    def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(first token, hash, reading) of each window of ``size`` tokens within one text.
 
-        Windows with fewer literal words than placeholders are hashed with their values: they
-        are no evidence unless they agree word for word.
+        Each word that is either literal or a name is read both ways, whatever the others are: bit i
+        of a reading tells that token i is a name.  Windows with fewer literal words than placeholders are
+        hashed with their values: they are no evidence unless they agree word for word.
         """
         n = len(self.code) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return
         slots = np.concatenate(([0], np.cumsum(self.kind != LITERAL)))
-        bare = 2 * (slots[size:] - slots[:-size]) > size
+        slots = slots[size:] - slots[:-size]
+        open_ = np.concatenate(([0], np.cumsum(self.either)))
+        ways = np.left_shift(1, open_[size:] - open_[:-size])
         hashed, exact = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         for i in range(size):
             hashed = hashed * BASE + self.code[i : n + i]
-        if bare.any():
+            exact = exact * BASE + self.exact[i : n + i]
+        every = self.row[:n] == self.row[size - 1 :]
+        if self.joined:
+            every &= self.followed[self.row[:n]]
+        every = np.flatnonzero(every)
+        power = np.array([pow(int(BASE), size - 1 - i, 1 << 64) for i in range(size)], np.uint64)
+        part = np.cumsum(ways[every]) // READINGS
+        for at in np.split(every, np.flatnonzero(np.diff(part)) + 1):
+            h, filled, reading = hashed[at], slots[at], np.zeros(len(at), np.int64)
             for i in range(size):
-                exact = exact * BASE + self.exact[i : n + i]
-            hashed = np.where(bare, ~exact, hashed)
-        hashed ^= hashed >> np.uint64(29)
-        hashed *= np.uint64(0xBF58476D1CE4E5B9)
-        hashed ^= hashed >> np.uint64(32)
-        at = np.flatnonzero(self.row[: n] == self.row[size - 1 :])
-        return at, hashed[at]
-
-    def slots(self, at: int, size: int) -> list[str | None]:
+                both = np.flatnonzero(self.either[at + i])
+                if len(both):
+                    as_name = h[both] + (PLACEHOLDERS[NAME : NAME + 1] - self.code[at[both] + i]) * power[i]
+                    at, h = np.append(at, at[both]), np.append(h, as_name)
+                    filled, reading = np.append(filled, filled[both] + 1), np.append(reading, reading[both] | 1 << i)
+            h = np.where(2 * filled > size, ~exact[at], h)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            yield at, h, reading
+
+    def value(self, token: int) -> str:
+        """Kind and words of a placeholder; a word that is ``either`` ends with LINE."""
+        words = " ".join(self.words.cores[w] for w in self.all_words[self.first[token] : self.last[token]])
+        return f"{KINDS[NAME]}{words}{LINE}" if self.either[token] else f"{KINDS[self.kind[token]]}{words}"
+
+    def slots(self, at: int, size: int, reading: int) -> list[str | None]:
         """The value of each placeholder of a window, None for literal words."""
-        out = []
-        for i in range(at, at + size):
-            words = [self.words.cores[w] for w in self.all_words[self.first[i] : self.last[i]]]
-            out.append(None if self.kind[i] == LITERAL else f"{KINDS[self.kind[i]]}{' '.join(words)}")
-        return out
+        return [None if self.kind[at + i] == LITERAL and not reading >> i & 1 else self.value(at + i) for i in range(size)]
 
 
 def templates(texts: list[str | None], words: Vocabulary) -> Iterator[tuple[list[int], Template]]:
-    """Templates of groups of texts: (rows, template)."""
+    """Templates of groups of texts: (rows, template), and once more joined where that differs."""
+
+    def made(parts: list[np.ndarray]) -> Iterator[Template]:
+        yield (template := Template(words, parts))
+        if template.followed.any():
+            yield Template(words, parts, joined=True)
+
     rows, parts, size = [], [], 0
     for i, text in enumerate(texts):
         if not text:
@@ -170,13 +204,13 @@ def templates(texts: list[str | None], words: Vocabulary) -> Iterator[tuple[list
         parts.append(words.numbers(text))
         size += len(parts[-1])
         if size >= TOKENS:
-            yield rows, Template(words, parts)
+            yield from ((rows, template) for template in made(parts))
             rows, parts, size = [], [], 0
     if rows:
-        yield rows, Template(words, parts)
+        yield from ((rows, template) for template in made(parts))
 
 
-ITEM = "item_id bigint, place int, hash bigint, slots array<string>, size int, tokens int"
+ITEM = "item_id bigint, item_joined boolean, place int, hash bigint, slots array<string>, size int, tokens int"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -188,20 +222,21 @@ def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
                 tokens = len(template.code)
                 size = min(window, tokens)
                 if tokens >= LEAST_ITEM:
-                    at, hashed = template.windows(size)
-                    out += [(ids[i], int(a), int(h), template.slots(a, size), size, tokens) for a, h in zip(at, hashed.view(np.int64))]
+                    for at, hashed, reading in template.windows(size):
+                        for a, h, r in zip(at.tolist(), hashed.view(np.int64).tolist(), reading.tolist()):
+                            out.append((ids[i], template.joined, a, h, template.slots(a, size, r), size, tokens))
         yield _batch(out, ITEM)
 
 
 def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
     fields = [f.split() for f in ddl.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)], [name for name, _ in fields]
     )
 
 
-FOUND = "doc_id bigint, mark bigint, at int, hash bigint, slots array<string>, size int"
+FOUND = "doc_id bigint, mark bigint, joined boolean, at int, hash bigint, slots array<string>, size int"
 
 
 def _document_windows(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
@@ -211,12 +246,12 @@ def _document_windows(batches: Iterator[pa.RecordBatch], shared, sizes: list[int
         for rows, template in templates(batch.column(2).to_pylist(), words):
             begin = np.searchsorted(template.row, np.arange(len(rows)))
             for size in sizes:
-                at, hashed = template.windows(size)
-                bit = hashed >> np.uint64(64 - BITMAP_BITS)
-                hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                for a, h in zip(at[hit].tolist(), hashed[hit].view(np.int64).tolist()):
-                    row = int(template.row[a])
-                    out.append((ids[rows[row]], marks[rows[row]], a - int(begin[row]), h, template.slots(a, size), size))
+                for at, hashed, reading in template.windows(size):
+                    bit = hashed >> np.uint64(64 - BITMAP_BITS)
+                    hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                    for a, h, r in zip(at[hit].tolist(), hashed[hit].view(np.int64).tolist(), reading[hit].tolist()):
+                        row = int(template.row[a])
+                        out.append((ids[rows[row]], marks[rows[row]], template.joined, a - int(begin[row]), h, template.slots(a, size, r), size))
             if len(out) > 1 << 14:
                 yield _batch(out, FOUND)
                 out = []
@@ -257,17 +292,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     filling = F.zip_with(
         "item_slots", "slots", lambda item, doc: F.struct(item.alias("item"), doc.alias("doc"))
     )
-    filling = F.transform(
-        filling, lambda p, i: F.struct((F.col("place") + i).alias("token"), p["item"].alias("item"), p["doc"].alias("doc"))
+    # a word that may be a name and is the same in both agrees as a literal word too: no slot
+    filling = F.filter(
+        F.transform(filling, lambda p, i: F.struct((F.col("place") + i).alias("token"), p["item"].alias("item"), p["doc"].alias("doc"))),
+        lambda p: p["item"].isNotNull() & ~(p["item"].endswith(LINE) & (p["item"] == p["doc"])),
     )
-    # a group has one row per item token at most: the windows of one diagonal
+    word = lambda v: F.rtrim(v, F.lit(LINE))
+    filling = F.transform(filling, lambda p: F.struct(p["token"].alias("token"), word(p["item"]).alias("item"), word(p["doc"]).alias("doc")))
+    # a group has one row per item token and reading at most: the windows of one diagonal
     lines = (
         found.join(wanted, ["hash", "size", "salt"])
-        .groupBy("doc_id", "mark", "item_id", "tokens", (F.col("at") - F.col("place")).alias("shift"))
+        .groupBy("doc_id", "mark", "item_id", "tokens", "item_joined", "joined", (F.col("at") - F.col("place")).alias("shift"))
         .agg(
             F.array_sort(F.collect_set("place")).alias("places"),
             F.max("size").alias("size"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.filter(filling, lambda p: p["item"].isNotNull()))))).alias("slots"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list(filling)))).alias("slots"),
         )
     )
     covered = F.aggregate(
@@ -291,14 +330,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
             F.size("slots").alias("slots"),
             "consistent",
             "verbatim",
+            F.col("tokens").alias("item_tokens"),
         ),
-        F.struct("matched_tokens", -F.col("shift")),
+        F.struct("matched_tokens", ~F.col("item_joined"), ~F.col("joined"), -F.col("shift")),
     )
     return (
         judged.where((F.col("matched_tokens") >= enough) & (F.col("consistent") >= CONSISTENT))
-        .groupBy("doc_id", "mark", "item_id", F.col("tokens").alias("item_tokens"))
+        .groupBy("doc_id", "mark", "item_id")
         .agg(best.alias("best"))
-        .select("doc_id", "mark", "item_id", "item_tokens", "best.*")
+        .select("doc_id", "mark", "item_id", "best.item_tokens", *[f"best.{c}" for c in ("matched_tokens", "at_token", "slots", "consistent", "verbatim")])
     )
 
 

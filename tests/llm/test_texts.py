@@ -100,6 +100,24 @@ def test_reparameterised_questions(frame, spark, odd, empty):
     assert D.leaks(empty, benchmark).count() == 0 and D.leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_names_that_open_sentences_are_slots(frame, spark):
+    items = [
+        (1, "Tom has 3 apples. Tom buys 4 more. How many apples does Tom have?"),
+        (2, "Mary Smith sold 7 cakes in the morning. Later she baked some more of them."),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [
+        items[0][1],
+        "Ann has 5 apples. Ann buys 7 more. How many apples does Ann have?",
+        "Well, Ann has 5 apples. Ann buys 7 more. how many apples does Ann have?",
+        "Ann has 5 apples. Bob buys 7 more. How many apples does Eve have?",
+        "Zoe sold 9 cakes in the morning. Later she baked some more of them.",
+        "They sold cakes in the evening. Later she slept.",
+    ]
+    got = {(r.doc_id, r.item_id): (r.verbatim, r.consistent) for r in D.leaks(frame([(i, t, None, None, None) for i, t in enumerate(texts)]), benchmark).collect()}
+    assert got == {(0, 1): (True, 1.0), (1, 1): (False, 1.0), (2, 1): (False, 1.0), (4, 2): (False, 1.0)}
+
+
 def base_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
