@@ -10,6 +10,7 @@ capitalised word that begins a sentence or line may be a name or not, and is rea
 
 from __future__ import annotations
 
+import math
 import re
 import string
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import stored, without
@@ -141,8 +142,8 @@ class Template:
         """(first token, hash, reading) of each window of ``size`` tokens within one text.
 
         Each word that is either literal or a name is read both ways, whatever the others are: bit i
-        of a reading tells that token i is a name.  Windows with fewer literal words than placeholders are
-        hashed with their values: they are no evidence unless they agree word for word.
+        of a reading tells that token i is a name.  Windows without any literal word are hashed with their
+        values: they are no evidence unless they agree word for word.
         """
         n = len(self.code) - size + 1
         if n <= 0:
@@ -169,7 +170,7 @@ class Template:
                     as_name = h[both] + (PLACEHOLDERS[NAME : NAME + 1] - self.code[at[both] + i]) * power[i]
                     at, h = np.append(at, at[both]), np.append(h, as_name)
                     filled, reading = np.append(filled, filled[both] + 1), np.append(reading, reading[both] | 1 << i)
-            h = np.where(2 * filled > size, ~exact[at], h)
+            h = np.where(filled == size, ~exact[at], h)
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(32)
@@ -180,6 +181,19 @@ class Template:
         words = " ".join(self.words.cores[w] for w in self.all_words[self.first[token] : self.last[token]])
         return f"{KINDS[NAME]}{words}{LINE}" if self.either[token] else f"{KINDS[self.kind[token]]}{words}"
 
+    def run(self, at: int, step: int, reach: int) -> list[str]:
+        """The values of the placeholders from a token on or back, at most ``reach``, up to the next literal word."""
+        out = []
+        while len(out) < reach and 0 <= at < len(self.kind) and self.kind[at] != LITERAL and self.row[at] == self.row[at - step]:
+            out.append(self.value(at))
+            at += step
+        return out
+
+    def needed(self) -> int:
+        """Literal words that must agree where placeholders are most of what does; a word that may be a name counts less."""
+        literal, either = int((self.kind == LITERAL).sum()), int(self.either.sum())
+        return max(1, math.ceil(LEAST_SHARE * (literal - either)), math.ceil(literal / 2))
+
     def slots(self, at: int, size: int, reading: int) -> list[str | None]:
         """The value of each placeholder of a window, None for literal words."""
         return [None if self.kind[at + i] == LITERAL and not reading >> i & 1 else self.value(at + i) for i in range(size)]
@@ -210,7 +224,7 @@ def templates(texts: list[str | None], words: Vocabulary) -> Iterator[tuple[list
         yield from ((rows, template) for template in made(parts))
 
 
-ITEM = "item_id bigint, item_joined boolean, place int, hash bigint, slots array<string>, size int, tokens int"
+ITEM = "item_id bigint, item_joined boolean, place int, hash bigint, slots array<string>, size int, tokens int, needed int, before array<string>, after array<string>"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -220,11 +234,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
         for i, text in enumerate(batch.column(1).to_pylist()):
             for _, template in templates([text], words):
                 tokens = len(template.code)
-                size = min(window, tokens)
+                size, needed = min(window, tokens), template.needed()
                 if tokens >= LEAST_ITEM:
                     for at, hashed, reading in template.windows(size):
                         for a, h, r in zip(at.tolist(), hashed.view(np.int64).tolist(), reading.tolist()):
-                            out.append((ids[i], template.joined, a, h, template.slots(a, size, r), size, tokens))
+                            runs = template.run(a - 1, -1, tokens), template.run(a + size, 1, tokens)
+                            out.append((ids[i], template.joined, a, h, template.slots(a, size, r), size, tokens, needed, *runs))
         yield _batch(out, ITEM)
 
 
@@ -236,10 +251,10 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     )
 
 
-FOUND = "doc_id bigint, mark bigint, joined boolean, at int, hash bigint, slots array<string>, size int"
+FOUND = "doc_id bigint, mark bigint, joined boolean, at int, hash bigint, slots array<string>, size int, before array<string>, after array<string>"
 
 
-def _document_windows(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+def _document_windows(batches: Iterator[pa.RecordBatch], shared, sizes: list[int], reach: int) -> Iterator[pa.RecordBatch]:
     words, bitmap = Vocabulary(), shared.value
     for batch in batches:
         ids, marks, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
@@ -251,7 +266,8 @@ def _document_windows(batches: Iterator[pa.RecordBatch], shared, sizes: list[int
                     hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
                     for a, h, r in zip(at[hit].tolist(), hashed[hit].view(np.int64).tolist(), reading[hit].tolist()):
                         row = int(template.row[a])
-                        out.append((ids[rows[row]], marks[rows[row]], template.joined, a - int(begin[row]), h, template.slots(a, size, r), size))
+                        runs = template.run(a - 1, -1, reach), template.run(a + size, 1, reach)
+                        out.append((ids[rows[row]], marks[rows[row]], template.joined, a - int(begin[row]), h, template.slots(a, size, r), size, *runs))
             if len(out) > 1 << 14:
                 yield _batch(out, FOUND)
                 out = []
@@ -263,6 +279,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
     One row per document and item of which it holds at least LEAST_TOKENS tokens along one diagonal (or
     LEAST_SHARE of a shorter item) with consistent slots; of several places the longest, then the first.
+    Windows with fewer literal words than placeholders count for this if their values agree too.  Otherwise, and
+    with the placeholders next to what matches, LEAST_SHARE of the whole item and of its literal words
+    must agree, so that number-heavy items are found with other numbers.
     ``verbatim``: every slot has the item's own value.  ``mark`` is the text's hash, so
     documents that share a null or repeated doc_id stay apart; rows that repeat both are one document.
     Null and empty texts and items match nothing, items of fewer than LEAST_ITEM tokens neither; empty
@@ -273,7 +292,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = stored(items.mapInArrow(partial(_item_windows, window=window), ITEM), "decontam-items")
-    sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most ``window``
+    sizes = {r["size"]: r["tokens"] for r in items.groupBy("size").agg(F.max("tokens").alias("tokens")).collect()}  # at most ``window``
     bit = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
     filled = items.groupBy(F.shiftright(bit, 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITMAP_BITS}) & 63 AS int))")).alias("bits")
@@ -286,9 +305,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
         F.xxhash64(F.col("text").cast("string")).alias("mark"),
         F.col("text").cast("string").alias("text"),
     )
-    found = rows.mapInArrow(partial(_document_windows, shared=spark.sparkContext.broadcast(bitmap), sizes=sizes), FOUND)
+    found = rows.mapInArrow(partial(_document_windows, shared=spark.sparkContext.broadcast(bitmap), sizes=list(sizes), reach=max(sizes.values(), default=0)), FOUND)
     found = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark", "at"), F.lit(SALTS)).cast("int"))
-    wanted = items.withColumnRenamed("slots", "item_slots").withColumn("salt", F.explode(F.lit(list(range(SALTS)))))
+    wanted = items.withColumnsRenamed({c: f"item_{c}" for c in ("slots", "before", "after")}).withColumn("salt", F.explode(F.lit(list(range(SALTS)))))
     filling = F.zip_with(
         "item_slots", "slots", lambda item, doc: F.struct(item.alias("item"), doc.alias("doc"))
     )
@@ -299,46 +318,73 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     )
     word = lambda v: F.rtrim(v, F.lit(LINE))
     filling = F.transform(filling, lambda p: F.struct(p["token"].alias("token"), word(p["item"]).alias("item"), word(p["doc"]).alias("doc")))
-    # a group has one row per item token and reading at most: the windows of one diagonal
-    lines = (
-        found.join(wanted, ["hash", "size", "salt"])
-        .groupBy("doc_id", "mark", "item_id", "tokens", "item_joined", "joined", (F.col("at") - F.col("place")).alias("shift"))
-        .agg(
-            F.array_sort(F.collect_set("place")).alias("places"),
-            F.max("size").alias("size"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list(filling)))).alias("slots"),
-        )
-    )
-    covered = F.aggregate(
-        F.zip_with("places", F.slice("places", 2, F.size("places")), lambda a, b: F.coalesce(F.least(F.col("size"), b - a), F.col("size"))),
-        F.lit(0),
-        lambda s, x: s + x,
+    held = F.size(F.filter("item_slots", lambda v: v.isNotNull()))
+    strong = (2 * held <= F.col("size")) | (held == F.col("size")) | ~F.exists(filling, lambda p: p["item"] != p["doc"])
+    literals = F.transform("item_slots", lambda v, i: F.when(v.isNull(), F.col("place") + i))
+
+    def run(name: str, step: int, start: Column) -> Column:
+        """What the placeholders beside a window are filled with, as long as their kinds agree."""
+        kind = lambda v: F.substring_index(v, ">", 1)
+        pairs = F.zip_with(f"item_{name}", name, lambda item, doc: F.struct(item.alias("item"), doc.alias("doc")))
+        end = F.array_position(F.transform(pairs, lambda p: F.coalesce(kind(p["item"]) == kind(p["doc"]), F.lit(False))), False)
+        pairs = F.slice(pairs, 1, F.when(end == 0, F.size(pairs)).otherwise(end - 1).cast("int"))
+        return F.transform(pairs, lambda p, i: F.struct((start + step * i).alias("token"), p["item"].alias("item"), p["doc"].alias("doc")))
+
+    span = lambda first, end: F.struct(first.cast("int").alias("first"), end.cast("int").alias("end"))
+    matches = found.join(wanted, ["hash", "size", "salt"]).withColumns({"filling": filling, "strong": strong, "literals": literals})
+    matches = matches.withColumns(
+        {"back": run("before", -1, F.col("place") - 1), "on": run("after", 1, F.col("place") + F.col("size")), "end": F.col("place") + F.col("size")}
     )
-    # item values that come more than once must be filled as they were the first time
-    first = lambda p: F.filter(F.col("slots"), lambda q: q["item"] == p["item"])[0]
-    repeats = F.filter("slots", lambda p: first(p)["token"] < p["token"])
-    agreeing = F.filter(repeats, lambda p: first(p)["doc"] == p["doc"])
-    judged = lines.withColumn("matched_tokens", covered)
-    judged = judged.withColumn(
-        "consistent", F.when(F.size(repeats) > 0, F.size(agreeing) / F.size(repeats)).otherwise(F.lit(1.0))
-    ).withColumn("verbatim", ~F.exists("slots", lambda p: p["item"] != p["doc"]))
-    enough = F.least(F.lit(LEAST_TOKENS), F.ceil(LEAST_SHARE * F.col("tokens")).cast("int"))
-    best = F.max_by(
-        F.struct(
-            "matched_tokens",
-            (F.element_at("places", 1) + F.col("shift")).alias("at_token"),
-            F.size("slots").alias("slots"),
-            "consistent",
-            "verbatim",
-            F.col("tokens").alias("item_tokens"),
-        ),
-        F.struct("matched_tokens", ~F.col("item_joined"), ~F.col("joined"), -F.col("shift")),
+    # a group has one row per item token and reading at most: the windows of one diagonal
+    together = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    lines = matches.groupBy(
+        "doc_id", "mark", "item_id", "tokens", "needed", "item_joined", "joined", (F.col("at") - F.col("place")).alias("shift")
+    ).agg(
+        F.array_sort(F.collect_set(F.when(F.col("strong"), span(F.col("place"), F.col("end"))))).alias("spans"),
+        together(F.when(F.col("strong"), F.col("filling"))).alias("slots"),
+        F.array_sort(F.collect_set(span(F.col("place") - F.size("back"), F.col("end") + F.size("on")))).alias("all_spans"),
+        together(F.concat("back", "filling", "on")).alias("all_slots"),
+        F.size(F.array_compact(F.array_distinct(F.flatten(F.collect_list("literals"))))).alias("literals"),
     )
+
+    def judged(spans: str, slots: str) -> Column:
+        covered = F.aggregate(
+            spans,
+            F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
+            lambda s, x: F.struct(
+                F.greatest(s["end"], x["end"]).alias("end"), (s["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(s["end"], x["first"]))).alias("n")
+            ),
+            lambda s: s["n"],
+        )
+        # item values that come more than once must be filled as they were the first time
+        first = lambda p: F.filter(slots, lambda q: q["item"] == p["item"])[0]
+        repeats = F.filter(slots, lambda p: first(p)["token"] < p["token"])
+        agreeing = F.filter(repeats, lambda p: first(p)["doc"] == p["doc"])
+        return F.struct(
+            covered.alias("matched_tokens"),
+            (F.get(spans, F.lit(0))["first"] + F.col("shift")).alias("at_token"),
+            F.size(slots).alias("slots"),
+            F.when(F.size(repeats) > 0, F.size(agreeing) / F.size(repeats)).otherwise(F.lit(1.0)).alias("consistent"),
+            (~F.exists(slots, lambda p: p["item"] != p["doc"])).alias("verbatim"),
+        )
+
+    share = F.ceil(LEAST_SHARE * F.col("tokens")).cast("int")
+    enough = F.least(F.lit(LEAST_TOKENS), share)
+    lines = lines.withColumns({"some": judged("spans", "slots"), "whole": judged("all_spans", "all_slots")})
+    by_some = (F.col("some.matched_tokens") >= enough) & (F.col("some.consistent") >= CONSISTENT)
+    by_whole = (F.col("whole.matched_tokens") >= share) & (F.col("literals") >= F.col("needed")) & (F.col("whole.consistent") >= CONSISTENT)
+    told = ("matched_tokens", "at_token", "slots", "consistent", "verbatim")
     return (
-        judged.where((F.col("matched_tokens") >= enough) & (F.col("consistent") >= CONSISTENT))
+        lines.select("*", F.when(by_whole, F.col("whole")).when(by_some, F.col("some")).alias("line"))
+        .where("line IS NOT NULL")
         .groupBy("doc_id", "mark", "item_id")
-        .agg(best.alias("best"))
-        .select("doc_id", "mark", "item_id", "best.item_tokens", *[f"best.{c}" for c in ("matched_tokens", "at_token", "slots", "consistent", "verbatim")])
+        .agg(
+            F.max_by(
+                F.struct("line", F.col("tokens").alias("item_tokens")),
+                F.struct("line.matched_tokens", ~F.col("item_joined"), ~F.col("joined"), -F.col("shift")),
+            ).alias("best")
+        )
+        .select("doc_id", "mark", "item_id", "best.item_tokens", *[f"best.line.{c}" for c in told])
     )
 
 

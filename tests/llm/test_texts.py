@@ -118,6 +118,29 @@ def test_names_that_open_sentences_are_slots(frame, spark):
     assert got == {(0, 1): (True, 1.0), (1, 1): (False, 1.0), (2, 1): (False, 1.0), (4, 2): (False, 1.0)}
 
 
+def test_number_heavy_questions_with_other_numbers(frame, spark):
+    many = ", ".join(str(7 * i + 1) for i in range(20))
+    items = [
+        (1, "Compute 17 + 25 + 38 + 4."),
+        (2, "Find the mean of 3, 7, 9, 12, 15, 18, 21, 24."),
+        (3, f"Here is the list {many} whose median we want."),
+        (4, "3 7 9 12 15 18 21 24 31"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    other = ", ".join(str(9 * i + 2) for i in range(20))
+    texts = [
+        "Compute 11 + 26 + 39 + 5.",
+        "Now find the mean of 4, 8, 10, 13, 16, 19, 22, 25 please.",
+        f"Here is the list {other} whose median we want.",
+        f"Page {other} of",
+        "4 8 10 13 16 19 22 25 32",
+        "Total 18 26 39 5 and the sum of 4, 8, 10, 13, 16, 19, 22, 25",
+        "x 3 7 9 12 15 18 21 24 31 y",
+    ]
+    got = {(r.doc_id, r.item_id): (r.matched_tokens, r.verbatim) for r in D.leaks(frame([(i, t, None, None, None) for i, t in enumerate(texts)]), benchmark).collect()}
+    assert got == {(0, 1): (5, False), (1, 2): (12, False), (2, 3): (28, False), (6, 4): (9, True)}
+
+
 def base_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
