@@ -3,13 +3,16 @@
 The patterns find assignments, access keys and long hex runs.  Beyond them, strings that
 follow a sensitive word are judged by what they cost: the bytes that zstandard, primed
 with the corpus' most frequent identifiers, needs for the surrounding text with the string beyond
-those for that text without it.  Words and identifiers cost little; a string that
-stays near its own length cannot be derived from anything around it and is reported.
+those for that text without it.  Words and identifiers cost little; a string that costs about as
+much as its own symbols in random order cannot be derived from anything around it and is
+reported.  Strings made of word-like parts also need pairs of letters unlike the dictionary's.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,8 +31,13 @@ DICTIONARY_WORDS, DICTIONARY_BYTES = 8192, 1 << 17
 FLUSH = 1 << 19
 #: Characters around a candidate that count as its surroundings, and how far behind a sensitive word it may begin.
 BEFORE, AFTER, REACH = 512, 128, 64
-#: Marginal bytes per character from which a candidate is incompressible, and the fewest bytes.
-NOVELTY, LEAST_BYTES = 0.8, 10
+#: A candidate is incompressible from NOVELTY bytes a character, and LEAST_BYTES, or if it costs no less than its own
+#: shuffles but for 1 - NOVELTY of the bytes that a random string of its alphabet and length takes.
+NOVELTY, LEAST_BYTES, SHUFFLES = 0.8, 10, 3
+#: Share of the symbols' possible entropy that a random string has at least.
+LEAST_ENTROPY = 0.6
+#: Bits a letter after the one before it from which word-like strings are random; 4.7 if all letters are alike.
+LETTER_BITS = 6.0
 LEVEL = 9
 
 #: The base patterns and their shortest matches, in the order of the report.
@@ -43,6 +51,9 @@ KINDS = [kind for kind, *_ in BASE] + ["novel"]
 SENSITIVE = ("password", "passwd", "passphrase", "secret", "token", "api_key", "apikey", "api-key", "credential", "bearer", "private key", "private_key", "access key", "access_key", "authorization")
 CONTEXT = re.compile("|".join(SENSITIVE), re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
+ALPHABETS = tuple((re.compile(pattern), size) for pattern, size in (("[0-9+/_=-]+", 10), ("[0-9a-f+/_=-]+|[0-9A-F+/_=-]+", 16), ("[a-z+/_=-]+|[A-Z+/_=-]+", 26), ("[A-Z2-7=]+", 32), ("[a-z0-9+/_=-]+|[A-Z0-9+/_=-]+", 36)))
+WORDLIKE = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|(?<![0-9])[0-9]{1,4}+(?![0-9])|[+/_=\-]++)++")
+LETTERS = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 # matches of 24 and more are the runs of [0-9a-f]+ that pass, without a match for every shorter run
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
@@ -60,41 +71,78 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the strings that begin within REACH of a sensitive word, each once."""
+    low = text.lower()
+    if not any(word in low for word in SENSITIVE):
+        return
+    if len(low) != len(text):  # lower-casing some letters changes a text's length
+        low = "".join(c.lower() if c < "\x80" else c for c in text)
+    seen = set()
+    for word in CONTEXT.finditer(low):
+        # a candidate may begin up to REACH behind the word and be of any length
+        at = word.end()
+        while (m := CANDIDATE.search(text, at, at + REACH + 16)) and m.start() <= word.end() + REACH:
+            start, end = CANDIDATE.match(text, m.start()).span()
+            at = end
+            if start not in seen:
+                seen.add(start)
+                yield start, end
+
+
+def random_bytes(found: str) -> float:
+    """What a random string of the same alphabet and length takes; 0 if the symbols are too few or too uneven for one."""
+    size = next((n for pattern, n in ALPHABETS if pattern.fullmatch(found)), 64)
+    n = len(found)
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(found).values())
+    return n * math.log2(size) / 8 if entropy >= LEAST_ENTROPY * math.log2(min(size, n)) else 0.0
+
+
 class Novelty:
     """Marginal compressed bytes with one dictionary."""
 
     def __init__(self, dictionary: bytes):
         held = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if dictionary else None
         self.coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False)
-
-    def marginal(self, text: str, start: int, end: int) -> int:
-        before, after = text[max(0, start - BEFORE) : start], text[end : end + AFTER]
-        size = lambda s: len(self.coder.compress(s.encode("utf-8", "replace")))
-        return size(before + after + text[start:end]) - size(before + after)
+        runs = [run.lower() for run in LETTERS.findall(dictionary.decode("utf-8", "replace"))]
+        self.pairs = Counter(p for run in runs for p in zip(run, run[1:]))
+        self.firsts = Counter(c for run in runs for c in run[:-1])
+
+    def marginal(self, text: str, start: int, end: int) -> tuple[int, int]:
+        """Bytes beyond those of the surroundings, of the string and of the cheapest of its SHUFFLES.
+
+        A shuffle has the string's symbols and so its frame, table and literal costs, but nothing in it can be derived.
+        Other occurrences of the string in its surroundings do not count.
+        """
+        found = text[start:end]
+        before = text[max(0, start - BEFORE - len(found)) : start].replace(found, " ")[-BEFORE:]
+        after = text[end : end + AFTER + len(found)].replace(found, " ")[:AFTER]
+        size = lambda s: len(self.coder.compress((before + after + s).encode("utf-8", "replace")))
+        mixer = random.Random(found)
+        return size(found) - size(""), min(size("".join(mixer.sample(found, len(found)))) for _ in range(SHUFFLES)) - size("")
+
+    def letter_bits(self, found: str) -> float:
+        """Mean surprise of a letter after the one before it, by the dictionary's words."""
+        runs = [run.lower() for run in LETTERS.findall(found)]
+        bits = [-math.log2((self.pairs[p] + 0.5) / (self.firsts[p[0]] + 13)) for run in runs for p in zip(run, run[1:])]
+        return sum(bits) / len(bits) if bits else 0.0
+
+    def incompressible(self, text: str, start: int, end: int) -> bool:
+        found, (bytes_, shuffled) = text[start:end], self.marginal(text, start, end)
+        if bytes_ >= max(LEAST_BYTES, NOVELTY * len(found)):
+            return True  # not even by single characters
+        most = random_bytes(found)
+        if not most or shuffled - bytes_ > (1 - NOVELTY) * most:
+            return False
+        return ALPHABETS[1][0].fullmatch(found) is not None or not WORDLIKE.fullmatch(found) or self.letter_bits(found) >= LETTER_BITS
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Incompressible strings that begin within REACH of a sensitive word and touch no base span."""
-        low = text.lower()
-        if not any(word in low for word in SENSITIVE):
-            return []
-        if len(low) != len(text):  # lower-casing some letters changes a text's length
-            low = "".join(c.lower() if c < "\x80" else c for c in text)
-        out, seen = [], set()
-        for word in CONTEXT.finditer(low):
-            # a candidate may begin up to REACH behind the word and be of any length
-            at = word.end()
-            while (m := CANDIDATE.search(text, at, at + REACH + 16)) and m.start() <= word.end() + REACH:
-                start, end = CANDIDATE.match(text, m.start()).span()
-                at = end
-                if start in seen:
-                    continue
-                seen.add(start)
-                if any(a < end and start < b for a, _, b in taken):
-                    continue
-                bytes_ = self.marginal(text, start, end)
-                if bytes_ >= max(LEAST_BYTES, NOVELTY * (end - start)):
-                    out.append((start, 3, end))
-        return out
+        return [
+            (start, 3, end)
+            for start, end in candidates(text)
+            if not any(a < end and start < b for a, _, b in taken) and self.incompressible(text, start, end)
+        ]
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

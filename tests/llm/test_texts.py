@@ -169,6 +169,37 @@ def test_secrets_are_scanned(frame, odd, empty, documents):
         assert r.n_assign + r.n_access + r.n_hex + r.n_novel == len([s for s in r.spans.split(",") if s])
 
 
+def _prose(rnd, words):
+    return " ".join(rnd.choice(words) for _ in range(120))
+
+
+@pytest.fixture(scope="module")
+def words():
+    return "the of and reader service authentication provider library gives every user name from some table where connection management system answers requests within seconds".split()
+
+
+@pytest.mark.parametrize(
+    "alphabet, length",
+    [("0123456789", n) for n in (23, 400)] + [("0123456789ABCDEF", n) for n in (32, 64, 3200)] + [("0123456789abcdef", 20)]
+    + [("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", n) for n in (16, 20, 1600, 3200)],
+)
+def test_random_strings_of_any_alphabet_are_novel(words, alphabet, length):
+    rnd = random.Random(length)
+    novelty, found = S.Novelty("\n".join(words).encode()), 0
+    for _ in range(20):
+        key = "".join(rnd.choices(alphabet, k=length))
+        text = f"{_prose(rnd, words)} bearer {key} {_prose(rnd, words)}"
+        at = text.index(key)
+        found += novelty.spans(text, []) == [(at, 3, at + length)]
+    assert found >= 19
+
+
+def test_word_like_strings_are_not_novel(words):
+    rnd, novelty = random.Random(1), S.Novelty("\n".join(words).encode())
+    for name in ("connection-management-system", "authentication_provider_library", "readerServiceUserName", "1111111111111111", "================", "----------------------"):
+        assert novelty.spans(f"{_prose(rnd, words)} bearer {name} {_prose(rnd, words)}", []) == []
+
+
 def test_kneser_ney_adds_up_to_one():
     model = L.CharModel(*np.unique(L.grams_of(["the cat sat on the mat and the hat"])[0], return_counts=True))
     for context in ("the", " ca", "xyz"):
