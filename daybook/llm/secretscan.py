@@ -146,32 +146,44 @@ class Novelty:
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their number, and the candidates with none."""
     held: Counter = Counter()
+    judged: set[str] = set()
 
     def out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+        words, counts = [*held, *judged], [*held.values(), *[0] * len(judged)]
+        columns = [pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array([False] * len(held) + [True] * len(judged))]
         held.clear()
-        return batch
+        judged.clear()
+        return pa.RecordBatch.from_arrays(columns, ["word", "n", "judged"])
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
             held.update(w for w in text.split() if 4 <= len(w) <= 40)
-            if len(held) > FLUSH:
+            judged.update(text[a:b] for a, b in candidates(text) if b - a <= 40)  # longer ones are in no word
+            if len(held) + len(judged) > FLUSH:
                 yield out()
-    if held:
+    if held or judged:
         yield out()
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
     """The most frequent words (4 to 40 characters) of all texts as dictionary content, at most DICTIONARY_BYTES.
 
-    Words are counted in all documents; one that a single document repeats counts each time.
-    Ties go by the word, so the content is the same in every run.
+    Words are counted in all documents; one that a single document repeats counts each time.  Words
+    that hold what is judged in any document are left out, however many copies there are: a
+    secret must not be derived from itself.  Ties go by the word, so the content is the same in every run.
     """
-    counts = docs.where("text IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(_words, "word string, n bigint")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = docs.where("text IS NOT NULL").select(F.col("text").cast("string")).mapInArrow(_words, "word string, n bigint, judged boolean")
+    # written once, as the words and the candidates among them are looked at apart
+    counts = stored(counts.groupBy("word", "judged").agg(F.sum("n").alias("n")).where("judged OR n > 1"), "secret-words")
+    parts = F.explode(F.regexp_extract_all("word", F.lit(f"({CANDIDATE.pattern})"), F.lit(1)))
+    judged = counts.where("judged").select(F.col("word").alias("part"))
+    holding = counts.where("NOT judged AND length(word) >= 16").select("word", parts.alias("part"))
+    holding = holding.join(judged, "part", "left_semi").select("word").distinct()
+    counts = counts.where("NOT judged").join(holding, "word", "left_anti")
     # written first: the best of each partition meet in a task, and the driver sees the chosen ones only
-    top = stored(counts.orderBy(F.desc("n"), "word").limit(words), "dictionary").collect()
+    top = stored(counts.select("word", "n").orderBy(F.desc("n"), "word").limit(words), "dictionary").collect()
     top.sort(key=lambda r: (r["n"], [-ord(c) for c in r["word"]]))
     return "\n".join(r["word"] for r in top).encode()[-DICTIONARY_BYTES:]
 

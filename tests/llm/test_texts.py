@@ -200,6 +200,19 @@ def test_word_like_strings_are_not_novel(words):
         assert novelty.spans(f"{_prose(rnd, words)} bearer {name} {_prose(rnd, words)}", []) == []
 
 
+def test_copies_do_not_hide_a_secret(frame, words):
+    rnd = random.Random(8)
+    copied, twice = ("".join(rnd.choices("ABCDEFGHabcdefgh0123456789", k=32)) for _ in range(2))
+    hot = f"{_prose(rnd, words)} bearer {copied} {_prose(rnd, words)} see \"{copied}\", {_prose(rnd, words)}"
+    docs = [(i, hot) for i in range(50)] + [(100, f"{_prose(rnd, words)} bearer {twice} or {twice} {_prose(rnd, words)}")]
+    docs += [(200 + i, _prose(rnd, words)) for i in range(20)]
+    docs = frame([(i, t, None, None, None) for i, t in docs])
+    assert copied not in S.dictionary(docs).decode() and b"authentication" in S.dictionary(docs)
+    by = {r.doc_id: r for r in S.scan(docs).collect()}
+    assert all(by[i].n_novel == 1 for i in range(50)) and by[100].n_novel == 2
+    assert not any(by[200 + i].n_novel for i in range(20))
+
+
 def test_kneser_ney_adds_up_to_one():
     model = L.CharModel(*np.unique(L.grams_of(["the cat sat on the mat and the hat"])[0], return_counts=True))
     for context in ("the", " ca", "xyz"):
