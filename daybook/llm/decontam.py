@@ -150,31 +150,40 @@ class Template:
             return
         slots = np.concatenate(([0], np.cumsum(self.kind != LITERAL)))
         slots = slots[size:] - slots[:-size]
-        open_ = np.concatenate(([0], np.cumsum(self.either)))
-        ways = np.left_shift(1, open_[size:] - open_[:-size])
-        hashed, exact = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        hashed = np.zeros(n, np.uint64)
         for i in range(size):
-            hashed = hashed * BASE + self.code[i : n + i]
-            exact = exact * BASE + self.exact[i : n + i]
-        every = self.row[:n] == self.row[size - 1 :]
-        if self.joined:
-            every &= self.followed[self.row[:n]]
-        every = np.flatnonzero(every)
+            hashed *= BASE
+            hashed += self.code[i : n + i]
+        every = np.flatnonzero(self.row[:n] == self.row[size - 1 :])
+        yield every, self._finished(every, hashed[every], slots[every], size), np.zeros(len(every), np.int64)
+        open_ = np.concatenate(([0], np.cumsum(self.either)))
+        ways = np.left_shift(1, (open_[size:] - open_[:-size])[every])
+        every, ways = every[ways > 1], ways[ways > 1]
         power = np.array([pow(int(BASE), size - 1 - i, 1 << 64) for i in range(size)], np.uint64)
-        part = np.cumsum(ways[every]) // READINGS
-        for at in np.split(every, np.flatnonzero(np.diff(part)) + 1):
+        for at in np.split(every, np.flatnonzero(np.diff(np.cumsum(ways) // READINGS)) + 1):
             h, filled, reading = hashed[at], slots[at], np.zeros(len(at), np.int64)
             for i in range(size):
                 both = np.flatnonzero(self.either[at + i])
                 if len(both):
-                    as_name = h[both] + (PLACEHOLDERS[NAME : NAME + 1] - self.code[at[both] + i]) * power[i]
-                    at, h = np.append(at, at[both]), np.append(h, as_name)
+                    first = at[both]
+                    as_name = h[both] + (PLACEHOLDERS[NAME : NAME + 1] - self.code[first + i]) * power[i]
+                    at, h = np.append(at, first), np.append(h, as_name)
                     filled, reading = np.append(filled, filled[both] + 1), np.append(reading, reading[both] | 1 << i)
-            h = np.where(filled == size, ~exact[at], h)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
-            yield at, h, reading
+            named = reading > 0
+            at, reading = at[named], reading[named]
+            yield at, self._finished(at, h[named], filled[named], size), reading
+
+    def _finished(self, at: np.ndarray, hashed: np.ndarray, filled: np.ndarray, size: int) -> np.ndarray:
+        bare = np.flatnonzero(filled == size)
+        if len(bare):
+            exact = np.zeros(len(bare), np.uint64)
+            for i in range(size):
+                exact = exact * BASE + self.exact[at[bare] + i]
+            hashed[bare] = ~exact
+        hashed ^= hashed >> np.uint64(29)
+        hashed *= np.uint64(0xBF58476D1CE4E5B9)
+        hashed ^= hashed >> np.uint64(32)
+        return hashed
 
     def value(self, token: int) -> str:
         """Kind and words of a placeholder; a word that is ``either`` ends with LINE."""
@@ -200,12 +209,13 @@ class Template:
 
 
 def templates(texts: list[str | None], words: Vocabulary) -> Iterator[tuple[list[int], Template]]:
-    """Templates of groups of texts: (rows, template), and once more joined where that differs."""
+    """Templates of groups of texts: (rows, template), and once more joined for those where that differs."""
 
-    def made(parts: list[np.ndarray]) -> Iterator[Template]:
-        yield (template := Template(words, parts))
-        if template.followed.any():
-            yield Template(words, parts, joined=True)
+    def made(rows: list[int], parts: list[np.ndarray]) -> Iterator[tuple[list[int], Template]]:
+        yield rows, (template := Template(words, parts))
+        again = np.flatnonzero(template.followed).tolist()
+        if again:
+            yield [rows[i] for i in again], Template(words, [parts[i] for i in again], joined=True)
 
     rows, parts, size = [], [], 0
     for i, text in enumerate(texts):
@@ -218,10 +228,10 @@ def templates(texts: list[str | None], words: Vocabulary) -> Iterator[tuple[list
         parts.append(words.numbers(text))
         size += len(parts[-1])
         if size >= TOKENS:
-            yield from ((rows, template) for template in made(parts))
+            yield from made(rows, parts)
             rows, parts, size = [], [], 0
     if rows:
-        yield from ((rows, template) for template in made(parts))
+        yield from made(rows, parts)
 
 
 ITEM = "item_id bigint, item_joined boolean, place int, hash bigint, slots array<string>, size int, tokens int, needed int, before array<string>, after array<string>"
