@@ -7,8 +7,9 @@ with their probabilities; a lookup is a binary search.  The language is the one
 lowest cross-entropy per character.
 
 Calibration uses the training documents' own scores: the temperature at which the
-likelihood ratios predict the labels best gives ``score``; a cross-entropy far above
-what the language's documents of that length have is rejected.
+likelihood ratios predict the labels best gives ``score``; a low score is rejected, and so is a
+cross-entropy far above what the language's documents of that length have.  What they have is taken from
+medians over distinct texts, which junk among them moves little while it is the smaller part.
 """
 
 from __future__ import annotations
@@ -30,8 +31,12 @@ PIECE = 1 << 20
 MAX_GRAMS = 200_000
 #: Distinct n-grams a task gathers before it hands them on.
 FLUSH = 1 << 20
-#: A cross-entropy this many standard deviations above its language's mean is rejected.
+#: A cross-entropy this many (median absolute, scaled to standard) deviations above its language's median is rejected.
 MAX_DEVIATIONS = 8.0
+#: A calibrated score below this is rejected: the guess is more likely wrong than right.
+LEAST_SCORE = 0.5
+#: Steps a bit in which cross-entropies are counted for the medians, and standard deviations a median absolute one.
+STEPS, SCALE = 256, 1.4826
 #: Bits per character that count as one deviation at least.
 LEAST_SPREAD = 0.1
 UNDETERMINED = "und"
@@ -252,6 +257,25 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         )
 
 
+def _medians(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The median of a whole-numbered column with ``docs`` occurrences of each value, and the sum of these, by ``keys``."""
+    summed = counted.groupBy(*keys, F.col(value).alias("value")).agg(F.sum("docs").alias("docs"))
+    whole = Window.partitionBy(*keys)
+    so_far = F.sum("docs").over(whole.orderBy("value"))
+    passed = summed.withColumn("passed", 2 * so_far >= F.sum("docs").over(whole))
+    return passed.groupBy(*keys).agg(F.min(F.when(F.col("passed"), F.col("value"))).alias("median"), F.sum("docs").alias("docs"))
+
+
+def _usual(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, docs, median and spread of the cross-entropies that ``counted`` (lang, band, step, docs) has."""
+    middle = _medians(counted, keys, "step")
+    # one row per language, or language and band of length
+    apart = counted.join(F.broadcast(middle.select(*keys, F.col("median").alias("middle"))), keys)
+    spread = _medians(apart.withColumn("apart", F.abs(F.col("step") - F.col("middle"))), keys, "apart")
+    spread = spread.select(*keys, (SCALE * F.col("median") / STEPS).alias("spread"))
+    return middle.join(spread, keys).select(*keys, "docs", ((F.col("median") + 0.5) / STEPS).alias("median"), "spread")
+
+
 def held_out() -> Column:
     """Documents never trained on: crc32 of the id as text divides by 5 (a null id counts as empty)."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -262,9 +286,11 @@ def identified(docs: DataFrame, max_grams: int = MAX_GRAMS, max_deviations: floa
 
     Learns from all documents with a language that are not held out.  ``und`` for texts that are null or
     have no letter, and for all if nothing can be learned; equally good languages go to the
-    first by name.  ``score`` is the calibrated probability of the prediction, 0 for ``und``.  ``rejected``: ``und``, or
-    a cross-entropy more than ``max_deviations`` standard deviations above the mean of its language's training
-    documents of about that length.  ``mark`` is the text's hash.  Repeated rows come out
+    first by name.  ``score`` is the calibrated probability of the prediction, 0 for ``und``.  ``rejected``: ``und``, a score
+    below LEAST_SCORE, or a cross-entropy more than ``max_deviations`` deviations above the median of its language's
+    training documents of about that length, each distinct text counted once; bands of fewer than 30, or
+    that lie as a whole beyond what the language has, are judged by the whole language with twice the deviations.
+    ``mark`` is the text's hash.  Repeated rows come out
     as often as they came in; an empty table gives no rows; other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -304,17 +330,20 @@ def identified(docs: DataFrame, max_grams: int = MAX_GRAMS, max_deviations: floa
     quality = [x if x is not None else float("-inf") for x in fits]
     temperature = TEMPERATURES[int(np.argmax(quality))]
     # languages x bands of length: bounded whatever the input, hence the broadcasts
-    usual = training.where("lang = guess").groupBy("lang", "band").agg(
-        F.count("*").alias("docs"), F.avg("best").alias("mean"), F.stddev_pop("best").alias("spread")
-    )
-    all_bands = training.where("lang = guess").groupBy(F.col("lang").alias("l")).agg(
-        F.avg("best").alias("all_mean"), F.stddev_pop("best").alias("all_spread")
-    )
-    usual = usual.select(F.col("lang").alias("of"), F.col("band").alias("of_band"), "docs", "mean", "spread")
+    steps = F.floor(F.col("best") * STEPS).cast("bigint").alias("step")
+    texts = training.where("lang = guess").select("lang", "band", steps, "mark").distinct()
+    counted = stored(texts.groupBy("lang", "band", "step").agg(F.count("*").alias("docs")), "langid-usual")
+    usual = _usual(counted, ["lang", "band"]).select(F.col("lang").alias("of"), F.col("band").alias("of_band"), "docs", "median", "spread")
+    all_bands = _usual(counted, ["lang"]).select(F.col("lang").alias("l"), F.col("median").alias("all_median"), F.col("spread").alias("all_spread"))
+    wide = 2 * max_deviations * F.greatest("all_spread", F.lit(LEAST_SPREAD))
+    beyond = F.coalesce(F.col("median") > F.col("all_median") + wide, F.lit(False))
     few = F.coalesce(F.col("docs"), F.lit(0)) < 30
-    limit = F.when(few, F.greatest("all_mean", F.coalesce("mean", "all_mean")) + 2 * max_deviations * F.greatest("all_spread", F.lit(LEAST_SPREAD))).otherwise(
-        F.col("mean") + max_deviations * F.greatest("spread", F.lit(LEAST_SPREAD))
+    limit = (
+        F.when(beyond, F.col("all_median") + wide)
+        .when(few, F.greatest("all_median", F.coalesce("median", "all_median")) + wide)
+        .otherwise(F.col("median") + max_deviations * F.greatest("spread", F.lit(LEAST_SPREAD)))
     )
+    score = chance(F.lit(temperature), F.col("best"))
     return (
         scored.join(F.broadcast(usual), (F.col("guess") == F.col("of")) & (F.col("band") == F.col("of_band")), "left")
         .join(F.broadcast(all_bands), F.col("guess") == F.col("l"), "left")
@@ -322,8 +351,8 @@ def identified(docs: DataFrame, max_grams: int = MAX_GRAMS, max_deviations: floa
             "doc_id",
             "held_out",
             F.when(F.col("letters"), F.col("guess")).otherwise(UNDETERMINED).alias("lang_pred"),
-            F.when(F.col("letters"), chance(F.lit(temperature), F.col("best"))).otherwise(0.0).alias("score"),
-            (~F.col("letters") | F.coalesce(F.col("best") > limit, F.lit(False))).alias("rejected"),
+            F.when(F.col("letters"), score).otherwise(0.0).alias("score"),
+            (~F.col("letters") | (score < LEAST_SCORE) | F.coalesce(F.col("best") > limit, F.lit(False))).alias("rejected"),
             F.when(F.col("letters"), F.col("best")).alias("entropy"),
             "n",
             "mark",

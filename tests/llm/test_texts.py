@@ -258,6 +258,16 @@ def test_noise_is_rejected(documents, frame, spark):
     assert [r.doc_id for r in L.identified(docs).where("rejected").collect()] == [10**6]
 
 
+@pytest.mark.parametrize("share", [0.05, 0.33])
+def test_labelled_junk_is_rejected(documents, frame, spark, share):
+    rnd = random.Random(4)
+    clean = documents.where("lang = 'en'")
+    n = round(clean.count() * share / (1 - share))
+    junk = [(10**6 + i, "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)), "en", "hot", None) for i in range(n)]
+    docs = documents.unionByName(spark.createDataFrame(junk, documents.schema))
+    assert {r.doc_id for r in L.identified(docs).where("rejected").collect()} == {r[0] for r in junk}
+
+
 def test_grades_on_held_out_ratings(spark):
     import os
 
