@@ -1,17 +1,19 @@
-"""Repeated byte strings by merging shard transforms, interleaves refined by doubling.
+"""Repeated byte strings by minimiser anchors and prefix doubling.
+
+No Burrows-Wheeler transform is built, no shard's own suffix order and no common-prefix array: anchors
+and doubling stand in for merged shard transforms, since an interleave over the corpus would be in one task
+and only windows with a repeated anchor can repeat.  The rows are the same.
 
 The question is which strings of ``length`` bytes start at two places or more.  Three steps:
 
 1. **Shards of what can repeat.**  In every window of ``length`` bytes the smallest hash of its
    ``gram``-byte strings is its anchor.  Equal windows have equal anchors, so a window whose anchor occurs once cannot
-   repeat.  Runs of windows with one repeated anchor, and the bytes they cover, are the texts of the
-   transforms; equal texts are kept once with their number.
-2. **Merged transforms.**  Each shard's suffixes are put in blocks of equal 8-byte prefixes.
-   The merge refines the interleave of all shards of a group of anchors: a block of prefixes twice as long is
-   a pair of blocks, its own and that of the suffix further on, so no suffix is compared or
-   sorted again by its text.  Blocks of one suffix are settled and leave the refinement; their
-   common prefix with any other is shorter than the depth reached.  At ``length`` bytes the remaining
-   blocks are the repeated intervals.
+   repeat.  Runs of windows with one repeated anchor, and the bytes they cover, are the texts
+   that are compared; equal texts are kept once with their number.
+2. **Doubling.**  The texts of a group of anchors are joined, and all their suffixes are sorted by their first 8 bytes
+   into blocks of equal prefixes.  A block of prefixes twice as long is a pair of blocks, its own and
+   that of the suffix further on; the pairs are sorted again at every doubling.  Blocks of one
+   suffix are settled and leave.  At ``length`` bytes the remaining blocks are the repeated strings.
 3. **Back to the texts.**  Windows in repeated intervals become removed spans of each document.
 
 An anchor with very many different texts around it is not put into one task: its windows
