@@ -4,7 +4,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from books import tuples
 from pyspark.sql import functions as F
 
 from daybook.functions import text

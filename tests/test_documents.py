@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import tuples
+from books import tuples
 from pyspark.sql import functions as F
 
 from daybook.functions import borders as N

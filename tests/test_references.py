@@ -4,7 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from books import tuples
 from pyspark.sql import functions as F
 
 from daybook.operators import references as R

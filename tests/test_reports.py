@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import tuples
+from books import tuples
 from pyspark.sql import functions as F
 
 from daybook.operators.cleaning import clean, trim_strings

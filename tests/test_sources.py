@@ -1,7 +1,7 @@
 """Scans, sinks and jobs on files."""
 
 import pytest
-from conftest import BANK_ROWS, LEDGER_ROWS, PURCHASE_ROWS, SALES_ROWS, _rows, tuples
+from books import BANK_ROWS, LEDGER_ROWS, PURCHASE_ROWS, SALES_ROWS, rows_of, tuples
 from pyspark.sql import functions as F
 
 from daybook.operators.cleaning import clean
@@ -25,7 +25,7 @@ def raw_files(tmp_path):
     for name, header in HEADERS.items():
         extra = ",source" if name in ("sales", "purchases") else ""
         tail = ",ERP" if extra else ""
-        lines = [header + extra, *[",".join(r) + tail for r in _rows(ROWS[name])]]
+        lines = [header + extra, *[",".join(r) + tail for r in rows_of(ROWS[name])]]
         path = tmp_path / f"{name}.csv"
         path.write_text("\n".join(lines) + "\n")
         paths[name] = str(path)
