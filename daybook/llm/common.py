@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +41,14 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(i)) & (F.xxhash64(F.col("text").cast("string")) == F.col(m))
     return docs.join(stored(listed, "gone"), same, "left_anti")
 
+
+def slices(text: str, cut: re.Pattern, size: int) -> Iterator[str]:
+    """``text`` in slices of about ``size`` characters, each but the first beginning with a match of ``cut``."""
+    at = 0
+    while len(text) - at > size:
+        found = cut.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bwt, decontam, langid, merkle, ordinal, raking, rendezvous, secretscan, simhash, warc
+from daybook.llm import bwt, decontam, divergence, langid, merkle, ordinal, raking, rendezvous, repair, secretscan, simhash, tokencount, warc
 from daybook.llm.common import table
 
 
@@ -48,6 +48,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents")).drop("mark")
 
 
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -59,9 +73,13 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
+    "op11_tokens": op11_tokens,
+    "op12_conversations": op12_conversations,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLE_SQL = {
     "op9_mixing": raking.ORACLE_SQL,
     "op2_warc": warc.PAGES_SQL,
+    "op13_divergence": divergence.ORACLE_SQL,
 }
