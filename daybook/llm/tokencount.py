@@ -34,11 +34,10 @@ SLICE = 1 << 20
 REMEMBERED = 1 << 19
 #: A vocabulary file larger than this is refused: it goes to every task.
 MAX_FILE = 64 << 20
-END = "</w>"
 #: The one cutting pattern that has a form in Python's expressions (fixed values; the second is the first without
-#: ``\p``: letters are word characters but digits and underscore).
+#: ``\p``: letters are word characters but digits and underscore, and four control characters are no white space).
 LIBRARY_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PYTHON_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
+PYTHON_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|[_\x1c-\x1f])+"
 #: Where a text may be cut in two: no pre-token and no composition reaches over these in any vocabulary that drops them.
 BLANKS = re.compile(r"[ \t\n\r]")
 
@@ -55,7 +54,9 @@ def _library_cut(tokenizer: Tokenizer, text: str) -> list[str]:
 
 
 def spelled(word: str) -> str:
-    """A pre-token's bytes, spelled with the vocabulary's character for each."""
+    """A pre-token's bytes, spelled with the vocabulary's character for each; visible ASCII is itself."""
+    if word.isascii() and word.isprintable() and " " not in word:
+        return word
     return "".join(part for part, _ in ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(word))
 
 
@@ -144,36 +145,26 @@ def whole_tokens(tokenizer: Tokenizer) -> list[str]:
 
 
 class Counter(dict):
-    """Pre-token -> its number of tokens: the proved ones from the start, others merged when first asked for."""
+    """Spelled pre-token -> its number of tokens: the proved ones from the start, others merged when first asked for."""
 
-    def __init__(self, tokenizer: Tokenizer, proved: list[str]):
+    def __init__(self, tokenizer: Tokenizer, proved: list[str], spell: Callable[[str], str] | None = None):
         super().__init__(dict.fromkeys(proved, 1))
-        self.tokenizer, self.proved, self.spellings = tokenizer, proved, {}
+        self.model, self.proved, self.spell = tokenizer.model, proved, spell
 
     def __missing__(self, word: str) -> int:
-        n = self.merged(spelled(word))
+        n = len(self.model.tokenize(self.spell(word) if self.spell else word))
         if len(self) > len(self.proved) + REMEMBERED:
             self.clear()
             self.update(dict.fromkeys(self.proved, 1))
         self[word] = n
         return n
 
-    def merged(self, spelling: str) -> int:
-        return len(self.tokenizer.model.tokenize(spelling))
-
-    def cut_by_library(self, text: str) -> tuple[int, int]:
-        """Pre-tokens and tokens of a text that only the library may cut."""
-        if not self.spellings:
-            self.spellings = dict.fromkeys(map(spelled, self.proved), 1)
-        parts = _library_cut(self.tokenizer, text)
-        return len(parts), sum(self.spellings.get(p) or self.merged(p) for p in parts)
-
 
 def counter_of(source: str, proved: list[str], ranges: list[tuple[int, int]]) -> Callable[[str], tuple[int, int]]:
     """A function text -> (pre-tokens, tokens), special strings counted as the one token they are."""
     tokenizer = Tokenizer.from_str(source)
     spec = json.loads(source)
-    counts = Counter(tokenizer, proved)
+    plain, by_spelling = Counter(tokenizer, proved, spelled), Counter(tokenizer, [spelled(w) for w in proved])
     special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
     split = re.compile("|".join(map(re.escape, special))).split if special else (lambda text: [text])
     agreeing = re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in ranges) + "]*") if ranges else None
@@ -185,12 +176,11 @@ def counter_of(source: str, proved: list[str], ranges: list[tuple[int, int]]) ->
         for part in parts:
             for piece in slices(part, BLANKS, SLICE) if ranges else (part,):
                 if agreeing is not None and (piece.isascii() or agreeing.fullmatch(piece)):
-                    words = find(piece.lower())
-                    pretokens += len(words)
-                    tokens += sum(map(counts.__getitem__, words))
+                    words, counts = find(piece.lower()), plain
                 else:
-                    p, t = counts.cut_by_library(piece)
-                    pretokens, tokens = pretokens + p, tokens + t
+                    words, counts = _library_cut(tokenizer, piece), by_spelling
+                pretokens += len(words)
+                tokens += sum(map(counts.__getitem__, words))
         return pretokens, tokens
 
     return count

@@ -72,6 +72,14 @@ def test_slices_and_forgetting_change_nothing(library, monkeypatch):
         assert count(text)[1] == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_most_characters_need_no_library(library):
+    ranges = tokencount.agreeing_characters(library)
+    held = lambda c: any(a <= ord(c) <= b for a, b in ranges)
+    assert all(held(chr(c)) for c in range(128)) and all(map(held, "éüßñ—“…日本语العربية한글🏳"))
+    assert not any(map(held, "\u0301Σ½\u0378"))
+    assert sum(b - a + 1 for a, b in ranges) > 100_000
+
+
 def test_proved_strings_are_one_token_inside_texts(library):
     proved = tokencount.whole_tokens(library)
     assert len(proved) > 30_000
