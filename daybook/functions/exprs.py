@@ -5,6 +5,7 @@ Comparison, LIKE and REGEXP are case-sensitive, as in Spark.
 
 from __future__ import annotations
 
+import json
 import operator
 import re
 from collections.abc import Callable, Mapping
@@ -126,16 +127,18 @@ def array_contained_in(inner: Column, outer: Column) -> Column:
     return F.size(F.array_except(inner, outer)) == 0
 
 
-def like(value: Column, pattern: str, escape: str | None = None) -> Column:
-    return F.like(value, F.lit(pattern), F.lit(escape)) if escape else F.like(value, F.lit(pattern))
+def like(value: Column, pattern: object, escape: str | None = None) -> Column:
+    """The pattern may be a text or any Column."""
+    return F.like(value, _column(pattern), F.lit(escape)) if escape else F.like(value, _column(pattern))
 
 
 def between(value: Column, low: object, high: object) -> Column:
     return value.between(low, high)
 
 
-def regexp(value: Column, pattern: str) -> Column:
-    return value.rlike(pattern)
+def regexp(value: Column, pattern: object) -> Column:
+    """The pattern may be a text or any Column."""
+    return F.rlike(value, _column(pattern))
 
 
 def overlaps(left: Column, right: Column) -> Column:
@@ -157,26 +160,49 @@ def interval_add(when: Column, amount: object, unit: str) -> Column:
     return F.timestamp_add(unit.upper(), _column(amount), when)
 
 
-def _composite_parts(unit: str, text: str) -> dict[str, int]:
-    """Numbers of a composite interval such as ``10:20``, last number to last unit."""
+def _composite_units(unit: str) -> tuple[str, ...]:
+    """Units of a composite interval, largest first."""
     first, _, last = unit.upper().partition("_")
     ladder = ("YEAR", "MONTH") if (first, last) == ("YEAR", "MONTH") else _CLOCK
     if first not in ladder or last not in ladder or ladder.index(first) >= ladder.index(last):
         raise ValueError(f"unknown interval unit {unit!r}")
-    units = ladder[ladder.index(first) : ladder.index(last) + 1]
+    return ladder[ladder.index(first) : ladder.index(last) + 1]
+
+
+def _composite_parts(unit: str, text: str) -> dict[str, int]:
+    """Numbers of a composite interval such as ``10:20``, last number to last unit."""
+    units = _composite_units(unit)
     numbers = re.findall(r"\d+", text)
     if not numbers or len(numbers) > len(units):
         raise ValueError(f"{text!r} is not an interval of {unit}")
-    if last == "MICROSECOND":
+    if units[-1] == "MICROSECOND":
         numbers[-1] = numbers[-1].ljust(6, "0")
     sign = -1 if text.lstrip().startswith("-") else 1
     return {u: sign * int(n) for u, n in zip(units[-len(numbers) :], numbers)}
 
 
-def interval_composite(when: Column, text: str, unit: str, sign: int = 1) -> Column:
-    """Date plus (or, with sign -1, minus) a composite interval, e.g. MINUTE_SECOND '10:20'."""
-    parts = {u: sign * n for u, n in _composite_parts(unit, text).items()}
-    return reduce(lambda day, part: interval_add(day, part[1], part[0]), parts.items(), when)
+def _composite_columns(unit: str, text: Column) -> dict[str, Column]:
+    """The same numbers of a text known only row by row; NULL where it is no such interval."""
+    units = _composite_units(unit)
+    numbers = F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0))
+    fits = F.size(numbers).between(1, len(units))
+    sign = F.when(F.ltrim(text).startswith("-"), -1).otherwise(1)
+    parts = {}
+    for place, name in enumerate(reversed(units)):
+        number = F.try_element_at(numbers, F.lit(-1 - place))
+        if name == "MICROSECOND":
+            number = F.when(F.length(number) < 6, F.rpad(number, 6, "0")).otherwise(number)
+        parts[name] = F.when(fits, F.coalesce(number.try_cast("int"), F.when(F.size(numbers) <= place, F.lit(0))) * sign)
+    return dict(reversed(parts.items()))
+
+
+def interval_composite(when: Column, text: str | Column, unit: str, sign: int = 1) -> Column:
+    """Date plus (or, with sign -1, minus) a composite interval, e.g. MINUTE_SECOND '10:20'.
+
+    A text that is no such interval is an error, or NULL where it is a Column.
+    """
+    parts = _composite_columns(unit, text) if isinstance(text, Column) else _composite_parts(unit, text)
+    return reduce(lambda day, part: interval_add(day, F.lit(sign) * part[1], part[0]), parts.items(), when)
 
 
 # -- casts -------------------------------------------------------------------
@@ -227,6 +253,39 @@ def json_array(*values: object) -> Column:
     return F.array(*[_column(v) for v in values])
 
 
+# How Spark names the types inside a VARIANT, and what JSON calls them.
+_KINDS = {
+    "OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null", "BIGINT": "number", "INT": "number",
+    "SMALLINT": "number", "TINYINT": "number", "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number", "DATE": "string",
+    "TIMESTAMP": "string", "TIMESTAMP_NTZ": "string", "BINARY": "string",
+}
+
+
+def kind_of(variant: Column) -> Column:
+    """object, array, string, boolean, number or null for a VARIANT; NULL where there is none."""
+    names = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    return F.try_element_at(names, F.regexp_extract(F.schema_of_variant(variant), "^[A-Z_]+", 0))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def variant_step(step: str | int) -> str:
+    """One step of a VARIANT path."""
+    if isinstance(step, int):
+        return f"[{step}]"
+    if "'" in step and '"' in step:
+        raise ValueError(f"no path leads to a member named {step!r}")
+    return f"['{step}']" if "'" not in step else f'["{step}"]'
+
+
+def json_literal(value: object) -> Column:
+    """A VARIANT of a plain value: None, numbers, texts, lists, mappings with text keys."""
+    return F.parse_json(F.lit(json.dumps(value, ensure_ascii=False, default=str)))
+
+
 def doc_path(json_text: Column, path: str, dtype: str = "string") -> Column:
     """``column->'$.path'`` with a type; NULL where the path is missing."""
     return F.try_variant_get(F.try_parse_json(json_text), path, dtype)

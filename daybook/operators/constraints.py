@@ -6,6 +6,8 @@ repeated key costs one row per map task however often it occurs.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,12 +66,12 @@ def check_foreign_key(df: DataFrame, column: str, ledgers: DataFrame) -> DataFra
     )
 
 
-def row_rules(df: DataFrame, entity: Entity) -> dict[str, Column]:
-    """Constraint -> condition under which a row breaks it, for the columns that ``df`` has.
+def row_rules(df: DataFrame | Iterable[str], entity: Entity) -> dict[str, Column]:
+    """Constraint -> condition under which a row breaks it, for the columns that ``df`` (a frame or their names) has.
 
     Domains are compared without regard to case, as the declaring database does.
     """
-    have = set(df.columns)
+    have = set(df.columns if isinstance(df, DataFrame) else df)
     rules = {f"not_null:{c}": F.col(c).isNull() for c in dict.fromkeys((entity.key, *entity.required)) if c in have}
     for c, domain in entity.domains.items():
         if c in have:
@@ -78,6 +80,14 @@ def row_rules(df: DataFrame, entity: Entity) -> dict[str, Column]:
     return rules
 
 
+def row_rule_violations(df: DataFrame, entity: Entity) -> DataFrame:
+    """(table_name, constraint, key, n_rows): a line per row and row rule that it breaks."""
+    rules = row_rules(df, entity)
+    key = F.col(entity.key).cast("string").alias("key")
+    name, one = F.lit(entity.name).alias("table_name"), F.lit(1).cast("bigint").alias("n_rows")
+    return df.filter(any_failed(rules)).select(name, F.explode(failed(rules)).alias("constraint"), key, one)
+
+
 def violations(df: DataFrame, entity: Entity, ledgers: DataFrame | None = None) -> DataFrame:
     """(table_name, constraint, key, n_rows): every broken constraint of a table, by name.
 
@@ -86,8 +96,7 @@ def violations(df: DataFrame, entity: Entity, ledgers: DataFrame | None = None)
     """
     name, key = F.lit(entity.name).alias("table_name"), F.col(entity.key).cast("string").alias("key")
     one = F.lit(1).cast("bigint").alias("n_rows")
-    rules = row_rules(df, entity)
-    out = df.filter(any_failed(rules)).select(name, F.explode(failed(rules)).alias("constraint"), key, one)
+    out = row_rule_violations(df, entity)
     repeated = [("primary_key", check_unique(df, entity.key), entity.key)]
     repeated += [(f"unique:{c}", check_unique(df, c), c) for c in entity.unique]
     for constraint, found, column in repeated:

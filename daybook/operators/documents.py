@@ -12,13 +12,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.labels import failed
 from daybook.operators import tables
 from daybook.operators.tables import Expr
+from daybook.sources.batches import BUCKETS, Bucketed
 
 ID, DOC = "_id", "doc"
 
@@ -444,3 +445,21 @@ def validate(
         raise ValueError(f"unknown validation level {level!r}")
     broken = F.size("violations") > 0
     return judged.filter(~broken).drop("violations"), judged.filter(broken)
+
+
+# -- stored collections -------------------------------------------------------
+
+
+def stored(path: str, schema: T.StructType, buckets: int = BUCKETS) -> Bucketed:
+    """A collection stored in buckets of its ids."""
+    return Bucketed(path, T.StructType([schema[ID], schema[DOC]]), ID, buckets=buckets)
+
+
+def keep(coll: DataFrame, path: str, batch: str = "all", buckets: int = BUCKETS) -> None:
+    """Store a collection, or one batch of it, by id; a repeated batch replaces its own documents."""
+    stored(path, coll.schema, buckets).put(coll, batch)
+
+
+def get_stored(spark: SparkSession, path: str, schema: T.StructType, doc_id: str, buckets: int = BUCKETS) -> DataFrame:
+    """``get_one`` of a stored collection: reads the one bucket that can hold the id."""
+    return get_one(stored(path, schema, buckets).read(spark), doc_id).select(ID, DOC)

@@ -19,53 +19,69 @@ from pyspark.sql import functions as F
 
 from daybook.functions import text
 
-# Names are looked up by their first 1, 2, 4 or 8 characters: the longest of these
+# Names are looked up by one of their grams of 1, 2, 4, 8 or 16 characters: the longest of these
 # that fits.  A text emits one window per position for each length in use.
-ANCHOR_LENGTHS = (1, 2, 4, 8)
+GRAM_LENGTHS = (1, 2, 4, 8, 16)
 
 
-def _anchor_length(name: Column) -> Column:
-    return F.greatest(*[F.when(F.length(name) >= n, F.lit(n)) for n in ANCHOR_LENGTHS], F.lit(0))
+def _gram_length(name: Column) -> Column:
+    return F.greatest(*[F.when(F.length(name) >= n, F.lit(n)) for n in GRAM_LENGTHS], F.lit(0))
 
 
-def contains_any(texts: DataFrame, text_col: str, names: DataFrame, name_col: str) -> DataFrame:
-    """Distinct texts that contain at least one of the names (case-sensitive).
-
-    1. every name is reduced to its *shape*: leading anchor and full length;
-    2. every text emits (key, position, anchor) for the anchor lengths in use, without
-       the text itself, and an equi join keeps those that start some name - one row per
-       shape, however many names share it;
-    3. the text is joined back by its key, and the full-length substring at that position
-       is joined to the names by equality, which settles the match exactly.
+def _anchors(names: DataFrame) -> DataFrame:
+    """(_gram, _off, _len): where each name's rarest gram stands in it, and how long the name is.
 
-    No pair of a text with a non-matching name is ever formed.  An empty name is
-    contained in every text.  Nothing runs when this is called.
+    Rare is what few names have: a beginning that all share ("Customer#") anchors none of them.  Of equally
+    rare grams the last is taken, since names that begin alike differ behind.
     """
+    distinct = names.select("_name").distinct().withColumn("_n", _gram_length(F.col("_name")))
+    last = F.when(F.col("_n") == 0, 1).otherwise(F.length("_name") - F.col("_n") + 1)
+    grams = distinct.withColumn("_off", F.explode(F.sequence(F.lit(1), last)))
+    grams = grams.withColumn("_gram", F.substring(F.col("_name"), F.col("_off"), F.col("_n")))
+    known = grams.groupBy("_gram").agg(F.count_distinct("_name").alias("_names"))
+    rarest = grams.join(known, "_gram").groupBy("_name").agg(F.min(F.struct("_names", (-F.col("_off")).alias("_back"), "_gram")).alias("_best"))
+    return rarest.select("_best._gram", (-F.col("_best._back")).alias("_off"), F.length("_name").alias("_len")).distinct()
+
+
+def contains_candidates(texts: DataFrame, text_col: str, names: DataFrame, name_col: str) -> DataFrame:
+    """(_text, _name): the pieces of each text that may be a name, because a name's anchor stands there."""
     text_of = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text")).distinct()
     # texts that share a key share candidates, and each candidate is checked against its text
     text_of = text_of.withColumn("_key", F.xxhash64("_text"))
-    name = F.col("_name")
-    names = names.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("_name"))
-    shapes = names.select(
-        F.substring(name, F.lit(1), _anchor_length(name)).alias("_anchor"), F.length(name).alias("_len")
-    ).distinct()
-    in_use = shapes.select(F.length("_anchor").alias("_n")).distinct()
+    anchors = _anchors(names.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("_name")))
+    in_use = anchors.select(F.length("_gram").alias("_n")).distinct()
     windows = (
-        text_of.withColumn("_n", F.explode(F.lit([0, *ANCHOR_LENGTHS])))
+        text_of.withColumn("_n", F.explode(F.lit([0, *GRAM_LENGTHS])))
         .filter(F.length("_text") >= F.col("_n"))
         .join(in_use, "_n", "left_semi")
         # an empty name needs one position only
         .withColumn("_last", F.when(F.col("_n") == 0, 1).otherwise(F.length("_text") - F.col("_n") + 1))
         .withColumn("_at", F.explode(F.sequence(F.lit(1), F.col("_last"))))
-        .select("_key", "_at", F.substring(F.col("_text"), F.col("_at"), F.col("_n")).alias("_anchor"))
+        .select("_key", "_at", F.substring(F.col("_text"), F.col("_at"), F.col("_n")).alias("_gram"))
     )
-    starts = windows.join(shapes, "_anchor").select("_key", "_at", "_len")
-    candidates = (
+    starts = windows.join(anchors, "_gram").select("_key", (F.col("_at") - F.col("_off") + 1).alias("_at"), "_len").filter("_at >= 1")
+    return (
         starts.join(text_of, "_key")
         .filter(F.col("_at") + F.col("_len") - 1 <= F.length("_text"))
         .select("_text", F.substring(F.col("_text"), F.col("_at"), F.col("_len")).alias("_name"))
     )
-    hits = candidates.join(names, "_name", "left_semi")
+
+
+def contains_any(texts: DataFrame, text_col: str, names: DataFrame, name_col: str) -> DataFrame:
+    """Distinct texts that contain at least one of the names (case-sensitive).
+
+    1. every name is anchored at its rarest gram: the gram, its place in the name, the name's length;
+    2. every text emits (key, position, gram) for the gram lengths in use, without
+       the text itself, and an equi join keeps those that are some name's anchor - one row per
+       anchor, however many names share it;
+    3. the text is joined back by its key, and the full-length substring around that position
+       is joined to the names by equality, which settles the match exactly.
+
+    No pair of a text with a non-matching name is ever formed.  An empty name is
+    contained in every text.  Nothing runs when this is called.
+    """
+    wanted = names.filter(F.col(name_col).isNotNull()).select(F.col(name_col).alias("_name"))
+    hits = contains_candidates(texts, text_col, names, name_col).join(wanted, "_name", "left_semi")
     return hits.select(F.col("_text").alias(text_col)).distinct()
 
 
@@ -91,8 +107,8 @@ def one_per_name(ledgers: DataFrame) -> DataFrame:
     return kept.select(*[F.col("_row")[c].alias(c) for c in ledgers.columns])
 
 
-def flag_bank(bank: DataFrame, ledgers: DataFrame) -> DataFrame:
-    """Every bank row with ``valid``.
+def _settled_bank(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bank rows whose parsed party is a ledger name, the rest, and the rest's descriptions that contain a name.
 
     A parsed party that equals a ledger name is contained in its description, so one equi
     join settles these rows; only the distinct texts of the rest are searched.
@@ -102,15 +118,26 @@ def flag_bank(bank: DataFrame, ledgers: DataFrame) -> DataFrame:
     names = ledgers.filter(F.col("name").isNotNull()).select(F.col("name").alias("_party")).distinct()
     keyed = bank.withColumn("_party", text.description_party(F.col("description")))
     keyed = keyed.join(names.withColumn("_direct", F.lit(True)), "_party", "left")
-    hits = contains_any(keyed.filter(F.col("_direct").isNull()), "description", ledgers, "name")
-    judged = keyed.join(hits.withColumn("_hit", F.lit(True)), "description", "left")
-    return judged.select(*bank.columns, (F.col("_direct").isNotNull() | F.col("_hit").isNotNull()).alias("valid"))
+    direct, rest = (keyed.filter(c).select(bank.columns) for c in (F.col("_direct").isNotNull(), F.col("_direct").isNull()))
+    return direct, rest, contains_any(rest, "description", ledgers, "name")
+
+
+def flag_bank(bank: DataFrame, ledgers: DataFrame) -> DataFrame:
+    """Every bank row with ``valid``; only rows that the parsed party does not settle meet the search's result."""
+    direct, rest, hits = _settled_bank(bank, ledgers)
+    judged = rest.join(hits.withColumn("_hit", F.lit(True)), "description", "left")
+    judged = judged.select(*bank.columns, F.col("_hit").isNotNull().alias("valid"))
+    return direct.withColumn("valid", F.lit(True)).unionByName(judged)
 
 
 def match_bank(bank: DataFrame, ledgers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) bank rows; together they are the input, NULLs invalid."""
-    flagged = flag_bank(bank, ledgers)
-    return flagged.filter("valid").drop("valid"), flagged.filter("NOT valid").drop("valid")
+    """(valid, invalid) bank rows; together they are the input, NULLs invalid.
+
+    Each side is a plan of its own; where both are wanted, ``flag_bank`` has them in one.
+    """
+    direct, rest, hits = _settled_bank(bank, ledgers)
+    valid = direct.unionByName(rest.join(hits, "description", "left_semi").select(bank.columns))
+    return valid, rest.join(hits, "description", "left_anti").select(bank.columns)
 
 
 def match_party(df: DataFrame, ledgers: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:

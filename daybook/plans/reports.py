@@ -96,11 +96,20 @@ def _balances(totals: DataFrame, type_column: str) -> DataFrame:
 _BALANCE = ("total_debit", "total_credit", "outstanding")
 
 
+def balances_of(postings: DataFrame, ledgers: DataFrame) -> DataFrame:
+    """``party_balances`` of postings (party_name, nature, amount) or of their sums."""
+    types = one_per_name(ledgers).select(F.col("name").alias("party_name"), F.col("type").alias("party_type"))
+    return _balances(_party_totals(postings).join(types, "party_name", "left"), "party_type")
+
+
+def outstanding_of(postings: DataFrame, ledgers: DataFrame) -> DataFrame:
+    """``party_outstanding`` of postings (party_name, nature, amount) or of their sums."""
+    return _as_double(balances_of(postings, ledgers), *_BALANCE)
+
+
 def party_balances(sales: DataFrame, purchases: DataFrame, bank: DataFrame, ledgers: DataFrame) -> DataFrame:
     """``party_outstanding`` with DECIMAL totals."""
-    types = one_per_name(ledgers).select(F.col("name").alias("party_name"), F.col("type").alias("party_type"))
-    totals = _party_totals(entries(sales, purchases, bank)).join(types, "party_name", "left")
-    return _balances(totals, "party_type")
+    return balances_of(entries(sales, purchases, bank), ledgers)
 
 
 def party_outstanding(

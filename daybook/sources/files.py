@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.schemas import Entity
@@ -15,9 +16,18 @@ CORRUPT = "_corrupt_record"
 _CSV = {"header": True, "escape": '"', "nullValue": "\u0000"}
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
     # without inference Spark reads only the first line of one file
-    return spark.read.options(**_CSV).csv(path).columns
+    return spark.read.options(**options).csv(path).columns
+
+
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some quoted value goes over the end of its line: a line then has an odd number of quotes.
+
+    Lines are read in parallel, and only until the first such line is found.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
 
 
 def scan_csv(
@@ -25,6 +35,7 @@ def scan_csv(
     path: str,
     schema: T.StructType | None = None,
     keep_corrupt: bool = False,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """CSV with a header, one file or a directory of parts.
 
@@ -33,14 +44,19 @@ def scan_csv(
     which is what cleaning wants.  Values that do not parse become NULL; with
     ``keep_corrupt`` the raw line is kept beside them, also of lines with missing or surplus
     cells, whichever columns are used.
+
+    ``line_breaks`` says whether quoted values may hold line breaks; by default the lines are looked
+    through first.  Files that have any are read by one task each, others in parallel by line as well.
     """
+    broken = has_line_breaks(spark, path) if line_breaks is None else line_breaks
+    options = {**_CSV, "multiLine": broken}
     declared = {f.name: f.dataType for f in schema} if schema else {}
-    header = _header(spark, path)
+    header = _header(spark, path, options)
     missing = [name for name in declared if name not in header]
     if missing:
         raise ValueError(f"{path}: header lacks {missing}")
     physical = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
-    reader = spark.read.options(**_CSV).option("enforceSchema", False).option("mode", "PERMISSIVE")
+    reader = spark.read.options(**options).option("enforceSchema", False).option("mode", "PERMISSIVE")
     if keep_corrupt:
         physical = physical.add(CORRUPT, T.StringType())
         # a pruned parser does not count the cells

@@ -413,3 +413,29 @@ def doc_validate_nested(t):
     )
     judged = D.judge(texts, "txt", {"user.k": "integer"}, required=["user.k"])
     return judged.select("event_id", F.concat_ws(",", "violations").alias("violations"))
+
+
+@query("doc_deep_page", f"select {FLAT} from orders_docs order by rank desc, _id limit 5500 offset 8000")
+def doc_deep_page(t):
+    return flat(D.sort_page(t.orders_docs, ["doc.rank DESC"], limit=5500, offset=8000))
+
+
+@query(
+    "doc_modify_many",
+    f"""
+select {changed(status="case when _id in (select _id from orders_docs where city is not null order by rank, _id limit 11000) then 'first' else status end")}
+from orders_docs""",
+)
+def doc_modify_many(t):
+    coll = D.modify_first(
+        t.orders_docs, lambda coll, hit: D.set_path(coll, "status", "first", hit), ["doc.rank"], 11000, "doc.address.city is not null"
+    )
+    return flat(coll)
+
+
+@query(
+    "doc_remove_many",
+    f"select {FLAT} from orders_docs where _id not in (select _id from orders_docs order by rank, _id limit 11000)",
+)
+def doc_remove_many(t):
+    return flat(D.remove_first(t.orders_docs, ["doc.rank"], 11000))

@@ -128,6 +128,20 @@ def expr_regexp(t):
     )
 
 
+@query(
+    "expr_regexp_column",
+    """
+select txn_id, regexp_matches(description, concat(substring(type, 1, 1), '.*t$')) as hit,
+       description like concat('%', substring(mode, 3, 1), '%') as near from raw_bank""",
+)
+def expr_regexp_column(t):
+    return t.raw_bank.select(
+        "txn_id",
+        X.regexp(C("description"), F.concat(F.substring("type", 1, 1), F.lit(".*t$"))).alias("hit"),
+        X.like(C("description"), F.concat(F.lit("%"), F.substring("mode", 3, 1), F.lit("%"))).alias("near"),
+    )
+
+
 @query(
     "expr_overlaps",
     """
@@ -241,6 +255,26 @@ def expr_interval_composite(t):
     return t.given("events").select("event_id", *[_stamp(v).alias(k) for k, v in made.items()])
 
 
+@query(
+    "expr_interval_column",
+    f"""
+select event_id, {_DUCK_STAMP.format("ts + to_minutes(user_id) + to_seconds(event_id % 60)")} as minute_second,
+       {_DUCK_STAMP.format("ts - to_days(cast(user_id % 9 as integer)) - to_hours(event_id % 24)")} as day_hour,
+       {_DUCK_STAMP.format("ts + to_seconds(user_id) + to_microseconds((event_id % 10) * 100000)")} as second_microsecond,
+       {_DUCK_STAMP.format("ts + to_hours(user_id)")} as hour_only
+from events""",
+)
+def expr_interval_column(t):
+    text = {
+        "minute_second": ("MINUTE_SECOND", F.concat("user_id", F.lit(":"), C("event_id") % 60)),
+        "day_hour": ("DAY_HOUR", F.concat(F.lit(" -"), C("user_id") % 9, F.lit(" "), C("event_id") % 24)),
+        "second_microsecond": ("SECOND_MICROSECOND", F.concat("user_id", F.lit("."), C("event_id") % 10)),
+        "hour_only": ("DAY_HOUR", C("user_id").cast("string")),
+    }
+    made = {name: X.interval_composite(C("ts"), amount, unit) for name, (unit, amount) in text.items()}
+    return t.given("events").select("event_id", *[_stamp(v).alias(k) for k, v in made.items()])
+
+
 @query(
     "expr_cast",
     """

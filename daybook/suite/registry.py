@@ -19,8 +19,10 @@ _MODULES = (
     "quality",
     "relational",
     "storage",
+    "stores",
     "tables",
     "documents",
+    "variants",
     "expressions",
     "borders",
 )

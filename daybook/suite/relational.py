@@ -249,10 +249,7 @@ def anti_contains(t):
 
 @query("match_bank_raw", f"select txn_id, description, {_HIT} as valid from raw_bank")
 def match_bank_raw(t):
-    valid, invalid = R.match_bank(t.raw_bank, t.ledgers)
-    return valid.select("txn_id", "description", F.lit(True).alias("valid")).unionByName(
-        invalid.select("txn_id", "description", F.lit(False).alias("valid"))
-    )
+    return R.flag_bank(t.raw_bank, t.ledgers).select("txn_id", "description", "valid")
 
 
 # -- aggregation -------------------------------------------------------------

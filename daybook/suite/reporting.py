@@ -195,9 +195,7 @@ def month_bucket(t):
 _FLOW = "strftime(date,'%Y-%m') as label, null as kind, '{0}' as measure, cast(sum({1}) as double) as value from bank group by 2"
 
 
-@query(
-    "analysis",
-    f"""
+ANALYSIS_SQL = f"""
 select 'monthly_trend' as report, month as label, null as kind, 'total_sales' as measure, total_sales as value from monthly_trend
 union all select 'monthly_trend', month, null, 'total_purchases', total_purchases from monthly_trend
 union all select 'party_outstanding', party_name, party_type, 'total_debit', total_debit from party_outstanding
@@ -205,12 +203,11 @@ union all select 'party_outstanding', party_name, party_type, 'total_credit', to
 union all select 'party_outstanding', party_name, party_type, 'outstanding', outstanding from party_outstanding
 union all select 'cash_flow', {_FLOW.format("total_inflow", "case when type='credit' then amount else 0 end")}
 union all select 'cash_flow', {_FLOW.format("total_outflow", "case when type='debit' then amount else 0 end")}
-union all select 'cash_flow', {_FLOW.format("net_cash_flow", "case when type='credit' then amount else -amount end")}""",
-)
-def analysis(t):
-    from daybook.plans.jobs import analysis as run
+union all select 'cash_flow', {_FLOW.format("net_cash_flow", "case when type='credit' then amount else -amount end")}"""
+
 
-    done = run({"sales": t.sales, "purchases": t.purchases, "bank": t.bank, "ledgers": t.ledgers})
+def long_reports(done):
+    """The three reports of an analysis as one table: a row per report, label and measure."""
 
     def long(name, label, *measures, kind=None):
         frame = done[name]
@@ -225,3 +222,10 @@ def analysis(t):
         )
         .unionByName(long("cash_flow", "month", "total_inflow", "total_outflow", "net_cash_flow"))
     )
+
+
+@query("analysis", ANALYSIS_SQL)
+def analysis(t):
+    from daybook.plans.jobs import analysis as run
+
+    return long_reports(run({"sales": t.sales, "purchases": t.purchases, "bank": t.bank, "ledgers": t.ledgers}))

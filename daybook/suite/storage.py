@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,8 +12,11 @@ from daybook.operators import cleaning as C
 from daybook.plans.jobs import clean_all as run_clean
 from daybook.plans.jobs import etl_job as run_etl
 from daybook.plans.jobs import load_raw as run_load
+from daybook.plans.jobs import raw_rows
+from daybook.plans.stores import stored_violations
 from daybook.schemas import BANK, LEDGERS, PURCHASES, SALES
 from daybook.sources import files, sinks
+from daybook.sources.batches import BATCH
 from daybook.sources.scratch import scratch_dir
 from daybook.suite.cleaning import _AMOUNT, _CLEAN, _DAY, AS_OF
 from daybook.suite.registry import query
@@ -67,8 +71,11 @@ def sink_single_csv(t):
 @query("sink_append", f"select {_INVOICE} from sales union all select {_INVOICE} from sales where gst > 50000")
 def sink_append(t):
     path = scratch_dir(t.spark, "sales")
-    sinks.sink_append(t.sales, path)
-    sinks.sink_append(t.sales.filter(F.col("gst") > 50000), path)
+    large = t.sales.filter(F.col("gst") > 50000)
+    sinks.sink_append(t.sales, path, "all")
+    sinks.sink_append(t.sales, path, "large")
+    sinks.sink_append(large, path, "large")  # a repeated batch takes the place of the first
+    sinks.sink_append(t.sales, path, "all")
     return _plain(files.scan_parquet(t.spark, path, SALES.schema), *SALES_OUT)
 
 
@@ -152,13 +159,76 @@ union all select 'ledgers_violations', concat('ledgers|domain:type|', ledger_id,
 union all select 'ledgers_violations', concat('ledgers|unique:name|', name, '|', count(*)) from dirty_ledgers
           where name is not null group by name having count(*) > 1
 union all select 'sales_violations', concat('sales|not_null:date|', invoice_no, '|1') from dirty_sales where date is null
+union all select 'sales_violations', concat('sales|reference:party|', invoice_no, '|1') from dirty_sales
+          where party not in (select name from dirty_ledgers where name is not null)
+union all select 'purchases_violations', concat('purchases|reference:supplier|', bill_no, '|1') from dirty_purchases
+          where supplier not in (select name from dirty_ledgers where name is not null)
 union all select 'purchases_violations', concat('purchases|not_null:supplier|', bill_no, '|1') from dirty_purchases where supplier is null
 union all select 'bank_violations', concat('bank|not_null:type|', txn_id, '|1') from raw_bank where type is null
 {_repeated_keys(ledgers="dirty_ledgers", sales="dirty_sales", purchases="dirty_purchases", bank="raw_bank")}""",
 )
 def load_raw(t):
-    stored = run_load(t.spark, _dirty_files(t), scratch_dir(t.spark, "store"))
-    return _whole({name: files.scan_parquet(t.spark, path) for name, path in stored.items()})
+    paths, store = _dirty_files(t), scratch_dir(t.spark, "store")
+    run_load(t.spark, paths, store, buckets=_FEW)
+    stored = run_load(t.spark, paths, store, buckets=_FEW)  # the same batches once more: nothing is added
+    tables = {name: files.scan_parquet(t.spark, path).drop(BATCH) for name, path in stored.items() if not name.endswith("_violations")}
+    for entity in (LEDGERS, SALES, PURCHASES, BANK):
+        tables[f"{entity.name}_violations"] = stored_violations(t.spark, store, entity.name, buckets=_FEW)
+    return _whole(tables)
+
+
+#: Buckets of these stores; their tables are small.
+_FEW = 8
+
+
+def _half(df: DataFrame, second: bool, first: str) -> DataFrame:
+    chosen = F.coalesce(F.expr(first), F.lit(False))
+    return df.filter(~chosen if second else chosen)
+
+
+_FIRST_BATCH = {"sales": "mode < '3'", "purchases": "mode <> 'N'", "bank": "type = 'credit'"}
+
+
+@query(
+    "load_batches",
+    f"""
+select 'ledgers' as table_name, {_line(*_LEDGER)} from ledgers
+union all select 'sales', {_line(*_SALE)} from sales
+union all select 'purchases', {_line(*_BOUGHT)} from purchases
+union all select 'bank', {_line(*_BOOKED)} from bank
+union all select 'sales_violations', concat('sales|reference:party|', invoice_no, '|1') from sales
+          where party not in (select name from ledgers)
+union all select 'purchases_violations', concat('purchases|reference:supplier|', bill_no, '|1') from purchases
+          where supplier not in (select name from ledgers)
+{_repeated_keys(ledgers="ledgers", sales="sales", purchases="purchases", bank="bank")}""",
+)
+def load_batches(t):
+    """Two loads under given names and the first once more; then the whole store and what it breaks."""
+    store = scratch_dir(t.spark, "store")
+    parts = []
+    for second in (False, True):
+        tables = {name: _half(getattr(t, name), second, first) for name, first in _FIRST_BATCH.items()}
+        if not second:
+            tables["ledgers"] = t.ledgers
+        parts.append({name: _csv(t, df, name) for name, df in tables.items()})
+    for i in (0, 1, 0):
+        run_load(t.spark, parts[i], store, dict.fromkeys(parts[i], f"part-{i}"), _FEW)
+    out = {}
+    for entity in (LEDGERS, SALES, PURCHASES, BANK):
+        out[entity.name] = raw_rows(t.spark, store, entity.name)
+        out[f"{entity.name}_violations"] = stored_violations(t.spark, store, entity.name, buckets=_FEW)
+    return _whole(out)
+
+
+@query(
+    "scan_csv_line_breaks",
+    """
+select cast(date as varchar) as date, txn_id, replace(description, ' ', chr(10)) as description, cast(amount as varchar) as amount, type, mode from raw_bank""",
+)
+def scan_csv_line_breaks(t):
+    broken = t.raw_bank.withColumn("description", F.replace("description", F.lit(" "), F.lit("\n")))
+    read = files.scan_csv(t.spark, _csv(t, broken, "broken"), keep_corrupt=True)
+    return read.filter(F.col(files.CORRUPT).isNull()).select(BANK.columns)
 
 
 _GOOD_BANK = f"(select * from raw_bank where date <= date '{AS_OF}' and amount >= 0 and type is not null)"
@@ -223,8 +293,18 @@ select date, txn_id, trim(description) as description, amount, type, mode from j
 
 
 def _with_judged(body: str) -> str:
-    """The statement after the judged tables; derived tables are put before by the registry."""
-    return f"select * from (with {', '.join(f'{n} as materialized ({sql})' for n, sql in _JUDGED.items())} {body})"
+    """The statement after the judged tables it uses; derived tables are put before by the registry."""
+
+    def uses(sql: str) -> set[str]:
+        return {name for name in _JUDGED if re.search(rf"\b{name}\b", sql)}
+
+    needed, todo = set(), uses(body)
+    while todo:
+        name = todo.pop()
+        needed.add(name)
+        todo |= uses(_JUDGED[name]) - needed
+    judged = ", ".join(f"{n} as materialized ({sql})" for n, sql in _JUDGED.items() if n in needed)
+    return f"select * from (with {judged} {body})"
 
 
 _CLEANED = f"""

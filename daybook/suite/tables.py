@@ -119,6 +119,21 @@ def bind_params(t):
     return B.free_sql(t.spark, "select invoice_no, party from {named} where mode = ?", ["2-HIGH"], named=named)
 
 
+@query(
+    "bind_statements",
+    """
+select invoice_no, source, cast(amount as double) as amount from (
+  select invoice_no, amount, case when mode = '1-URGENT' and amount between 1000.50 and 300000 then 'it''s :x?' else source end as source from sales)
+where not (source = 'ERP' and invoice_no in ('INV1', 'INV2', 'INV3') or amount > 450000)""",
+)
+def bind_statements(t):
+    """Parameters of an update and of a delete, by name and by place."""
+    values = {"mode": "1-URGENT", "low": Decimal("1000.50"), "high": 300000}
+    changed = B.update(t.sales, {"source": B.bind("?", ["it's :x?"])}, B.bind("mode = :mode and amount between :low and :high", values))
+    gone = B.bind("source = ? and array_contains(?, invoice_no) or amount > ?", ["ERP", ["INV1", "INV2", "INV3"], 450000.0])
+    return B.delete(changed, gone).select("invoice_no", "source", dbl("amount"))
+
+
 @query(
     "free_sql",
     """
@@ -168,3 +183,30 @@ order by sales.amount desc, invoice_no limit 25""",
 def table_page_after(t):
     page = B.page_after(t.sales, ["amount DESC", "invoice_no"], 25, after=[Decimal("100000.00"), "INV9"])
     return page.select("invoice_no", dbl("amount"))
+
+
+_DEEP = "select invoice_no from sales order by sales.amount desc, invoice_no"
+
+
+@query(
+    "table_deep_page",
+    "select invoice_no, cast(amount as double) as amount from sales order by sales.amount desc, invoice_no limit 6000 offset 7000",
+)
+def table_deep_page(t):
+    return B.page(t.sales, ["amount DESC", "invoice_no"], limit=6000, offset=7000).select("invoice_no", dbl("amount"))
+
+
+@query(
+    "table_update_many",
+    f"""
+select invoice_no, case when invoice_no in ({_DEEP} limit 12000) then 'checked' else source end as source,
+       cast(amount as double) as amount from sales""",
+)
+def table_update_many(t):
+    changed = B.update_topn(t.sales, "invoice_no", {"source": "'checked'"}, ["amount DESC"], 12000)
+    return changed.select("invoice_no", "source", dbl("amount"))
+
+
+@query("table_delete_many", f"select invoice_no, mode from sales where invoice_no not in ({_DEEP} limit 12000)")
+def table_delete_many(t):
+    return B.delete_topn(t.sales, "invoice_no", ["amount DESC"], 12000).select("invoice_no", "mode")
