@@ -26,7 +26,8 @@ from daybook.llm.common import stored, without
 
 #: Template tokens per window; items of fewer tokens are one window of their own length.
 WINDOW = 8
-#: Items of fewer template tokens than this are no evidence of anything and are not looked for.
+#: Items of fewer template tokens than this are too common to be looked for inside sentences: they match
+#: whole sentences or lines that have the same words.
 LEAST_ITEM = 4
 #: Matched item tokens that make a leak, or this share of a shorter item.
 LEAST_TOKENS, LEAST_SHARE = 12, 0.8
@@ -48,6 +49,16 @@ UNITS = frozenset(
     "s sec ms min h hr hrs second seconds minute minutes hour hours day days week weeks month months year years "
     "usd eur gbp dollar dollars euro euros cent cents percent mph kmh hz khz mhz ghz kb mb gb tb w kw v a j kj cal kcal n pa k c f".split()
 )
+#: Number words (English, German, French, Spanish), without those that are articles or units too.
+NUMBER_WORDS = frozenset(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half twice first third fourth fifth sixth "
+    "seventh eighth ninth tenth quarter null eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn "
+    "siebzehn achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend "
+    "deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante cent mille "
+    "dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho diecinueve veinte treinta "
+    "cuarenta cincuenta sesenta ochenta noventa cien ciento mil".split()
+)
 NUMBER, MEASURE = re.compile(r"\d[\d.,:/-]*"), re.compile(r"(\d[\d.,]*)([^\W\d_]{1,3}|%)")
 LINE, END = "\x01", "\x02"
 LITERAL, NUM, NAME, UNIT, QUANTITY, DROPPED = range(6)
@@ -72,7 +83,7 @@ class Vocabulary(dict):
         lower = core.lower()
         if not core or word in (LINE, END):
             kind = DROPPED
-        elif NUMBER.fullmatch(core):
+        elif NUMBER.fullmatch(core) or all(part in NUMBER_WORDS for part in lower.split("-")):
             kind = NUM
         elif (m := MEASURE.fullmatch(lower)) and m[2] in UNITS:
             kind = QUANTITY
@@ -125,13 +136,16 @@ class Template:
         kind = np.where(either, LITERAL, kind)
         kept = np.flatnonzero(kind != DROPPED)
         self.kind, self.word, self.row = kind[kept], raw[kept], row[kept]
+        # whether a sentence or line ended since the word before
+        ended = np.concatenate(([0], np.cumsum(words.ends[raw])))[kept]
+        self.starts = np.concatenate((np.ones(min(1, len(kept)), bool), np.diff(ended) > 0))
         together = np.concatenate(([False], (np.diff(kept) == 1))) & np.concatenate(([False], self.row[1:] == self.row[:-1]))
         after = np.concatenate(([LITERAL], self.kind[:-1]))
         self.kind = np.where(together & (after == NUM) & (words.unit[self.word] == 1) & (self.kind == LITERAL), UNIT, self.kind)
         more = together & (self.kind == NAME) & (after == NAME) & ~initial[kept]  # a name of several words is one slot
         first = np.flatnonzero(~more)
         self.last = np.append(first[1:], len(more))
-        self.first, self.all_words = first, self.word
+        self.first, self.all_words, self.word_row = first, self.word, self.row
         self.kind, self.row = self.kind[first], self.row[first]
         self.either = either[kept][first] & (self.kind == LITERAL)
         exact = words.code[self.word[first]]
@@ -173,6 +187,21 @@ class Template:
             at, reading = at[named], reading[named]
             yield at, self._finished(at, h[named], filled[named], size), reading
 
+    def sentences(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first token, hash) of each run of ``size`` words that is whole sentences or lines."""
+        n = len(self.all_words) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        stops = np.append(self.starts[1:], True)
+        at = np.flatnonzero(self.starts[:n] & stops[size - 1 :] & (self.word_row[:n] == self.word_row[size - 1 :]))
+        hashed = np.full(len(at), size, np.uint64)
+        for i in range(size):
+            hashed = hashed * BASE + self.words.code[self.all_words[at + i]]
+        hashed ^= hashed >> np.uint64(31)
+        hashed *= np.uint64(0x94D049BB133111EB)
+        hashed ^= hashed >> np.uint64(30)
+        return np.searchsorted(self.first, at, side="right") - 1, hashed
+
     def _finished(self, at: np.ndarray, hashed: np.ndarray, filled: np.ndarray, size: int) -> np.ndarray:
         bare = np.flatnonzero(filled == size)
         if len(bare):
@@ -250,6 +279,11 @@ def _item_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
                         for a, h, r in zip(at.tolist(), hashed.view(np.int64).tolist(), reading.tolist()):
                             runs = template.run(a - 1, -1, tokens), template.run(a + size, 1, tokens)
                             out.append((ids[i], template.joined, a, h, template.slots(a, size, r), size, tokens, needed, *runs))
+                elif tokens and not template.joined:
+                    # the whole item, word for word; its size, below 0, tells it from windows
+                    length = len(template.all_words)
+                    _, hashed = template.sentences(length)
+                    out.append((ids[i], False, 0, int(hashed.view(np.int64)[0]), [None] * tokens, -length, tokens, needed, [], []))
         yield _batch(out, ITEM)
 
 
@@ -261,6 +295,11 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     )
 
 
+def _hit(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    bit = hashed >> np.uint64(64 - BITMAP_BITS)
+    return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
 FOUND = "doc_id bigint, mark bigint, joined boolean, at int, hash bigint, slots array<string>, size int, before array<string>, after array<string>"
 
 
@@ -271,9 +310,14 @@ def _document_windows(batches: Iterator[pa.RecordBatch], shared, sizes: list[int
         for rows, template in templates(batch.column(2).to_pylist(), words):
             begin = np.searchsorted(template.row, np.arange(len(rows)))
             for size in sizes:
+                if size < 0:
+                    at, hashed = template.sentences(-size) if not template.joined else (begin[:0], begin[:0].astype(np.uint64))
+                    for a, h in zip(at[_hit(bitmap, hashed)].tolist(), hashed[_hit(bitmap, hashed)].view(np.int64).tolist()):
+                        row = int(template.row[a])
+                        out.append((ids[rows[row]], marks[rows[row]], False, a - int(begin[row]), h, [], size, [], []))
+                    continue
                 for at, hashed, reading in template.windows(size):
-                    bit = hashed >> np.uint64(64 - BITMAP_BITS)
-                    hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                    hit = _hit(bitmap, hashed)
                     for a, h, r in zip(at[hit].tolist(), hashed[hit].view(np.int64).tolist(), reading[hit].tolist()):
                         row = int(template.row[a])
                         runs = template.run(a - 1, -1, reach), template.run(a + size, 1, reach)
@@ -294,8 +338,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     must agree, so that number-heavy items are found with other numbers.
     ``verbatim``: every slot has the item's own value.  ``mark`` is the text's hash, so
     documents that share a null or repeated doc_id stay apart; rows that repeat both are one document.
-    Null and empty texts and items match nothing, items of fewer than LEAST_ITEM tokens neither; empty
-    tables give no rows; other columns are not looked at.
+    Items of fewer than LEAST_ITEM tokens are found where the same words are whole sentences or lines.
+    Null and empty texts and items match nothing; empty tables give no rows; other columns are not looked at.
 
     The bitmap that prunes document windows has a fixed size; the join after it is exact.
     """
@@ -342,9 +386,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
     span = lambda first, end: F.struct(first.cast("int").alias("first"), end.cast("int").alias("end"))
     matches = found.join(wanted, ["hash", "size", "salt"]).withColumns({"filling": filling, "strong": strong, "literals": literals})
-    matches = matches.withColumns(
-        {"back": run("before", -1, F.col("place") - 1), "on": run("after", 1, F.col("place") + F.col("size")), "end": F.col("place") + F.col("size")}
-    )
+    end = F.col("place") + F.when(F.col("size") < 0, F.col("tokens")).otherwise(F.col("size"))
+    matches = matches.withColumns({"back": run("before", -1, F.col("place") - 1), "on": run("after", 1, F.col("place") + F.col("size")), "end": end})
     # a group has one row per item token and reading at most: the windows of one diagonal
     together = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     lines = matches.groupBy(
@@ -399,5 +442,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without those that leak an item, all columns kept."""
+    """``docs`` without those that leak an item, all columns kept.
+
+    Null and empty texts leak nothing; repeated rows stay or go together, since the decision depends on doc_id and
+    text alone; without items, or documents, nothing goes.
+    """
     return without(docs, leaks(docs, benchmark, window))
