@@ -47,13 +47,18 @@ BASE = (
     ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
 )
 KINDS = [kind for kind, *_ in BASE] + ["novel"]
-#: Words that make what follows sensitive.
-SENSITIVE = ("password", "passwd", "passphrase", "secret", "token", "api_key", "apikey", "api-key", "credential", "bearer", "private key", "private_key", "access key", "access_key", "authorization")
-CONTEXT = re.compile("|".join(SENSITIVE), re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
+#: What makes the text behind it sensitive: names of secrets, and kinds of keys before "key".
+SENSITIVE = ("password", "passwd", "passphrase", "passcode", "secret", "token", "credential", "bearer", "authorization", "apikey", "accesskey", "privatekey")
+KEYED = ("api", "private", "access", "signing", "signature", "encryption", "decryption", "master", "shared", "session", "client", "account", "service", "deploy", "license", "auth", "ssh", "hmac", "root", "storage", "webhook")
+CONTEXT = re.compile("|".join(SENSITIVE) + "|(?<![a-z0-9])pwd(?![a-z0-9])|(?:" + "|".join(KEYED) + r")[ _.\-]+key", re.ASCII)
+#: Candidates below SHORT characters hold letters and digits and are not made of word-like parts.
+LEAST, SHORT = 8, 16
+#: Bytes by which what a short candidate and its shuffles cost may differ by chance.
+SLACK = 2
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=\-]{{{LEAST},}}")
 ALPHABETS = tuple((re.compile(pattern), size) for pattern, size in (("[0-9+/_=-]+", 10), ("[0-9a-f+/_=-]+|[0-9A-F+/_=-]+", 16), ("[a-z+/_=-]+|[A-Z+/_=-]+", 26), ("[A-Z2-7=]+", 32), ("[a-z0-9+/_=-]+|[A-Z0-9+/_=-]+", 36)))
 WORDLIKE = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|(?<![0-9])[0-9]{1,4}+(?![0-9])|[+/_=\-]++)++")
-LETTERS = re.compile("[A-Z]?[a-z]+|[A-Z]+")
+LETTERS, DIGIT = re.compile("[A-Z]?[a-z]+|[A-Z]+"), re.compile("[0-9]")
 # matches of 24 and more are the runs of [0-9a-f]+ that pass, without a match for every shorter run
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
@@ -74,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the strings that begin within REACH of a sensitive word, each once."""
     low = text.lower()
-    if not any(word in low for word in SENSITIVE):
+    if "key" not in low and "pwd" not in low and not any(word in low for word in SENSITIVE):
         return
     if len(low) != len(text):  # lower-casing some letters changes a text's length
         low = "".join(c.lower() if c < "\x80" else c for c in text)
@@ -82,14 +87,19 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
     for word in CONTEXT.finditer(low):
         # a candidate may begin up to REACH behind the word and be of any length
         at = word.end()
-        while (m := CANDIDATE.search(text, at, at + REACH + 16)) and m.start() <= word.end() + REACH:
+        while (m := CANDIDATE.search(text, at, at + REACH + LEAST)) and m.start() <= word.end() + REACH:
             start, end = CANDIDATE.match(text, m.start()).span()
             at = end
-            if start not in seen:
+            if start not in seen and (end - start >= SHORT or _mixed(text[start:end])):
                 seen.add(start)
                 yield start, end
 
 
+def _mixed(found: str) -> bool:
+    """Whether a short string holds letters and digits and is not made of word-like parts."""
+    return DIGIT.search(found) is not None and LETTERS.search(found) is not None and not WORDLIKE.fullmatch(found)
+
+
 def random_bytes(found: str) -> float:
     """What a random string of the same alphabet and length takes; 0 if the symbols are too few or too uneven for one."""
     size = next((n for pattern, n in ALPHABETS if pattern.fullmatch(found)), 64)
@@ -129,12 +139,13 @@ class Novelty:
 
     def incompressible(self, text: str, start: int, end: int) -> bool:
         found, (bytes_, shuffled) = text[start:end], self.marginal(text, start, end)
-        if bytes_ >= max(LEAST_BYTES, NOVELTY * len(found)):
+        if bytes_ >= max(LEAST_BYTES if len(found) >= SHORT else 0, NOVELTY * len(found)):
             return True  # not even by single characters
         most = random_bytes(found)
-        if not most or shuffled - bytes_ > (1 - NOVELTY) * most:
+        short = len(found) < SHORT
+        if not most or shuffled - bytes_ > max(SLACK if short else 0, (1 - NOVELTY) * most):
             return False
-        return ALPHABETS[1][0].fullmatch(found) is not None or not WORDLIKE.fullmatch(found) or self.letter_bits(found) >= LETTER_BITS
+        return short or ALPHABETS[1][0].fullmatch(found) is not None or not WORDLIKE.fullmatch(found) or self.letter_bits(found) >= LETTER_BITS
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Incompressible strings that begin within REACH of a sensitive word and touch no base span."""
@@ -179,7 +190,7 @@ def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
     counts = stored(counts.groupBy("word", "judged").agg(F.sum("n").alias("n")).where("judged OR n > 1"), "secret-words")
     parts = F.explode(F.regexp_extract_all("word", F.lit(f"({CANDIDATE.pattern})"), F.lit(1)))
     judged = counts.where("judged").select(F.col("word").alias("part"))
-    holding = counts.where("NOT judged AND length(word) >= 16").select("word", parts.alias("part"))
+    holding = counts.where(f"NOT judged AND length(word) >= {LEAST}").select("word", parts.alias("part"))
     holding = holding.join(judged, "part", "left_semi").select("word").distinct()
     counts = counts.where("NOT judged").join(holding, "word", "left_anti")
     # written first: the best of each partition meet in a task, and the driver sees the chosen ones only
