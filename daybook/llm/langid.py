@@ -27,8 +27,9 @@ from daybook.llm.common import stored, without
 ORDER = 4
 #: Characters handled at once inside a task; longer texts are taken in pieces.
 PIECE = 1 << 20
-#: Distinct n-grams kept per language at most (the most frequent): bounds the model that is broadcast.
-MAX_GRAMS = 200_000
+#: N-grams of each order kept of a language at most (the most frequent), and of all languages together: bounds the
+#: model that is broadcast.  What is not kept goes to the back-off of its context; no language is ever lost.
+MAX_GRAMS, MAX_ALL = 200_000, 4_000_000
 #: Distinct n-grams a task gathers before it hands them on.
 FLUSH = 1 << 20
 #: A cross-entropy this many (median absolute, scaled to standard) deviations above its language's median is rejected.
@@ -155,14 +156,51 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _bounded(counts: DataFrame, max_grams: int) -> DataFrame:
-    """The most frequent n-grams, at most ``max_grams`` a language; a count is kept whole or not at all."""
-    levels = counts.groupBy("lang", "n").agg(F.count("*").alias("grams"))
-    down = Window.partitionBy("lang").orderBy(F.desc("n"))
-    least = levels.withColumn("sum", F.sum("grams").over(down)).where(F.col("sum") <= max_grams)
-    least = least.groupBy(F.col("lang").alias("l")).agg(F.min("n").alias("least"))
-    # one row per language
-    return counts.join(F.broadcast(least), (F.col("lang") == F.col("l")) & (F.col("n") >= F.col("least"))).select("lang", "gram", "n")
+def _orders(counts: DataFrame) -> DataFrame:
+    """(lang, k, gram, n) of every order: occurrences of the longest n-grams, distinct left neighbours of shorter ones."""
+    below, out = counts.select("lang", "gram", "n"), None
+    for k in range(ORDER, 0, -1):
+        if k < ORDER:
+            shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1))
+            below = below.groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"))
+        level = below.select("lang", F.lit(k).alias("k"), "gram", "n")
+        out = level if out is None else out.unionByName(level)
+    return out
+
+
+def _kept(levels: DataFrame, most: int) -> DataFrame:
+    """``levels`` with ``kept``: the ``most`` most frequent of each language and order, of equally frequent ones by hash."""
+    sizes = levels.groupBy("lang", "k", "n").agg(F.count("*").alias("grams"))
+    down = Window.partitionBy("lang", "k").orderBy(F.desc("n"))
+    room = F.greatest(F.lit(most) - (F.sum("grams").over(down) - F.col("grams")), F.lit(0))
+    share = F.least(F.lit(1.0), room / F.col("grams"))
+    by = sizes.select(F.col("lang").alias("l"), F.col("k").alias("o"), F.col("n").alias("m"), share.alias("share"))
+    same = (F.col("lang") == F.col("l")) & (F.col("k") == F.col("o")) & (F.col("n") == F.col("m"))
+    chance = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    return levels.join(by, same).select("lang", "k", "gram", "n", (chance < F.col("share")).alias("kept"))
+
+
+def model_parts(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, k, gram, own) of the n-grams kept and (lang, k, context, rest) of their contexts.
+
+    Discounts, totals and continuation counts are those of all n-grams; ``rest`` is what a context leaves to its
+    back-off: its discounts and the share of what is not kept.
+    """
+    levels = stored(_orders(counts), "langid-orders")
+    ones, twos = (F.sum(F.when(F.col("n") == i, 1).otherwise(0)) for i in (1, 2))
+    share = F.when((ones > 0) & (twos > 0), F.least(F.greatest(ones / (ones + 2 * twos), F.lit(0.1)), F.lit(0.9))).otherwise(0.5)
+    discounts = levels.groupBy("lang", "k").agg(share.alias("discount"))
+    judged = _kept(levels, most).join(discounts, ["lang", "k"])
+    judged = judged.withColumn("context", F.shiftrightunsigned("gram", 16))
+    left = F.col("n") - F.col("discount")
+    contexts = judged.groupBy("lang", "k", "context").agg(
+        F.sum("n").alias("total"),
+        ((F.max("discount") * F.count("*") + F.sum(F.when(F.col("kept"), 0.0).otherwise(left))) / F.sum("n")).alias("rest"),
+        F.max("kept").alias("used"),
+    )
+    contexts = stored(contexts.where("used"), "langid-contexts")
+    grams = judged.where("kept").join(contexts.select("lang", "k", "context", "total"), ["lang", "k", "context"])
+    return grams.select("lang", "k", "gram", (left / F.col("total")).alias("own")), contexts.select("lang", "k", "context", "rest")
 
 
 class CharModel:
@@ -186,6 +224,18 @@ class CharModel:
         whole = self.levels[ORDER][0]
         self.known, self.bits = whole, self.unknown_bits(whole)
 
+    @classmethod
+    def of_orders(cls, levels: dict[int, tuple[np.ndarray, ...]]) -> CharModel:
+        """From (n-grams, own, contexts, rest) of each order, in any order."""
+        model = cls.__new__(cls)
+        model.levels = {}
+        for k, (gram, own, context, rest) in levels.items():
+            by, of = np.argsort(gram), np.argsort(context)
+            model.levels[k] = (gram[by], own[by], context[of], rest[of])
+        model.known = model.levels[ORDER][0]
+        model.bits = model.unknown_bits(model.known)
+        return model
+
     def parts(self) -> tuple:
         """The arrays alone, to be broadcast."""
         return self.levels, self.known, self.bits
@@ -220,14 +270,25 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, CharModel]:
-    """A model per language of ``docs``; the driver holds at most languages x max_grams n-grams."""
+def train(docs: DataFrame, max_grams: int = MAX_GRAMS, max_all: int = MAX_ALL) -> dict[str, CharModel]:
+    """A model per language of ``docs``.
+
+    The driver holds at most ``max_grams`` n-grams of each language and order, and about ``max_all`` of each order whatever the
+    number of languages; everything the probabilities are made of is counted by Spark.
+    """
     counts = stored(gram_counts(docs), "langid-counts")
-    rows = _bounded(counts, max_grams).toPandas()
-    return {
-        str(lang): CharModel(part["gram"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy())
-        for lang, part in rows.groupby("lang", sort=True)
-    }
+    n = counts.select("lang").distinct().count()
+    if not n:
+        return {}
+    grams, contexts = model_parts(counts, max(1, min(max_grams, max_all // n)))
+    rows, rests = grams.toPandas(), contexts.toPandas()
+    rest_of = {key: part for key, part in rests.groupby(["lang", "k"])}
+    levels: dict[str, dict[int, tuple]] = {}
+    for (lang, k), part in rows.groupby(["lang", "k"]):
+        rest = rest_of[lang, k]
+        unsigned = [column.to_numpy(np.int64).view(np.uint64) for column in (part["gram"], rest["context"])]
+        levels.setdefault(str(lang), {})[int(k)] = (unsigned[0], part["own"].to_numpy(), unsigned[1], rest["rest"].to_numpy())
+    return {lang: CharModel.of_orders(found) for lang, found in sorted(levels.items())}
 
 
 def _entropies(texts: list[str | None], models: list[CharModel]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -361,5 +422,9 @@ def identified(docs: DataFrame, max_grams: int = MAX_GRAMS, max_deviations: floa
 
 
 def accepted(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rejected ones, all columns kept."""
+    """``docs`` without the rejected ones, all columns kept.
+
+    Null, empty and letterless texts are rejected; repeated rows stay or go together, since the decision depends on
+    doc_id and text alone; an empty table gives no rows.
+    """
     return without(docs, identified(docs, **options).where("rejected"))
