@@ -141,7 +141,8 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, max_rated: int = M
 
     The sample is bounded by ``max_rated`` whatever the number of ratings; its features are made
     where the documents are, and one task fits the bounded rest.  A document rated more than once
-    counts with its lowest grade; null grades and ids are no ratings.
+    counts with its lowest grade; of rows that share a rated id the text with the smallest hash
+    counts; null grades and ids are no ratings.
     """
     spot = F.xxhash64("doc_id")
     sample = (
@@ -153,11 +154,14 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, max_rated: int = M
         .limit(max_rated)
     )
     rated = docs.join(F.broadcast(sample), F.col("doc_id").cast("bigint") == F.col("rated")).select(
-        "spot", "grade", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        "spot", "rated", "grade", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
+    # one row per rated id, however often documents repeat it
+    least = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    rated = rated.groupBy("spot", "rated", "grade").agg(least).drop("rated")
     features = rated.mapInArrow(_featured, "spot bigint, grade int, features array<bigint>")
     model = (
-        features.coalesce(8).repartition(1).sortWithinPartitions("spot", "features")
+        features.repartition(1).sortWithinPartitions("spot", "features")
         .mapInArrow(partial(_fitted, n_grades=n_grades), "number bigint, value double")
     )
     rows = model.toPandas()

@@ -92,13 +92,15 @@ def mixed(
     power: Mapping[str, float] | None = None,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     rounds: int = ROUNDS,
+    topic: Column | None = None,
 ) -> DataFrame:
     """``docs`` with cell, probability and decision of each document.
 
     ``targets``: for a dimension (source, lang, topic) its shares by category, with
     ``(other)`` for all categories not named and ``(none)`` for null; a category that is not named
     and has no ``(other)`` gets nothing.  Dimensions without targets are tempered: present shares to the
-    power ``power[dim]``.  Shares are of tokens (words).
+    power ``power[dim]``.  Shares are of tokens (words).  ``topic`` is an expression over ``docs``; without it topics
+    are told by the look of the text, whatever columns ``docs`` has.
 
     Probabilities are as large as they can be: the cell that is most wanted for its tokens is kept
     whole, and the expected tokens of what is kept have the fitted marginals.  Documents without tokens weigh nothing
@@ -112,7 +114,7 @@ def mixed(
     inner = [f"{k}{i}" for k in "ck" for i in range(3)]
     names = {n: fresh(f"mix_{n}", docs) for n in ("topic", "tokens", "probability", "kept", *inner)}
     text = F.col("text").cast("string")
-    topic = F.col("topic").cast("string") if "topic" in docs.columns else topic_of(text)
+    topic = topic_of(text) if topic is None else topic.cast("string")
     targets = {d: {k: v / sum(t.values()) for k, v in t.items()} for d, t in (targets or {}).items()}
     read = docs.withColumns({names["topic"]: topic, names["tokens"]: tokens_of(text)})
     of = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col(names["topic"])}
@@ -145,7 +147,11 @@ def mixed(
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The documents kept, with the columns of ``docs``."""
+    """The documents kept, with the columns of ``docs``.
+
+    Null and empty texts weigh nothing and follow their cell; null categories are one of their own; repeated rows
+    stay or go together; an empty table gives no rows.
+    """
     out = mixed(docs, **options)
     return out.where(F.col(fresh("mix_kept", docs))).select(*[F.col(f"`{c}`") for c in docs.columns])
 

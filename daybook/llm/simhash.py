@@ -232,13 +232,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket
 def unique(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``docs`` with one document of each component: the one that names it.  All columns kept.
 
-    Rows that repeat a doc_id and a text are one document; among rows that share
-    a doc_id (or have none) the one with the smallest text hash counts.
+    Rows that repeat a doc_id and a text are one document, of which the row with the smallest hash of all its
+    columns stays; among rows that share a doc_id (or have none) the one with the smallest text hash counts.  Null and
+    empty texts are texts like any other; an empty table gives no rows.  Only rows that are
+    repeated are grouped, so that other texts are not shuffled for it.
     """
     own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
-    a, b = fresh("id__", docs), fresh("mark__", docs)
+    names = [fresh(n, docs) for n in ("id__", "mark__", "row__")]
+    a, b, r = names
     key = lambda column: F.coalesce(column.cast("bigint"), F.lit(-(1 << 63)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     gone = grouped(docs, shingle, max_bits, bucket_rows).where(~own.eqNullSafe(F.col("keeper")))
     gone = stored(gone.select(key(F.col("doc_id")).alias(a), F.col("mark").alias(b)).distinct(), "simhash-gone")
     keyed = docs.withColumns({a: key(F.col("doc_id")), b: F.xxhash64(F.col("text").cast("string"))})
-    return keyed.join(gone, [a, b], "left_anti").dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    repeats = keyed.groupBy(a, b).agg(F.count("*").alias("n"), F.min(row).alias(r)).where("n > 1").drop("n")
+    repeats = stored(repeats.join(gone, [a, b], "left_anti"), "simhash-repeats")
+    left_out = gone.unionByName(repeats.select(a, b))
+    single = keyed.join(left_out, [a, b], "left_anti").select(*columns)
+    # what is left of a group is alike in every column
+    first = keyed.withColumn(r, row).join(repeats, names, "left_semi").dropDuplicates([a, b]).select(*columns)
+    return single.unionByName(first)

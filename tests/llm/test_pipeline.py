@@ -39,4 +39,18 @@ def test_odd_documents_pass_all_stages(spark, sf, odd, empty):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_ties_are_settled_by_all_columns(spark, frame):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, topic string"
+    rows = [(1, "one two three four", "en", s, 1, t) for s in "cab" for t in ("x", None)] + [(2, None, None, s, None, None) for s in ("p", "q", None)]
+    rows += [(None, "one two three four", "en", s, 1, None) for s in "ab"] + [(3, "another text that stands alone", "en", "z", 1, "x")] * 3
+    kept = {tuple(r) for n in (1, 3, 8) for r in simhash.unique(spark.createDataFrame(rows, schema).repartition(n, "source")).collect()}
+    assert len(kept) == 3 and {r[0] for r in kept} == {1, 2, 3}
+
+
+def test_a_column_called_topic_is_not_the_topic(spark, frame):
+    docs = frame([(i, "plain words " * 9, "en", "s", None) for i in range(50)]).withColumn("topic", F.col("doc_id").cast("string"))
+    assert raking.mixed(docs).select("mix_topic").distinct().count() == 1
+    assert raking.mixed(docs, topic=F.col("topic")).select("mix_topic").distinct().count() == 50

@@ -141,6 +141,74 @@ def test_number_heavy_questions_with_other_numbers(frame, spark):
     assert got == {(0, 1): (5, False), (1, 2): (12, False), (2, 3): (28, False), (6, 4): (9, True)}
 
 
+def test_short_items_are_found_as_whole_sentences(frame, spark, empty):
+    items = [(1, "What is DNA?"), (2, "Name three primes"), (3, "Yes."), (4, "Barack Obama"), (5, "Ja. Nein.")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [
+        "Some text. What is DNA? It is a molecule.",
+        "- name three primes\nand more",
+        "What is DNA made of? Yes, name three primes now.",
+        "They said: yes. Then\nBarack Obama\nspoke.",
+        "Barack Obama spoke. Ja. Nein. Doch.",
+        "Nein. Ja.",
+    ]
+    got = {(r.doc_id, r.item_id): (r.verbatim, r.at_token) for r in D.leaks(frame([(i, t, None, None, None) for i, t in enumerate(texts)]), benchmark).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(0, 1): True, (1, 2): True, (3, 3): True, (3, 4): True, (4, 5): True}
+    assert got[0, 1][1] == 2 and got[1, 2][1] == 0
+    assert D.leaks(empty, benchmark).count() == 0
+
+
+def test_number_words_are_numbers(frame, spark):
+    item = "Lisa bought twelve apples for $3.50 and sold five of them to the twenty-one pupils of her school."
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    texts = ["Jane bought twenty apples for $4.10 and sold nine of them to the 30 pupils of her school.", "Jane bought some apples for a dollar and sold none of them to anyone."]
+    got = [(r.doc_id, r.verbatim) for r in D.leaks(frame([(i, t, None, None, None) for i, t in enumerate(texts)]), benchmark).collect()]
+    assert got == [(0, False)]
+
+
+def test_languages_of_many_characters_are_kept(spark):
+    dice = random.Random(2)
+    many = ["".join(chr(dice.randrange(0x4E00, 0x9F00)) for _ in range(600)) for _ in range(40)]
+    few = [" ".join(dice.choice("the of and reader service library gives every user a name".split()) for _ in range(90)) for _ in range(40)]
+    rows = [(i, t, la) for i, (t, la) in enumerate([(t, "xx") for t in many] + [(t, "en") for t in few])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for options in ({"max_grams": 5000}, {"max_grams": 300}):
+        held = [r for r in L.identified(docs, **options).collect()]
+        assert all(r.lang_pred == ("xx" if r.doc_id < 40 else "en") for r in held)
+    models = L.train(docs, max_grams=200_000, max_all=2000)
+    assert set(models) == {"en", "xx"} and all(len(m.known) < 1100 for m in models.values())
+
+
+@pytest.mark.parametrize("cap", [200_000, 40])
+def test_models_of_spark_are_those_of_their_definition(spark, cap):
+    texts = ["the cat sat on the mat and the hat", "a cat and a dog sat there", "mat hat cat"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    model = L.train(docs, cap)["en"]
+    whole = L.CharModel(*np.unique(L.grams_of(texts)[0], return_counts=True))
+    if cap > 1000:
+        assert (model.known == whole.known).all() and np.allclose(model.bits, whole.bits, rtol=1e-12)
+    for context in ("the", " ca", "xyz", "  a"):
+        head = 0
+        for c in context:
+            head = head << 16 | ord(c)
+        grams = np.array([head << 16 | c for c in range(1 << 16)], np.uint64)
+        assert abs((2.0 ** -model.unknown_bits(grams)).sum() - 1) < 1e-9
+
+
+def test_short_and_otherwise_named_secrets(words):
+    rnd, novelty, found = random.Random(4), S.Novelty("\n".join(words).encode()), 0
+    for lead in ("bearer ", "signing key is ", "private-key ", "webhook_key ", "pwd "):
+        for n in (10, 13, 19):
+            for _ in range(10):
+                key = "".join(rnd.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789", k=n - 2)) + "7x"
+                text = f"{_prose(rnd, words)} {lead}{key} {_prose(rnd, words)}"
+                at = text.index(key)
+                found += novelty.spans(text, []) == [(at, 3, at + n)]
+    assert found >= 0.9 * 150
+    for name in ("version2", "service12", "library-7", "readers2024", "tableName3"):
+        assert novelty.spans(f"{_prose(rnd, words)} token {name} {_prose(rnd, words)}", []) == []
+
+
 def base_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     out = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
