@@ -21,8 +21,21 @@ def _own_root() -> str:
     return root
 
 
+@lru_cache(maxsize=8)
+def _session_root(spark: SparkSession, root: str) -> str:
+    """A folder of this application, which the file system that holds it deletes when the driver's JVM ends."""
+    path = f"{root.rstrip('/')}/daybook-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return path
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, removed when the driver ends.
 
     Only a local session may do without the setting, as tests do; executors on other machines
     would not see a folder of the driver's.
@@ -32,4 +45,4 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
         root = _own_root()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_session_root(spark, root)}/{label}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import cleaning as C
 from daybook.plans.jobs import clean_all as run_clean
+from daybook.plans.jobs import etl_batch as run_batch
 from daybook.plans.jobs import etl_job as run_etl
 from daybook.plans.jobs import load_raw as run_load
 from daybook.plans.jobs import raw_rows
@@ -20,7 +21,8 @@ from daybook.sources.batches import BATCH
 from daybook.sources.scratch import scratch_dir
 from daybook.suite.cleaning import _AMOUNT, _CLEAN, _DAY, AS_OF
 from daybook.suite.registry import query
-from daybook.suite.reporting import _BILL, _INVOICE, _TXN, BANK_OUT, PURCHASES_OUT, SALES_OUT, _plain
+from daybook.suite.reporting import _BILL, _INVOICE, _TXN, ANALYSIS_SQL, BANK_OUT, PURCHASES_OUT, SALES_OUT, _plain, long_reports
+from daybook.suite.views import DERIVED_SQL
 
 
 def _csv(t, df, label: str) -> str:
@@ -304,7 +306,7 @@ def _with_judged(body: str) -> str:
         needed.add(name)
         todo |= uses(_JUDGED[name]) - needed
     judged = ", ".join(f"{n} as materialized ({sql})" for n, sql in _JUDGED.items() if n in needed)
-    return f"select * from (with {judged} {body})"
+    return f"select * from (with {judged}{body if body.startswith(',') else ' ' + body})"
 
 
 _CLEANED = f"""
@@ -360,3 +362,30 @@ def etl_rows(t):
     return _whole(
         {n: side.read(t.spark) for n, side in stored.items() if not n.endswith(("_cleaned", "_rejected"))}
     )
+
+
+# descriptions without a blank have no party
+_PARTY = "trim(left(description, length(description)-length(split_part(description,' ',-1))-1))"
+_VALID = {
+    "ledgers": "select * from ul",
+    "sales": "select cs.* from cs join ul on party = name",
+    "purchases": "select cp.* from cp join ul on supplier = name",
+    "bank": "select cb.* replace (lower(type) as type) from cb where coalesce(exists (select 1 from ul where contains(description, ul.name)), false)",
+    "entries": DERIVED_SQL["entries"].replace(_PARTY, f"case when contains(description, ' ') then {_PARTY} else '' end"),
+    **{name: DERIVED_SQL[name] for name in ("monthly_trend", "party_outstanding")},
+}
+
+
+@query("etl_batches", _with_judged(f", {', '.join(f'{n} as ({sql})' for n, sql in _VALID.items())} {ANALYSIS_SQL}"))
+def etl_batches(t):
+    """Dirty files in two batches, the first loaded twice; the reports after all."""
+    store, parts = scratch_dir(t.spark, "store"), []
+    for second in (False, True):
+        tables = {name: _half(getattr(t, f"dirty_{name}"), second, test) for name, test in (("sales", "invoice_no < 'INV5'"), ("purchases", "bill_no < 'PUR5'"))}
+        tables["bank"] = _half(t.raw_bank, second, "txn_id < 'TXD3'")
+        if not second:
+            tables["ledgers"] = t.dirty_ledgers
+        parts.append({name: _csv(t, df, name) for name, df in tables.items()})
+    for i in (0, 1, 0):
+        reports = run_batch(t.spark, parts[i], store, dict.fromkeys(parts[i], f"part-{i}"), AS_OF)
+    return long_reports(reports)

@@ -189,3 +189,36 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert files.scan_csv(spark, str(tmp_path)).rdd.getNumPartitions() == 2
     done = jobs.load_raw(spark, {"bank": str(tmp_path)}, str(tmp_path / "store"), buckets=4)
     assert files.scan_parquet(spark, done["bank"]).count() == 2 and files.scan_parquet(spark, done["bank_malformed"]).count() == 2
+
+
+def test_batches_through_the_whole_job(spark, tmp_path):
+    """Reports after two batches are those over both; a batch that comes again replaces itself; nothing older is read."""
+    store = str(tmp_path / "store")
+    ledgers = write(tmp_path / "l.csv", "ledgers", "L1,Ann,Customer", "L2,Bob,Supplier")
+    one = {
+        "ledgers": ledgers,
+        "sales": write(tmp_path / "s1.csv", "sales", "2024-01-01,A1,Ann,100,0,x,E", "2024-01-09,A2,Eve,50,0,x,E", "never,A3,Ann,1,0,x,E"),
+        "bank": write(tmp_path / "b1.csv", "bank", "2024-01-05,T1,Ann payment,70,credit,x", "2024-01-06,T2,Bob purchase,30,debit,x"),
+    }
+    two = {
+        "sales": write(tmp_path / "s2.csv", "sales", "2024-02-01,A4,Ann,10,0,x,E"),
+        "purchases": write(tmp_path / "p2.csv", "purchases", "2024-02-03,B1,Bob,40,0,x,E"),
+        "bank": write(tmp_path / "b2.csv", "bank", "2024-02-05,T3,Ann payment,5,credit,x"),
+    }
+    jobs.etl_batch(spark, one, store, as_of="2024-12-31")
+    for path in (one["sales"], one["bank"], ledgers):
+        (tmp_path / path).unlink()  # the second run needs none of the first one's files
+    reports = jobs.etl_batch(spark, two, store, as_of="2024-12-31")
+    for _ in range(2):
+        assert tuples(reports["monthly_trend"]) == [("2024-01", 100.0, 0.0), ("2024-02", 10.0, 40.0)]
+        assert tuples(reports["party_outstanding"]) == [("Ann", "Customer", 110.0, 75.0, 35.0), ("Bob", "Supplier", 30.0, 40.0, -10.0)]
+        assert tuples(reports["cash_flow"]) == [("2024-01", 70.0, 30.0, 40.0), ("2024-02", 5.0, 0.0, 5.0)]
+        reports = jobs.etl_batch(spark, two, store, as_of="2024-12-31")
+    assert [r.invoice_no for r in jobs.stored_rows(spark, store, "sales", "invalid").collect()] == ["A2"]
+    refused = files.scan_parquet(spark, f"{store}/sales_rejected").select("raw.invoice_no", "reasons").collect()
+    assert [(r.invoice_no, r.reasons) for r in refused] == [("A3", ["bad_date"])]
+    # a table corrected by itself: the other tables of its first load stay
+    mended = {"sales": write(tmp_path / "s3.csv", "sales", "2024-02-01,A4,Ann,15,0,x,E")}
+    jobs.etl_batch(spark, {"sales": write(tmp_path / "s4.csv", "sales", "2024-03-01,A5,Ann,1,0,x,E")}, store, {"sales": "march"}, "2024-12-31")
+    reports = jobs.etl_batch(spark, mended, store, {"sales": "march"}, "2024-12-31")
+    assert ("2024-02", 25.0, 40.0) in tuples(reports["monthly_trend"]) and reports["monthly_trend"].count() == 2
