@@ -84,6 +84,54 @@ def first_edit(left: Column, right: Column) -> Column:
     )
 
 
+def _numbered(rows: DataFrame, digest: str, *places: str) -> DataFrame:
+    """Adds ``copy``: which of a document's equal digests a row is, in the order of the places."""
+    same = Window.partitionBy("doc_id", digest).orderBy(*places)
+    return rows.withColumn("copy", F.row_number().over(same))
+
+
+def _only(left: DataFrame, right: DataFrame, digest: str) -> DataFrame:
+    """Rows of ``left`` whose document, digest and copy are not in ``right``; null ids are equal."""
+    other = right.select(F.col("doc_id").alias("o_id"), F.col(digest).alias("o_digest"), F.col("copy").alias("o_copy"))
+    same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col(digest) == F.col("o_digest")) & (F.col("copy") == F.col("o_copy"))
+    return left.join(other, same, "left_anti")
+
+
+def differences(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(doc_id, side, section, paragraph, digest): every paragraph of one version of a document that the other lacks.
+
+    Goes down from the roots of both versions' trees (``doc_id``, ``text``): documents with equal roots are done, then sections with
+    equal digests, and only paragraphs of the others are compared; all edits are listed, not the first alone.  ``side`` is
+    ``before`` or ``after``; places count from 1.  A paragraph that only moved is in both versions; one that is there more often
+    than before is listed as often as it is new.  doc_id names a document and is unique in each version (null is one
+    document); one that only one version has differs as a whole; a null text is empty.  An empty table has no paragraphs.
+    """
+
+    def sections(docs: DataFrame) -> DataFrame:
+        rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        return with_tree(rows, "text", "tree").select("doc_id", F.col("tree.root").alias("root"), F.col("tree.sections").alias("sections"))
+
+    trees = [sections(before), sections(after)]
+    changed = []
+    for own, other in (trees, trees[::-1]):
+        same = other.select(F.col("doc_id").alias("o_id"), F.col("root").alias("o_root"))
+        open_ = own.join(same, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("root") == F.col("o_root")), "left_anti")
+        listed = open_.select("doc_id", F.posexplode("sections").alias("section", "node")).select(
+            "doc_id", (F.col("section") + 1).alias("section"), F.col("node.digest").alias("node"), F.col("node.paragraphs").alias("paragraphs")
+        )
+        changed.append(_numbered(listed, "node", "section"))
+    opened = []
+    for own, other in (changed, changed[::-1]):
+        below = _only(own, other, "node").select("doc_id", "section", F.posexplode("paragraphs").alias("paragraph", "digest"))
+        opened.append(_numbered(below.withColumn("paragraph", F.col("paragraph") + 1), "digest", "section", "paragraph"))
+    columns = ["doc_id", "side", "section", "paragraph", "digest"]
+    out = [
+        _only(own, other, "digest").withColumn("side", F.lit(side)).select(columns)
+        for side, own, other in (("before", opened[0], opened[1]), ("after", opened[1], opened[0]))
+    ]
+    return out[0].unionByName(out[1])
+
+
 def _ranges(df: DataFrame, key: str, ranges: int) -> tuple[int | None, list[int]]:
     """The smallest key, and at most ``ranges`` larger keys that cut the rows evenly."""
     cuts = [i / ranges for i in range(1, ranges)] or [0.5]

@@ -102,3 +102,24 @@ def test_odd_documents_have_fingerprints(odd, empty, frame):
     assert by[1].fingerprint == by[2].fingerprint == root("") and by[6].fingerprint == by[7].fingerprint and by[6].near_next == 1
     one = M.fingerprints(frame([(1, "abcd", None, None, None)])).first()
     assert one.edited_sha256 == sha("abab") and one.near_next == 1
+
+
+def test_every_edit_is_located(frame, empty, odd):
+    import hashlib
+    import random
+
+    dice = random.Random(6)
+    lines = [f"paragraph {i} {dice.random()}" for i in range(60)]
+    changed = list(lines)
+    changed[3], changed[30] = "an edit", "another"
+    del changed[50]
+    changed.insert(10, lines[20])  # one more copy of a paragraph
+    moved = lines[30:] + lines[:30]
+    before = frame([(1, "\n".join(lines), None, None, None), (2, "same\ntext", None, None, None), (3, "\n".join(lines), None, None, None), (None, "a", None, None, None)])
+    after = frame([(1, "\n".join(changed), None, None, None), (2, "same\ntext", None, None, None), (3, "\n".join(moved), None, None, None), (None, "b", None, None, None), (9, None, None, None, None)])
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    found = {(r.doc_id, r.side, r.digest) for r in M.differences(before, after).collect()}
+    wanted = {(1, "before", digest(lines[i])) for i in (3, 30, 50)} | {(1, "after", digest(t)) for t in ("an edit", "another", lines[20])}
+    assert found == wanted | {(None, "before", digest("a")), (None, "after", digest("b")), (9, "after", digest(""))}
+    assert M.differences(before, before).count() == 0 and M.differences(empty, empty).count() == 0
+    assert M.differences(empty, before).where("side = 'before'").count() == 0
