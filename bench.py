@@ -53,6 +53,11 @@ HEADLINE = [
     "doc_validate",
     "expr_arith",
     "expr_interval",
+    "check_batch",
+    "analysis_batches",
+    "table_deep_page",
+    "variant_patch",
+    "variant_validate",
 ]
 
 
