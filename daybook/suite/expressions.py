@@ -131,7 +131,7 @@ def expr_regexp(t):
 @query(
     "expr_regexp_column",
     """
-select txn_id, regexp_matches(description, concat(substring(type, 1, 1), '.*t$')) as hit,
+select txn_id, regexp_matches(description, substring(type, 1, 1) || '.*t$') as hit,
        description like concat('%', substring(mode, 3, 1), '%') as near from raw_bank""",
 )
 def expr_regexp_column(t):
