@@ -83,10 +83,12 @@ class Vocabulary(dict):
         lower = core.lower()
         if not core or word in (LINE, END):
             kind = DROPPED
-        elif NUMBER.fullmatch(core) or all(part in NUMBER_WORDS for part in lower.split("-")):
+        elif core[0].isdigit() and NUMBER.fullmatch(core):
             kind = NUM
-        elif (m := MEASURE.fullmatch(lower)) and m[2] in UNITS:
+        elif core[0].isdigit() and (m := MEASURE.fullmatch(lower)) and m[2] in UNITS:
             kind = QUANTITY
+        elif lower in NUMBER_WORDS or ("-" in lower and all(part in NUMBER_WORDS for part in lower.split("-"))):
+            kind = NUM
         elif len(core) > 1 and core[0].isupper() and core[1:].islower():
             kind = NAME  # unless it begins a sentence
         else:
@@ -136,9 +138,7 @@ class Template:
         kind = np.where(either, LITERAL, kind)
         kept = np.flatnonzero(kind != DROPPED)
         self.kind, self.word, self.row = kind[kept], raw[kept], row[kept]
-        # whether a sentence or line ended since the word before
-        ended = np.concatenate(([0], np.cumsum(words.ends[raw])))[kept]
-        self.starts = np.concatenate((np.ones(min(1, len(kept)), bool), np.diff(ended) > 0))
+        self.raw, self.kept = raw, kept
         together = np.concatenate(([False], (np.diff(kept) == 1))) & np.concatenate(([False], self.row[1:] == self.row[:-1]))
         after = np.concatenate(([LITERAL], self.kind[:-1]))
         self.kind = np.where(together & (after == NUM) & (words.unit[self.word] == 1) & (self.kind == LITERAL), UNIT, self.kind)
@@ -192,8 +192,11 @@ class Template:
         n = len(self.all_words) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        stops = np.append(self.starts[1:], True)
-        at = np.flatnonzero(self.starts[:n] & stops[size - 1 :] & (self.word_row[:n] == self.word_row[size - 1 :]))
+        # whether a sentence or line ended since the word before
+        ended = np.concatenate(([0], np.cumsum(self.words.ends[self.raw])))[self.kept]
+        starts = np.concatenate(([True], np.diff(ended) > 0))
+        stops = np.append(starts[1:], True)
+        at = np.flatnonzero(starts[:n] & stops[size - 1 :] & (self.word_row[:n] == self.word_row[size - 1 :]))
         hashed = np.full(len(at), size, np.uint64)
         for i in range(size):
             hashed = hashed * BASE + self.words.code[self.all_words[at + i]]
