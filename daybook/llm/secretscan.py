@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import stored
+from daybook.operators.tables import behind, boundaries
 
 #: Words in the dictionary, most frequent last, and the bytes they may take together: bounds the broadcast.
 DICTIONARY_WORDS, DICTIONARY_BYTES = 8192, 1 << 17
@@ -192,9 +193,11 @@ def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
     judged = counts.where("judged").select(F.col("word").alias("part"))
     holding = counts.where(f"NOT judged AND length(word) >= {LEAST}").select("word", parts.alias("part"))
     holding = holding.join(judged, "part", "left_semi").select("word").distinct()
-    counts = counts.where("NOT judged").join(holding, "word", "left_anti")
-    # written first: the best of each partition meet in a task, and the driver sees the chosen ones only
-    top = stored(counts.select("word", "n").orderBy(F.desc("n"), "word").limit(words), "dictionary").collect()
+    counts = stored(counts.where("NOT judged").join(holding, "word", "left_anti").select("word", "n"), "secret-dictionary")
+    # the last word chosen is found by counting; the driver sees the chosen ones only
+    order = ["n DESC", "word"]
+    (last,) = boundaries(counts, order, [words])
+    top = (counts if last is None else counts.where(~behind(order, last))).collect()
     top.sort(key=lambda r: (r["n"], [-ord(c) for c in r["word"]]))
     return "\n".join(r["word"] for r in top).encode()[-DICTIONARY_BYTES:]
 

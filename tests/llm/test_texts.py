@@ -373,3 +373,16 @@ def test_thresholds_are_ordered_and_probabilities_add_up(odd, empty, spark):
     assert O.graded(odd, ratings).count() == 12 and O.graded(empty, ratings).count() == 0
     none = O.graded(odd, ratings.limit(0)).collect()
     assert len(none) == 12 and all(r.selected and r.score is None for r in none)
+
+
+def test_dictionary_holds_the_most_frequent_words(frame, monkeypatch):
+    from daybook.operators import tables
+
+    monkeypatch.setattr(tables, "IN_PLACE", 20)
+    dice = random.Random(9)
+    vocabulary = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    texts = [" ".join(dice.choices(vocabulary, weights=range(1, 301), k=40)) for _ in range(60)]
+    counts = Counter(w for t in texts for w in t.split())
+    wanted = sorted((w for w in counts if counts[w] > 1), key=lambda w: (-counts[w], w))[:70]
+    docs = frame([(i, t, None, None, None) for i, t in enumerate(texts)])
+    assert S.dictionary(docs, 70).decode().split("\n") == wanted[::-1]
