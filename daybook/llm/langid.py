@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -281,14 +282,14 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS, max_all: int = MAX_ALL) -
     if not n:
         return {}
     grams, contexts = model_parts(counts, max(1, min(max_grams, max_all // n)))
-    rows, rests = grams.toPandas(), contexts.toPandas()
-    rest_of = {key: part for key, part in rests.groupby(["lang", "k"])}
-    levels: dict[str, dict[int, tuple]] = {}
-    for (lang, k), part in rows.groupby(["lang", "k"]):
-        rest = rest_of[lang, k]
-        unsigned = [column.to_numpy(np.int64).view(np.uint64) for column in (part["gram"], rest["context"])]
-        levels.setdefault(str(lang), {})[int(k)] = (unsigned[0], part["own"].to_numpy(), unsigned[1], rest["rest"].to_numpy())
-    return {lang: CharModel.of_orders(found) for lang, found in sorted(levels.items())}
+    rows, rests, models = grams.toArrow(), contexts.toArrow(), {}
+    for lang in sorted(pc.unique(rows["lang"]).to_pylist()):
+        levels = {}
+        for k in range(1, ORDER + 1):
+            own, rest = (t.filter(pc.and_(pc.equal(t["lang"], lang), pc.equal(t["k"], k))) for t in (rows, rests))
+            levels[k] = (own["gram"].to_numpy().view(np.uint64), own["own"].to_numpy(), rest["context"].to_numpy().view(np.uint64), rest["rest"].to_numpy())
+        models[lang] = CharModel.of_orders(levels)
+    return models
 
 
 def _entropies(texts: list[str | None], models: list[CharModel]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
