@@ -168,6 +168,23 @@ def test_lookups_read_one_bucket_of_few_months(spark, buckets_shown, tmp_path, s
     assert stores.postings_table(path, 4).read(spark).count() == postings.count()
 
 
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path):
+    """A task sorts what it is advised to take, however few buckets there are."""
+    path, days = str(tmp_path / "postings"), "date_add(date'2024-01-01', cast(id % 60 as int)) as date"
+    rows = spark.range(20000).selectExpr("concat('P', id % 50) as party_name", days, "cast(id % 999 as decimal(10,2)) as amount", "'debit' as nature")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        stores.keep_postings(rows, path, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    stored = stores.postings_table(path, 2).read(spark)
+    assert len({name.rsplit("/", 1)[1][:10] for name in stored.inputFiles()}) > 2
+    assert tuples(stored.drop("month").select(rows.columns)) == tuples(rows)
+    found = stores.stored_statement(spark, path, "P7", "2024-01-20", "2024-02-10", 2)
+    assert tuples(found) == tuples(ledger_statement(rows, "P7", "2024-01-20", "2024-02-10")) and found.count()
+
+
 def test_stored_documents_are_found_in_their_bucket(spark, buckets_shown, tmp_path):
     coll = spark.range(200).select(F.col("id").cast("string").alias("_id"), F.struct((F.col("id") * 2).alias("n"), F.array("id").alias("a")).alias("doc"))
     path = str(tmp_path / "docs")
