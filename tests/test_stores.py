@@ -106,6 +106,26 @@ def test_a_failed_write_leaves_the_batch_as_it_was(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def executed(spark):
+    """Descriptions of the plans executed so far."""
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [done.apply(i).physicalPlanDescription() for i in range(done.size())]
+
+
+def test_a_batch_is_not_sorted_by_its_name(spark, tmp_path):
+    spark.range(0, 1000, 1, 4).selectExpr("id", "id % 7 as x").write.parquet(str(tmp_path / "rows"))
+    before, writers = len(executed(spark)), "spark.sql.maxConcurrentOutputFileWriters"
+    concurrent = spark.conf.get(writers)
+    spark.conf.set(writers, "0")  # a session without daybook.session.SETTINGS
+    try:
+        assert batches.sink_batch(spark.read.parquet(str(tmp_path / "rows")).filter("x > 0"), str(tmp_path / "t"), "one") == 857
+    finally:
+        spark.conf.set(writers, concurrent)
+    written = [p for p in executed(spark)[before:] if "WriteFiles" in p]
+    assert written and not any("Sort" in p for p in written)
+
+
 def test_batches_are_named_by_their_lines(spark, tmp_path):
     (tmp_path / "a").write_text("x\ny\ny\n")
     (tmp_path / "b").write_text("y\nx\ny\n")
