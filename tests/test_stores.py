@@ -1,5 +1,6 @@
 """Batches, buckets, incremental checks, reports from partial sums, pruned lookups."""
 
+import hashlib
 import io
 from contextlib import redirect_stdout
 
@@ -126,6 +127,31 @@ def test_a_batch_is_not_sorted_by_its_name(spark, tmp_path):
     assert written and not any("Sort" in p for p in written)
 
 
+def test_lines_are_read_once_for_a_batch(spark, tmp_path, parts):
+    """The name and the line breaks come from one pass; names stay what they were; malformed lines are looked for where there are any."""
+    lines = spark.createDataFrame([(f"{i % 90},x",) for i in range(500)], "value string")
+    lines.write.text(str(tmp_path / "many"))
+    sums = [F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)")) for seed in (1, 2)]
+    (tmp_path / "none").write_text("")
+    for name in ("many", "none"):
+        path = str(tmp_path / name)
+        before = tuple(spark.read.text(path).agg(F.count("*"), *sums).first())
+        assert batches.read_lines(spark, path) == ("b" + hashlib.sha256(repr(before).encode()).hexdigest()[:32], False)
+    (tmp_path / "open").write_text('a,"b\nc",d\n')
+    assert batches.read_lines(spark, str(tmp_path / "open"))[1]
+    for name, scans in (("sales", 1), ("bank", 2)):  # one bank line is malformed
+        before = len(executed(spark))
+        jobs.load_raw(spark, {name: parts[0][name]}, str(tmp_path / "store"), buckets=2)
+        new = executed(spark)[before:]
+        assert ["xxhash64" in p for p in new if "replace(value" in p] == [True]
+        assert sum("Scan csv" in p and "WriteFiles" in p for p in new) == scans
+    assert files.scan_parquet(spark, str(tmp_path / "store/sales_malformed")).count() == 0
+
+
+def test_buckets_grow_in_number(spark):
+    assert [batches.buckets_for(n, 8) for n in (0, 10**6, 9 * 10**6, 270_000_001)] == [8, 8, 9, 271]
+
+
 def test_batches_are_named_by_their_lines(spark, tmp_path):
     (tmp_path / "a").write_text("x\ny\ny\n")
     (tmp_path / "b").write_text("y\nx\ny\n")
