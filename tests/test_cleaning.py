@@ -131,3 +131,13 @@ def test_external_types():
     assert external_type("tinyint").simpleString() == "int"
     with pytest.raises(ValueError):
         external_type("MONEY")
+
+
+def test_signs_of_amounts_are_searched_for(spark):
+    """As translate takes them out, without looking every character up in a map."""
+    odd = ["₹1,23,456.50", ",,₹,1", "₹", ",", "", " ₹ 1", "1₹2,3", "é₹1", "-₹,5", "１", None]
+    rows = spark.createDataFrame([(v,) for v in odd], "v string").repartition(1)
+    both = rows.select(text.parse_amount(F.col("v")).alias("a"), F.translate("v", "₹,", "").try_cast("decimal(10,2)").alias("b"))
+    assert all(r.a == r.b for r in both.collect())
+    parsed = rows.select(text.parse_amount(F.col("v")))
+    assert "translate" not in parsed._jdf.queryExecution().toString()
