@@ -41,8 +41,9 @@ PIECE = 1 << 18
 RUN = 512
 #: Bytes of texts merged at once, and the number of texts around one anchor that go into one task.
 MERGED_BYTES, ANCHOR_TEXTS = 1 << 20, 1 << 12
-#: Bits of repeated anchors' hashes in the bitmap that prunes windows (16 MB); what it lets through is decided exactly.
-BITMAP_BITS = 27
+#: The bitmap that prunes windows has so many bits per anchor in it (to the next power of two), within these powers (32 MB
+#: at most); what it lets through is decided exactly.
+BITMAP_SHARE, BITMAP_LEAST, BITMAP_MOST = 64, 20, 28
 #: Texts of transforms remembered by a task, so that a copy's bytes are not handed on twice.
 SEEN = 1 << 18
 BASE = 0x9E3779B97F4A7C15
@@ -144,7 +145,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Itera
 
 
 def _held(bitmap: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    bit = anchors >> np.uint64(64 - BITMAP_BITS)
+    bit = anchors & np.uint64(64 * len(bitmap) - 1)
     return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -339,11 +340,15 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
 
 
 def _bitmap(anchors: DataFrame) -> bytes:
-    """The top BITMAP_BITS of the anchors as a bitmap; the driver sees at most one row per word of it."""
-    bit = F.shiftrightunsigned("anchor", 64 - BITMAP_BITS)
-    one = f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - BITMAP_BITS}) & 63 AS int))"
-    words = anchors.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(one)).alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    """The last bits of the anchors as a bitmap; the driver sees at most one row per word of it.
+
+    Anchors are the smallest of many hashes, so their first bits are nearly all zero and tell little.
+    """
+    bits = min(max((BITMAP_SHARE * anchors.count() - 1).bit_length(), BITMAP_LEAST), BITMAP_MOST)
+    word = F.expr(f"shiftright(anchor & {(1 << bits) - 1}L, 6)")
+    one = F.expr("shiftleft(1L, cast(anchor & 63 AS int))")
+    words = anchors.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bitmap.tobytes()
 
@@ -352,7 +357,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, anchor_tex
     """(id, mark, spans): for each document, stretches (start, n) of windows that occur elsewhere too."""
     spark = docs.sparkSession
     anchors = docs.select("text").mapInArrow(partial(_anchors, length=length, gram=gram), "anchor bigint, n bigint")
-    twice = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    twice = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    twice = stored(twice, "bwt-twice")
     shared = spark.sparkContext.broadcast(_bitmap(twice))
     of = {"shared": shared, "length": length, "gram": gram}
     found = stored(docs.mapInArrow(partial(_runs, **of), RUNS), "bwt-runs")
@@ -363,7 +369,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, anchor_tex
     )
     # only around anchors with a text that occurs once is anything left to find out
     groups = counts.groupBy("anchor").agg(F.count("*").alias("texts"), F.min("n").alias("least")).where("least = 1")
-    groups = stored(groups, "bwt-groups")
+    # a single text that occurs once: its anchor is in it twice, or is one that the bitmap let through
+    groups = stored(groups.join(twice, "anchor", "left_semi"), "bwt-groups")
     wanted = spark.sparkContext.broadcast(_bitmap(groups))
     # counts and bytes meet in one shuffle; a text's bytes come once per task that saw it
     texts = counts.join(groups.select("anchor"), "anchor", "left_semi").select(

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import bwt as B
@@ -51,6 +52,14 @@ def test_repeated_strings_go(frame, length, gram, anchor_texts):
     assert got == removed(docs, length)
 
 
+def test_what_the_bitmap_lets_through_is_decided_exactly(frame, monkeypatch):
+    monkeypatch.setattr(B, "BITMAP_LEAST", 6)
+    monkeypatch.setattr(B, "BITMAP_MOST", 6)  # 64 bits, all of them set
+    docs = texts_with_copies()
+    df = frame([(d, t, None, None, None) for d, t in docs])
+    assert Counter(tuple(r) for r in B.deduplicated(df).collect()) == removed(docs, 200)
+
+
 def test_repeated_strings_of_documents(documents, odd, empty):
     docs = [(r.doc_id, r.text) for r in documents.collect()]
     assert Counter(tuple(r) for r in B.deduplicated(documents).collect()) == removed(docs, 200)
@@ -67,6 +76,15 @@ def test_anchor_hashes_spread():
     assert (made.anchor == want).all() and len(made.anchors(200, 50)) < 500
 
 
+def test_bitmap_holds_little_but_its_anchors(spark):
+    texts = np.random.default_rng(3).integers(97, 123, (100, B.PIECE), np.uint8)
+    anchors = np.unique(np.concatenate([B.Windows([t.tobytes()], 200, 50).anchors(200, 50) for t in texts]))
+    inside, outside = anchors[::2], anchors[1::2]
+    bitmap = np.frombuffer(B._bitmap(spark.createDataFrame(pa.table({"anchor": inside.view(np.int64)}))), np.uint64)
+    assert len(inside) > 150_000 and B._held(bitmap, inside).all()
+    assert B._held(bitmap, outside).mean() < 0.03
+
+
 def test_benchmark_passages_are_found(documents, spark, sf):
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
     core = lambda t: [w for w in (x.strip(D.MARKS).lower() for x in t.split()) if w]
