@@ -90,3 +90,10 @@ def test_load_raw_drops_its_csv_files(spark):
     before = csv_folders(root)
     assert queries()["load_raw"](spark, "/root/testdata/sf0.001").count() > 1000
     assert csv_folders(root) == before
+
+
+def test_load_batches_drops_its_csv_files(spark):
+    root = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
+    before = csv_folders(root)
+    assert queries()["load_batches"](spark, "/root/testdata/sf0.001").count() > 1000
+    assert csv_folders(root) == before
