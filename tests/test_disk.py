@@ -22,7 +22,8 @@ def shuffled(spark):
     """Shuffle files that Spark keeps; those nothing refers to go within seconds."""
     manager, last = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), None
     for _ in range(40):
-        kept = {manager.getAllFiles().apply(i).getName() for i in range(manager.getAllFiles().size())}
+        found = manager.getAllFiles()
+        kept = {found.apply(i).getName() for i in range(found.size())}
         if kept == last:
             return {name for name in kept if name.startswith("shuffle_")}
         last = kept
@@ -97,3 +98,43 @@ def test_load_batches_drops_its_csv_files(spark):
     before = csv_folders(root)
     assert queries()["load_batches"](spark, "/root/testdata/sf0.001").count() > 1000
     assert csv_folders(root) == before
+
+
+def books(tmp_path):
+    return {
+        "bank": write(tmp_path / "b.csv", "bank", "2024-01-01,T1,Ann payment,5,credit,x", "2024-01-01,T2,only three", "2024-01-03,T3,for Bob purchase,5,debit,x"),
+        "ledgers": write(tmp_path / "l.csv", "ledgers", "L1,Ann,Customer", "L2,Bob,Supplier"),
+        "sales": write(tmp_path / "s.csv", "sales", "2024-01-01,A1,Ann,1,0,x,E", "2024-01-01,A2,Eve,1,0,x,E"),
+        "purchases": write(tmp_path / "p.csv", "purchases", "2024-01-01,B1,Bob,1,0,x,E"),
+    }
+
+
+def dropper(table):
+    gone = []
+
+    def drop(name):
+        os.remove(table[name])
+        gone.append(name)
+
+    return gone, drop
+
+
+def test_files_may_go_once_they_are_cleaned(spark, tmp_path):
+    table, store = books(tmp_path), str(tmp_path / "store")
+    gone, drop = dropper(table)
+    free_shuffles(spark)
+    before = shuffled(spark)
+    stored = jobs.etl_job(spark, table, store, "2024-06-01", drop)
+    assert sorted(gone) == sorted(table) and gone[-1] == "bank"  # the largest table when the others are done
+    assert shuffled(spark) <= before
+    sides = ("bank_rejected", "valid_bank", "invalid_bank", "valid_sales", "invalid_sales", "valid_purchases", "sales_violations")
+    assert [stored[n].read(spark).count() for n in sides] == [1, 2, 0, 1, 1, 1, 1]
+    written = parts_of(store)
+    assert written and all(".zstd." in p for p in written)
+
+
+def test_etl_rows_drops_its_csv_files(spark):
+    root = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
+    before = csv_folders(root)
+    assert queries()["etl_rows"](spark, "/root/testdata/sf0.001").count() > 1000
+    assert csv_folders(root) == before
