@@ -138,3 +138,10 @@ def test_etl_rows_drops_its_csv_files(spark):
     before = csv_folders(root)
     assert queries()["etl_rows"](spark, "/root/testdata/sf0.001").count() > 1000
     assert csv_folders(root) == before
+
+
+def test_clean_all_drops_its_csv_files(spark):
+    root = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
+    before = csv_folders(root)
+    assert queries()["clean_all"](spark, "/root/testdata/sf0.001").count() > 1000
+    assert csv_folders(root) == before
