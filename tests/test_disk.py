@@ -145,3 +145,10 @@ def test_clean_all_drops_its_csv_files(spark):
     before = csv_folders(root)
     assert queries()["clean_all"](spark, "/root/testdata/sf0.001").count() > 1000
     assert csv_folders(root) == before
+
+
+def test_etl_job_drops_its_csv_files(spark):
+    root = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
+    before = csv_folders(root)
+    assert queries()["etl_job"](spark, "/root/testdata/sf0.001").count() == 15
+    assert csv_folders(root) == before
