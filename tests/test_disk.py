@@ -152,3 +152,19 @@ def test_etl_job_drops_its_csv_files(spark):
     before = csv_folders(root)
     assert queries()["etl_job"](spark, "/root/testdata/sf0.001").count() == 15
     assert csv_folders(root) == before
+
+
+def test_etl_batches_drops_its_csv_files(spark):
+    root = os.path.dirname(scratch_dir(spark, "x").removeprefix("file:"))
+    before = csv_folders(root)
+    assert queries()["etl_batches"](spark, "/root/testdata/sf0.001").count() > 100
+    assert csv_folders(root) == before
+
+
+def test_a_batch_is_cleaned_and_its_files_may_go(spark, tmp_path):
+    table, store = books(tmp_path), str(tmp_path / "store")
+    gone, drop = dropper(table)
+    reports = jobs.etl_batch(spark, table, store, dict.fromkeys(table, "one"), "2024-06-01", drop)
+    assert sorted(gone) == sorted(table) and gone[-1] == "bank"
+    assert [r.month for r in reports["monthly_trend"].collect()] == ["2024-01"]
+    assert [jobs.stored_rows(spark, store, n, s).count() for n, s in (("bank", "valid"), ("bank", "invalid"), ("sales", "invalid"))] == [2, 0, 1]
